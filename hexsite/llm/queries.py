@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import decontam, tokens
+from hexsite.llm import decontam, langid, mixing, tokens
 from hexsite.llm._shared import table
 
 
@@ -19,9 +19,17 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op7(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op8(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL}
+    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
