@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+from hexsite.sources.shared import shared_dir, stored  # noqa: F401
+
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A-Z in lower case; bytes outside [0-9A-Za-z\x80-\xff] become spaces.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -20,27 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); a local one where that is unset, as in tests."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str, *, codec: str = "zstd", partition_by: list[str] | None = None) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: lineage ends there, and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    writer = df.write.option("compression", codec)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 

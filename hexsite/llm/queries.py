@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import decontam, langid, mixing, tokens
+from hexsite.llm import decontam, jaccard, langid, mixing, tokens
 from hexsite.llm._shared import table
 
 
@@ -27,9 +27,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op8(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op2(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
+    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op2_ngram_jaccard_join": jaccard.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
