@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import decontam, jaccard, langid, mixing, tokens
+from hexsite.llm import decontam, jaccard, langid, mixing, suffix, tokens
 from hexsite.llm._shared import table
 
 
@@ -31,8 +31,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op2(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.op9(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
