@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import decontam, jaccard, langid, mixing, suffix, tokens
+from hexsite.llm import audio, decontam, jaccard, langid, mixing, suffix, tokens
 from hexsite.llm._shared import table
 
 
@@ -35,8 +35,12 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.op9(table(spark, sf_dir, "documents"))
 
 
+def op3_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.op3(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio)}
 
 
 def oracle_sql() -> dict[str, str]:
