@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import audio, decontam, jaccard, langid, mixing, suffix, tokens
+from hexsite.llm import audio, decontam, jaccard, langid, mixing, suffix, tokens, warc
 from hexsite.llm._shared import table
 
 
@@ -39,9 +39,13 @@ def op3_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op4(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio, op4_warc_zstd)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op2_ngram_jaccard_join": jaccard.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
+    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op2_ngram_jaccard_join": jaccard.ORACLE_SQL, "op4_warc_zstd": warc.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
