@@ -66,7 +66,7 @@ def hash_words(found: list[bytes], cache: dict[bytes, int], most: int = 400_000)
     except KeyError:
         if len(cache) > most:
             cache.clear()
-        for w in set(found) - cache.keys():
+        for w in set(found).difference(cache):
             cache[w] = xxh64_intdigest(w)
         return np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
 
