@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import audio, decontam, jaccard, langid, mixing, suffix, tokens, warc
+from hexsite.llm import audio, decontam, html, jaccard, langid, mixing, suffix, tokens, warc
 from hexsite.llm._shared import table
 
 
@@ -43,8 +43,12 @@ def op4_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op4(table(spark, sf_dir, "pages"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.op10(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio, op4_warc_zstd)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio, op4_warc_zstd, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
