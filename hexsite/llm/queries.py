@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexsite.llm import audio, decontam, html, jaccard, langid, mixing, suffix, tokens, warc
+from hexsite.llm import audio, chat, decontam, html, jaccard, langid, mixing, suffix, tokens, warc
 from hexsite.llm._shared import table
 
 
@@ -47,9 +47,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.op10(table(spark, sf_dir, "pages"))
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op1(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio, op4_warc_zstd, op10_html_extraction)}
+    return {f.__name__: f for f in (op5_benchmark_decontamination, op6_token_id_output, op7_source_mixing, op8_language_id, op2_ngram_jaccard_join, op9_suffix_array_dedup, op3_telephony_audio, op4_warc_zstd, op10_html_extraction, op1_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op2_ngram_jaccard_join": jaccard.ORACLE_SQL, "op4_warc_zstd": warc.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
+    return {"op5_benchmark_decontamination": decontam.ORACLE_SQL, "op2_ngram_jaccard_join": jaccard.ORACLE_SQL, "op4_warc_zstd": warc.ORACLE_SQL, "op1_chat_formatting": chat.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL}
