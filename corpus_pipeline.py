@@ -1,4 +1,58 @@
-STAGES = []
+"""A corpus pipeline of five stages: language, near duplicates, benchmark passages, the mix, token ids.
+
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and read again as the next
+one's docs. All but the last return the columns of documents. A stage judges all that its predecessor kept.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from hexsite.llm import decontam, jaccard, langid, mixing, tokens
+from hexsite.llm._shared import stored, table
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned; those without a letter, and doubtful ones, go."""
+    return langid.known_language(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of texts with a similarity of 0.8 or more: that with the least doc_id."""
+    return jaccard.deduplicated(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document as often as it is taken."""
+    return mixing.mixture(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids, written and read back: a row for each document of the mix."""
+    return tokens.op6(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+    ("token_output", token_output),
+]
+
+#: Neither the language model nor the tokenizer can be put in SQL; tests hold the rows against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.range(0)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    *first, (_, last) = STAGES
+    for name, stage in first:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return last(spark, docs, sf_dir)
