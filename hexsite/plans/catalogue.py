@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +26,24 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
+MODULES = ("supply_queries",)
+
+
+def _load() -> None:
+    for m in MODULES:
+        importlib.import_module(f"hexsite.plans.{m}")
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return _ORACLES
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _load()
     return _QUERIES["q1_coverage_baseline"](spark, sf_dir)
