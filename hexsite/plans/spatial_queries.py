@@ -84,16 +84,16 @@ def _cluster_sql(density: float, least: float, name: str) -> str:
     c{name} AS (SELECT k.cell, k.cluster, t.cluster_pop, t.cluster_cells, rank AS cluster_rank FROM k{name} k JOIN (SELECT *, row_number() OVER (ORDER BY cluster_pop DESC, cluster) - 1 AS rank FROM t{name}) t USING (cluster))"""
 
 
-@query("gr5_clusters", oracle(f"/* recursive */ WITH {POP}, {_cluster_sql(400.0, 800.0, '1')} SELECT cell, cluster, round(cluster_pop, 6) AS cluster_pop, cluster_cells, cluster_rank FROM c1".replace("/* recursive */ WITH", "WITH /* recursive */")))
+@query("gr5_clusters", oracle(f"/* recursive */ WITH {POP}, {_cluster_sql(1500.0, 2000.0, '1')} SELECT cell, cluster, round(cluster_pop, 6) AS cluster_pop, cluster_cells, cluster_rank FROM c1".replace("/* recursive */ WITH", "WITH /* recursive */")))
 def clusters(spark, sf_dir):
-    return D.clusters(cells(spark, sf_dir), "pop", 400.0, 800.0).withColumn("cluster_pop", F.round("cluster_pop", 6)).withColumn("cluster_rank", F.col("cluster_rank").cast("long"))
+    return D.clusters(cells(spark, sf_dir), "pop", 1500.0, 2000.0).withColumn("cluster_pop", F.round("cluster_pop", 6)).withColumn("cluster_rank", F.col("cluster_rank").cast("long"))
 
 
-@query("gr6_degurba", oracle(f"WITH /* recursive */ {POP}, {_cluster_sql(400.0, 800.0, '1')}, {_cluster_sql(250.0, 500.0, '2')} SELECT cells.cell, CASE WHEN c1.cell IS NOT NULL THEN 'CENTRE' WHEN c2.cell IS NOT NULL THEN 'TOWN' ELSE 'RURAL' END AS class FROM cells LEFT JOIN c1 ON c1.cell = cells.cell LEFT JOIN c2 ON c2.cell = cells.cell"))
+@query("gr6_degurba", oracle(f"WITH /* recursive */ {POP}, {_cluster_sql(1500.0, 2000.0, '1')}, {_cluster_sql(1000.0, 1500.0, '2')} SELECT cells.cell, CASE WHEN c1.cell IS NOT NULL THEN 'CENTRE' WHEN c2.cell IS NOT NULL THEN 'TOWN' ELSE 'RURAL' END AS class FROM cells LEFT JOIN c1 ON c1.cell = cells.cell LEFT JOIN c2 ON c2.cell = cells.cell"))
 def degurba(spark, sf_dir):
     from hexsite.config import Thresholds
 
-    t = Thresholds(dense_per_km2=400.0, dense_total=800.0, urban_per_km2=250.0, urban_total=500.0)
+    t = Thresholds(dense_per_km2=1500.0, dense_total=2000.0, urban_per_km2=1000.0, urban_total=1500.0)
     return D.degree_of_urbanisation(cells(spark, sf_dir), "pop", t).select("cell", "class")
 
 
