@@ -151,9 +151,9 @@ def candidate_ties(nodes: DataFrame, depth: int, estimate: float) -> DataFrame:
     spread = nodes.select("digest", F.posexplode("labels").alias("tree", "label"))
     keyed = spread.select("digest", F.xxhash64("tree", F.substring("label", 1, 2 * depth)).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = keyed.join(sizes, "key")
+    shared = keyed.join(sizes.hint("merge"), "key")  # the plan of large inputs at every size
     salts = F.ceil(F.col("size") / F.lit(GROUP)).cast("int")
-    met = shared.join(nodes.select("digest", "brief"), "digest").select("key", F.pmod(F.xxhash64("digest", "key"), salts).cast("int").alias("salt"), salts.alias("salts"), "digest", "brief")
+    met = shared.join(nodes.select("digest", "brief").hint("merge"), "digest").select("key", F.pmod(F.xxhash64("digest", "key"), salts).cast("int").alias("salt"), salts.alias("salts"), "digest", "brief")
     schema = "a binary, b binary, key long, brief binary"
 
     def tie(least: float, delegate: bool):
@@ -214,7 +214,7 @@ def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_eac
     stats = members.groupBy("component").agg(F.sum("n").alias("total"))
     blocked = members.join(stats, "component").withColumn("blocks", F.ceil(F.col("total") / F.lit(BLOCK)).cast("int")).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     texts = docs.select(F.col(doc).alias("d"), F.col(text).alias("text"))
-    with_text = texts.join(blocked, F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "component", "digest", "copies", "blocks", "block")
+    with_text = texts.join(blocked.hint("merge"), F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "component", "digest", "copies", "blocks", "block")
     shape = "component binary, lo int, hi int, digest binary, side int, copies long, shingles binary"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def joined(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", words_ea
     )
     names = labelled.groupBy("class").agg(F.min("doc_id").alias("class_id"))
     of_digest = labelled.join(names, "class").select(F.col("digest").alias("g"), "class_id", "n_links")
-    return sets.select("doc_id", "digest").join(of_digest, F.col("digest") == F.col("g"), "left").select("doc_id", F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return sets.select("doc_id", "digest").join(of_digest.hint("merge"), F.col("digest") == F.col("g"), "left").select("doc_id", F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op2(docs: DataFrame) -> DataFrame:
