@@ -176,7 +176,7 @@ class Scorer:
         new: set[bytes] = set()
         for w in found:
             new.update(w)
-        self.learn(new - self.row.keys())
+        self.learn(new.difference(self.row))
         names, scores = [], []
         for w in found:
             rows = np.fromiter(map(self.row.__getitem__, w), np.int64, len(w))
