@@ -12,7 +12,8 @@ id of the vocabulary reaches the driver); range-partition by doc_id, sort, encod
 name of the attempt's own and then renamed; add up the shards' counts for global starts; read the shards back.
 
 Tokenizing looks words up: a text is cut before each single space, where this pre-tokenizer always cuts too, and
-the library encodes each distinct piece once. Texts with two spaces in a row, or a space at the end, are encoded whole.
+the library encodes each distinct piece once, known again by a hash of 64 bits. Texts in which white space follows a
+space, or that end with one, are encoded whole.
 
 Defined results: null and empty texts have the end id only; equal doc_ids are ordered by their ids and each keeps its
 row; null doc_ids come first; an empty table gives no shard and no rows; other columns are not read.
@@ -28,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import open_fs, shared_dir, write_atomically
+from hexsite.llm._shared import mix, open_fs, shared_dir, utf8, write_atomically
 
 END, SCALE, LANES, STEPS, SLAB = 2, 20, 64, 512, 48
 LOW = np.uint64(1 << 31)
@@ -202,13 +204,14 @@ def shard_ids(raw: bytes, foot: dict, table: Table) -> np.ndarray:
 
 
 class Pieces:
-    """Packed ids of texts, by a cache of the pieces between spaces.
+    """Packed ids of texts, by a table of the pieces between spaces that were met before.
 
-    The cache has two generations of ``most`` pieces at most: a full young one becomes the old one, and what is still
-    in use moves back. New pieces are encoded many at a time as one line, cut again by the tokens' byte lengths.
+    The table is numpy arrays: sorted 64-bit hashes of pieces, and where their ids stand in a pool. A slab of texts is
+    cut at its spaces, all pieces are hashed at once, and ids are gathered from the pool; only pieces that are new go to
+    the library, many as one line, cut again by the tokens' byte lengths. A table of ``most`` pieces is begun anew.
     """
 
-    def __init__(self, path: str, most: int = 450_000):
+    def __init__(self, path: str, most: int = 2_500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -221,61 +224,114 @@ class Pieces:
         self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.length[i] = len(token)  # a character of this vocabulary is a byte of text
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
         self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.young) + len(new) > self.most:
-            self.old, self.young = self.young, {}
-        for x in new & self.old.keys():
-            self.young[x] = self.old[x]
+    @staticmethod
+    def _hash(raw: bytes, start: np.ndarray, size: np.ndarray, seed: np.ndarray) -> np.ndarray:
+        """Of each piece, from its bytes eight at a time; ``raw`` has eight bytes more."""
+        word = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        h = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + seed)
+        left = np.flatnonzero(size > 0)
+        done = 0
+        while len(left):
+            rest = size[left] - done
+            cut = np.uint64(8) * np.uint64(8) - np.minimum(rest, 8).astype(np.uint64) * np.uint64(8)
+            h[left] = mix((h[left] ^ (word[start[left] + done] << cut)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(done + 1))
+            done += 8
+            left = left[rest > 8]
+        return h
+
+    def _learn(self, keys: np.ndarray, found: list[bytes], heads: np.ndarray) -> None:
+        """Add pieces: those that begin a text are encoded as they are, others after a space."""
+        ids: list[np.ndarray] = [np.zeros(0, self.kind)] * len(found)
+        size = np.zeros(len(found), np.int32)
         todo = []
-        for x in new - self.young.keys():
-            if not x or x[0].isspace():
-                self.young[x] = None  # more than one white space: its text is encoded whole
+        for i, x in enumerate(found):
+            if heads[i]:
+                continue
+            if not x or x.decode()[0].isspace():
+                size[i] = -1  # more than one white space: its text is encoded whole
             else:
-                todo.append(x)
+                todo.append(i)
+        first = np.flatnonzero(heads).tolist()
+        for i, x in zip(first, self._ids([found[i].decode() for i in first]), strict=True):
+            ids[i] = x
         groups = [todo[a : a + 500] for a in range(0, len(todo), 500)]
-        lines = [" " + " ".join(x) for x in groups]
-        for group, line, ids in zip(groups, lines, self._ids(lines), strict=True):
-            raw_line = np.frombuffer(line.encode(), np.uint8)
-            ends = np.append(np.flatnonzero(raw_line == 32)[1:], len(raw_line))
-            cuts = np.searchsorted(np.cumsum(self.length[ids]), ends) + 1
-            raw, width = ids.tobytes(), self.kind.itemsize
-            a = 0
-            for x, b in zip(group, (cuts * width).tolist(), strict=True):
-                self.young[x] = raw[a:b]
-                a = b
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        lines = [b" " + b" ".join([found[i] for i in g]) for g in groups]
+        for group, line, got in zip(groups, lines, self._ids([x.decode() for x in lines]), strict=True):
+            ends = np.append(np.flatnonzero(np.frombuffer(line, np.uint8) == 32)[1:], len(line))
+            cuts = (np.searchsorted(np.cumsum(self.length[got]), ends) + 1).tolist()
+            for i, a, b in zip(group, [0, *cuts], cuts, strict=False):
+                ids[i] = got[a:b]
+        count = np.array([len(x) for x in ids], np.int64)
+        size[size >= 0] = count[size >= 0]
+        need = self.used + int(count.sum())
+        if need > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(need, 2 * len(self.pool)) - self.used, self.kind)])
+        self.pool[self.used : need] = np.concatenate(ids)
+        at = self.used + np.cumsum(count) - count
+        self.used = need
+        keys, at, size = np.concatenate([self.keys, keys]), np.concatenate([self.at, at]), np.concatenate([self.size, size])
+        order = np.argsort(keys)
+        self.keys, self.at, self.size = keys[order], at[order], size[order]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of UTF-8 texts, the end id last."""
         if not self.by_piece:
-            return [x.tobytes() + self.end for x in self._ids(texts)]
-        out: list[bytes | None] = [None] * len(texts)
-        heads, waiting, whole, new = [], [], [], set()
-        for i, t in enumerate(texts):
-            head, *rest = t.split(" ")
-            heads.append(head)
-            try:
-                out[i] = b"".join(map(self.young.__getitem__, rest))
-            except KeyError:
-                waiting.append((i, rest))
-                new.update(rest)
-            except TypeError:
-                whole.append(i)
-        if waiting:
-            self._learn(new - self.young.keys() if len(self.young) + len(new) <= self.most else new)
-            for i, rest in waiting:
-                try:
-                    out[i] = b"".join(map(self.young.__getitem__, rest))
-                except TypeError:
-                    whole.append(i)
-        for i in whole:
-            heads[i], out[i] = "", self._ids([texts[i]])[0].tobytes()
-        return [h.tobytes() + o + self.end for h, o in zip(self._ids(heads), out, strict=True)]
+            return [x.tobytes() + self.end for x in self._ids([t.decode() for t in texts])]
+        raw = b" ".join(texts) + b" "
+        lengths = np.array([len(t) for t in texts], np.int64)
+        first = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]  # where each text begins
+        ends = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)  # a text's last piece ends before the joining space
+        start = np.concatenate([[0], ends[:-1] + 1])
+        size = ends - start
+        head = np.searchsorted(start, first)  # the first piece of each text
+        is_head = np.zeros(len(start), bool)
+        is_head[head] = True
+        keys = self._hash(raw + b"\0" * 8, start, size, is_head.astype(np.uint64))
+        order = np.argsort(keys)
+        ordered = keys[order]
+        lead = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        distinct = ordered[lead]
+        if len(self.keys) > self.most:
+            self._clear()
+        place = np.searchsorted(self.keys, distinct)
+        new = np.flatnonzero(self.keys[np.minimum(place, max(len(self.keys) - 1, 0))] != distinct) if len(self.keys) else np.arange(len(distinct))
+        if len(new):
+            one = order[lead[new]]
+            self._learn(distinct[new], [raw[a:b] for a, b in zip(start[one].tolist(), ends[one].tolist(), strict=True)], is_head[one])
+            place = np.searchsorted(self.keys, distinct)
+        known = np.empty(len(keys), np.int64)
+        known[order] = np.repeat(place, np.diff(np.append(lead, len(keys))))
+        count = self.size[known].astype(np.int64)
+        odd = np.minimum.reduceat(count, head) < 0
+        count = np.maximum(count, 0)
+        total = np.cumsum(count)
+        flat = np.arange(total[-1]) + np.repeat(self.at[known] - (total - count), count)
+        packed = self.pool[flat].tobytes()
+        bounds = np.append((total - count)[head], total[-1]) * self.kind.itemsize
+        out = [packed[a:b] + self.end for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = self._ids([texts[i].decode()])[0].tobytes() + self.end
+        return out
+
+
+_KNOWN: dict[str, Pieces] = {}
+
+
+def pieces_of(path: str) -> Pieces:
+    """One cache a worker process, which later tasks find warm."""
+    if path not in _KNOWN:
+        _KNOWN[path] = Pieces(path)
+    return _KNOWN[path]
 
 
 def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,17 +339,16 @@ def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer)
+        pieces = pieces_of(tokenizer)
         seen = np.zeros(0, np.int64)
         names = ["doc_id", "ids", "histogram"]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             a = held = 0
-            for b, t in enumerate(texts, 1):
-                held += len(t)
-                if held < 1 << 20 and b < len(texts):
+            for b, n in enumerate(pc.binary_length(batch.column(1)).to_pylist(), 1):
+                held += n
+                if held < 4 << 20 and b < batch.num_rows:
                     continue
-                ids = pieces.encode(texts[a:b])
+                ids = pieces.encode(utf8(batch.column(1).slice(a, b - a)))
                 got = np.bincount(np.frombuffer(b"".join(ids), pieces.kind))
                 if len(got) > len(seen):
                     seen, got = got, seen
