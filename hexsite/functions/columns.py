@@ -109,3 +109,21 @@ def same_identity(a: Column, b: Column, least: int = 2) -> Column:
     inside = (F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0)
     alike = (F.size(sx) == 0) | (F.size(sy) == 0) | ((F.size(F.array_except(sx, sy)) == 0) & (F.size(F.array_except(sy, sx)) == 0))
     return truth(inside & alike & (F.least(F.size(x), F.size(y)) >= least))
+
+
+# First words of a commune's name and what they stand for.
+KINDS = [("Phường", "PHUONG"), ("Xã", "XA"), ("Đặc khu", "DAC_KHU")]
+
+
+def commune_kind(name: Column) -> Column:
+    return F.coalesce(first_of([(kind, name.startswith(prefix)) for prefix, kind in KINDS]), F.lit("UNKNOWN"))
+
+
+def corroborated(name: Column, *texts: Column, least: int = 4) -> Column:
+    """The bare name, if it has ``least`` characters, stands in one of the plain texts."""
+    bare = bare_name(name)
+    found = None
+    for t in texts:
+        hit = F.coalesce(F.instr(plain_text(t), bare) > 0, F.lit(False))
+        found = hit if found is None else found | hit
+    return truth((F.length(bare) >= least) & found)

@@ -9,10 +9,12 @@ from hexsite.config import DEFAULT, EARTH_KM, EARTH_M, Thresholds
 
 
 def haversine_sql(lat1: str, lng1: str, lat2: str, lng2: str, radius: float = EARTH_M) -> str:
-    """Great-circle distance, in the unit of ``radius``; the sine is kept within 1."""
+    """Great-circle distance, in the unit of ``radius``; the sine is kept within 1, and a null coordinate gives null
+    (``least`` alone would pass over it)."""
     return (
         f"(2e0 * {float(radius)!r}e0 * asin(least(1e0, sqrt(pow(sin(radians({lat2} - {lat1}) / 2e0), 2e0) + "
-        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lng2} - {lng1}) / 2e0), 2e0)))))"
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lng2} - {lng1}) / 2e0), 2e0)))) + "
+        f"0e0 * ({lat1} + {lng1} + {lat2} + {lng2}))"
     )
 
 

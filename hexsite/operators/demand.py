@@ -84,3 +84,17 @@ def merge_layers(*layers: DataFrame, on: str = "cell") -> DataFrame:
     for x in layers[1:]:
         out = out.join(x, on, "full")
     return out.fillna(0)
+
+
+def retotal(cells: DataFrame, *, commune="commune", pop="pop", built="built", bad: Column, census: str = "census", t: Thresholds = DEFAULT) -> DataFrame:
+    """Communes with a bad cell are dealt out anew over their built-up land: all their cells give up their population, and
+    its sum, or what the census allows where the sum is far over it, is shared by built-up area. Without built-up land
+    nothing moves and the bad cells say so."""
+    marked = cells.withColumn("_bad", F.coalesce(bad, F.lit(False)))
+    sums = marked.filter(F.col(commune).isNotNull()).groupBy(commune).agg(F.bool_or("_bad").alias("_any"), F.sum(pop).alias("_pop"), F.sum(built).alias("_built"), F.max(census).alias("_census"))
+    out = marked.join(sums, commune, "left")
+    hit, can = F.coalesce(F.col("_any"), F.lit(False)), F.coalesce(F.col("_built") > 0, F.lit(False))
+    target = F.when(F.col("_pop") > t.retotal_ratio * F.col("_census"), t.census_ratio * F.col("_census")).otherwise(F.col("_pop"))
+    new = F.when(hit & can, target * F.col(built) / F.col("_built")).otherwise(F.col(pop))
+    why = F.when(hit & can, "REDISTRIBUTED").when(F.col("_bad"), "UNREPAIRED_NO_BUILTUP").otherwise("KEPT")
+    return out.withColumn("pop_new", new).withColumn("pop_src", why).drop("_bad", "_any", "_pop", "_built", "_census")

@@ -113,3 +113,9 @@ def nearest_box(points: DataFrame, key: str, boxes: DataFrame, name: str, most_m
 def accept_first(pairs: DataFrame, key: str, good: Column, *order: str) -> DataFrame:
     """Of each key's candidates in order, the first that is good."""
     return pairs.filter(good).withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_r = 1").drop("_r")
+
+
+def outside_all(points: DataFrame, key: str, disks: DataFrame, radius: str, most_m: float, **how) -> DataFrame:
+    """Points in no disk; each disk has a radius of its own, up to ``most_m``, and one of 0 holds nothing."""
+    inside = within(points.select(key, "lat", "lng"), disks.filter(F.col(radius) > 0).select("lat", "lng", radius), most_m, **how)
+    return points.join(inside.filter(F.col("dist_m") <= F.col(f"r_{radius}")).select(key), key, "left_anti")

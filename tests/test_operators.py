@@ -265,3 +265,11 @@ def test_streams(spark, tmp_path):
     query = ingest.running_peak(stream()).writeStream.outputMode("update").format("memory").queryName("peaks").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert {(r["station"], r["peak"]) for r in spark.sql("SELECT station, max(peak) AS peak FROM peaks GROUP BY 1").collect()} == {(1, 4), (2, 8)}
+
+
+def test_distance_of_unknown_places_is_unknown(spark):
+    from hexsite.functions.geo import haversine_m
+
+    rows = spark.createDataFrame([(None, 105.0, 21.0, 105.0), (21.0, 105.0, 21.0, 105.0), (0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double")
+    got = [r["m"] for r in rows.select(haversine_m("a", "b", "c", "d").alias("m")).collect()]
+    assert got[0] is None and got[1] == 0 and got[2] == pytest.approx(math.pi * 6_371_000)
