@@ -16,7 +16,8 @@ about one for 18 bytes of text. Steps, each over parts of bounded size:
 3. Chunks send the bytes of those segments; buckets build the suffix array over them and answer with ranges.
 4. Chunks mark what was answered, cut it out and give the digests.
 
-A key that many documents share is one entry for each chunk at most. Chunks are rewritten alike and renamed, so
+A key that many documents share is one entry for each chunk at most; suffix arrays are built over a few MB of whole keys
+at a time, and a key that is larger has its windows dealt out once more, by their content. Chunks are rewritten alike and renamed, so
 a retried task changes nothing. Answers about equal segments rest on 40 + 48 bits of digests; all others on the bytes.
 
 Defined results: null and empty texts have 0 bytes; shorter texts than LENGTH keep all; equal doc_ids aren't smaller
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import mix, open_fs, shared_dir, stored, utf8
+from hexsite.llm._shared import mix, open_fs, released, shared_dir, small_batches, stored, utf8
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -351,39 +352,81 @@ def _third_step(folder: str, buckets: int):
                 lead = order[first[cut[b] + places.astype(np.int64)]]
                 length = s.windows[lead] + LENGTH - 1
                 at = np.arange(length.sum()) + np.repeat(s.start[lead] - (np.cumsum(length) - length), length)
-                yield _message([(b, chunk, "bytes", pack(places, s.id[lead], length.astype(np.uint8), raw[at]))])
+                yield _message([(b, chunk, "bytes", pack(places, s.id[lead], length.astype(np.uint8), raw[at], (s.key[lead] >> np.uint64(24)).astype(np.uint32)))])
 
     return run
 
 
+def _repeats(text: np.ndarray, begin: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Places of ``text`` whose window starts, in the segments' order, in a segment of a smaller document too.
+
+    One suffix array over the segments, one after the other.
+    """
+    own = np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)
+    part = text[own]
+    at = np.cumsum(length) - length
+    words = words_at(part)
+    order = suffix_array(part, words)
+    owner = np.repeat(np.arange(len(length), dtype=np.int32), length)
+    order = order[order - at[owner[order]] <= length[owner[order]] - LENGTH]
+    group = np.flatnonzero(common_prefixes(words, order) < LENGTH)
+    of = doc[owner[order]]
+    least = np.repeat(np.minimum.reduceat(of, group), np.diff(np.append(group, len(order))))
+    return own[order[of > least]]
+
+
+def _batches(size: np.ndarray, key: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """Segments, whole keys together, of about ``most`` bytes; and whether it is one key that alone is larger."""
+    order = np.argsort(key, kind="stable")
+    edge = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1], [True]]))
+    total = np.concatenate([[0], np.cumsum(size[order])])
+    a = 0
+    while a < len(edge) - 1:
+        b = max(a + 1, int(np.searchsorted(total[edge], total[edge[a]] + most, side="right")) - 1)
+        yield order[edge[a] : edge[b]], bool(total[edge[b]] - total[edge[a]] > most)
+        a = b
+
+
+ARRAY = 3 << 20
+
+
 def _fourth_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffix array over a bucket's segments; ranges of windows that are repeats."""
+    """Suffix arrays over a bucket's segments, a few MB at a time; ranges of windows that are repeats."""
     for (bucket,), got in _by_bucket(batches):
         parts = [unpack(b) for b in got["body"]]
         text = np.concatenate([p[3] for p in parts])
         length = np.concatenate([p[2] for p in parts]).astype(np.int64)
         doc = np.concatenate([p[1] for p in parts])
+        key = np.concatenate([p[4] for p in parts])
+        bound = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
+        places = [p[0] for p in parts]
+        del parts
         begin = np.cumsum(length) - length
-        windows = length - LENGTH + 1
-        words = words_at(text)
-        order = suffix_array(text, words)
-        owner = np.repeat(np.arange(len(length)), length)
-        order = order[order - begin[owner[order]] < windows[owner[order]]]
-        group = np.flatnonzero(common_prefixes(words, order) < LENGTH)
-        of = doc[owner[order]]
-        least = np.repeat(np.minimum.reduceat(of, group), np.diff(np.append(group, len(order))))
         repeat = np.zeros(len(text) + 1, bool)
-        repeat[order[of > least]] = True
+        for some, large in _batches(length, key, ARRAY):
+            if not large:
+                repeat[_repeats(text, begin[some], length[some], doc[some])] = True
+                continue
+            # one key in very many segments: each window by itself, dealt into batches by its content
+            many = length[some] - LENGTH + 1
+            first = np.arange(many.sum()) + np.repeat(begin[some] - (np.cumsum(many) - many), many)
+            word = np.ndarray((len(text) - 7,), "<u8", text.tobytes(), strides=(1,))
+            mark = np.zeros(len(first), np.uint64)
+            for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+                mark = mix(mark ^ word[first + k])
+            own = np.repeat(doc[some], many)
+            for again, _ in _batches(np.full(len(first), LENGTH), mark, ARRAY):
+                repeat[_repeats(text, first[again], np.full(len(again), LENGTH), own[again])] = True
+        owner = np.repeat(np.arange(len(length), dtype=np.int32), length)
         edge = np.diff(np.concatenate([[0], repeat.astype(np.int8)]))
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # never across segments: each ends in places that are no window
         seg = owner[a]
         a, b = a - begin[seg], b - begin[seg]
-        bound = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
         cut = np.searchsorted(seg, bound)
         for m, chunk in enumerate(got["chunk"]):
             x = slice(cut[m], cut[m + 1])
             if cut[m] < cut[m + 1]:
-                yield _message([(bucket, chunk, "ranges", pack(parts[m][0][seg[x] - bound[m]], a[x].astype(np.uint8), b[x].astype(np.uint8)))])
+                yield _message([(bucket, chunk, "ranges", pack(places[m][seg[x] - bound[m]], a[x].astype(np.uint8), b[x].astype(np.uint8)))])
 
 
 def _last_step(folder: str, buckets: int, text_out: bool):
@@ -445,13 +488,14 @@ def without_repeats(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
     fs, at = open_fs(folder)
     fs.create_dir(at, recursive=True)
 
-    sent = source.mapInArrow(_first_step(folder, buckets), MESSAGE)
-    answers = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_second_step, MESSAGE), "suffix-answers")
+    small_batches(spark)
+    sent = source.mapInArrow(released(_first_step(folder, buckets)), MESSAGE)
+    answers = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(released(_second_step), MESSAGE), "suffix-answers")
     chunks = max(1, answers.filter("kind = 'chunk'").count())
-    asked = answers.repartition(chunks, "chunk").sortWithinPartitions("chunk").mapInArrow(_third_step(folder, buckets), MESSAGE)
-    ranges = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_fourth_step, MESSAGE)
+    asked = answers.repartition(chunks, "chunk").sortWithinPartitions("chunk").mapInArrow(released(_third_step(folder, buckets)), MESSAGE)
+    ranges = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(released(_fourth_step), MESSAGE)
     heard = answers.unionByName(ranges).repartition(chunks, "chunk").sortWithinPartitions("chunk")
-    return heard.mapInArrow(_last_step(folder, buckets, not digests), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if digests else 'binary'}")
+    return heard.mapInArrow(released(_last_step(folder, buckets, not digests)), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if digests else 'binary'}")
 
 
 def op9(docs: DataFrame) -> DataFrame:
