@@ -7,7 +7,8 @@ the others revisit it; smaller ones are responses. Reading: the dictionary is lo
 decoded one by one, and each record's version, mandatory headers, block length, digests and end are held against what
 it says; a frame must hold exactly one record.
 
-Archives are written in the shared folder under a name of the attempt's own and renamed, so retried tasks leave one.
+Archives are written in the shared folder, each attempt's under names of its own and renamed when whole; the list, which is
+committed with one attempt of each task, names what is read, so retried and doubled tasks do no harm.
 The first page of a payload is found by an aggregate on digests, so a payload that very many pages share is one row; the
 join back is one that adaptive execution can split.
 
@@ -164,8 +165,8 @@ def write_archives(pages: DataFrame, folder: str, *, page: str = "page_id", url:
 
         def flush() -> pa.RecordBatch:
             nonlocal records, samples, size, made
-            name = f"pages-{part:07d}-{made:05d}.warc.zst"
-            own = f"{at}/.{name}.{uuid.uuid4().hex}"
+            name = f"pages-{part:07d}-{made:05d}-{uuid.uuid4().hex[:12]}.warc.zst"
+            own = f"{at}/.{name}"
             with fs.open_output_stream(own, compression=None) as out:
                 out.write(archive(records, samples))
             fs.move(own, f"{at}/{name}")
