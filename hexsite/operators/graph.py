@@ -9,29 +9,35 @@ hub's edges meet its minimum in a join that adaptive execution can split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hexsite.sources.shared import stored
 
 
+def _round(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, stored, and a mark of them (count and a sum of hashes) taken while they are written."""
+    seen = Observation()
+    marked = edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(lo, hi))").alias("x"))
+    out = stored(marked, "components")
+    return out, (seen.get["n"], seen.get["x"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", *, most_rounds: int = 60) -> DataFrame:
     """(node, component) for each node on an edge; a component's name is its least node. Loops and nulls are left out."""
     x, y = F.col(a), F.col(b)
-    now = stored(edges.filter(x != y).select(F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi")).distinct(), "components")
-    seen = None
+    now, mark = _round(edges.filter(x != y).select(F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi")))
     for _ in range(most_rounds):
-        mark = now.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(lo, hi))").alias("x")).first()
-        if mark == seen:
-            break
-        seen = mark
         both = now.unionByName(now.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
         least = both.groupBy(F.col("lo").alias("at")).agg(F.least(F.min("hi"), F.first("lo")).alias("to"))
         large = now.join(least, F.col("lo") == F.col("at")).select(F.col("to").alias("lo"), "hi").distinct()
         least = large.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("to"))
         tied = large.join(least, F.col("hi") == F.col("at"))
         small = tied.filter(F.col("lo") != F.col("to")).select(F.col("to").alias("lo"), F.col("lo").alias("hi")).unionByName(least.select(F.col("to").alias("lo"), F.col("at").alias("hi")))
-        now = stored(small.distinct(), "components")
+        before = mark
+        now, mark = _round(small)
+        if mark == before:
+            break
     else:
         raise RuntimeError(f"components are still changing after {most_rounds} rounds")
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
