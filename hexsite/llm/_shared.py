@@ -35,6 +35,38 @@ def write_atomically(uri: str, content: bytes) -> None:
     fs.move(own, path)
 
 
+def released(run):
+    """A task's function that gives its memory back to the system when it ends: Python workers live on between tasks."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library: it keeps what it has
+                pass
+
+    return wrapped
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most so many rows in an Arrow batch of this session: texts are long, and an executor's memory is small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def partitions(parts: int, most: int = 20_000) -> int:
+    """Partitions for so many parts: beyond ``most``, a task takes several of them, one after the other."""
+    return max(1, min(parts, most))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8; null is empty."""
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
@@ -112,4 +144,5 @@ def annotate(df: DataFrame, text: str, keep: list[str], fields: dict[str, pa.Dat
                 arrays = [rows.slice(a, b - a), *[x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, fields.values(), strict=True)]]
                 yield pa.RecordBatch.from_arrays(arrays, names=["keep", *fields])
 
-    return source.mapInArrow(run, schema)
+    small_batches(df.sparkSession)
+    return source.mapInArrow(released(run), schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import annotate, slices, utf8, words
+from hexsite.llm._shared import annotate, released, slices, utf8, words
 
 LONGEST, FLOOR = 24, 1e-7
 FIELDS = {"lang_pred": pa.string(), "score": pa.float64()}
@@ -120,7 +120,7 @@ def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, str
         for s, x in counts[lang].items():
             n[number[s], c] = x
     p = np.full((vocabulary.n, len(langs)), 1.0 / vocabulary.n)
-    block = 20_000
+    block = 8_000
     for _ in range(rounds):
         expected = np.zeros_like(p)
         for a in range(0, len(strings), block):
@@ -144,19 +144,19 @@ def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, str
 class Scorer:
     """Languages of texts under a fitted model."""
 
-    def __init__(self, vocabulary: Vocabulary, langs: list[str], p: np.ndarray, most: int = 600_000):
+    def __init__(self, vocabulary: Vocabulary, langs: list[str], p: np.ndarray, most: int = 400_000):
         self.vocabulary, self.langs, self.p, self.most = vocabulary, langs, p, most
         self.clear()
 
     def clear(self) -> None:
         self.row: dict[bytes, int] = {}
-        self.score = np.zeros((1024, len(self.langs)))
+        self.score = np.zeros((1024, len(self.langs)), np.float32)
         self.letter = np.zeros(1024, bool)
 
     def learn(self, new: set[bytes]) -> None:
         todo = list(new)
-        for a in range(0, len(todo), 10_000):
-            some = todo[a : a + 10_000]
+        for a in range(0, len(todo), 5_000):
+            some = todo[a : a + 5_000]
             cut = [parts_of(w) for w in some]
             logs = log_probabilities(self.vocabulary, [s for c in cut for s in c], self.p)
             at = len(self.row)
@@ -184,7 +184,7 @@ class Scorer:
                 names.append("und")
                 scores.append(0.0)
                 continue
-            total = self.score[rows].sum(axis=0)
+            total = self.score[rows].sum(axis=0, dtype=np.float64)
             best = int(total.argmax())
             names.append(self.langs[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
@@ -210,7 +210,7 @@ def trained(docs: DataFrame, vocabulary: str, *, doc: str = "doc_id", text: str
                 got = Counter((n, s) for n, t in zip(names[a:b], texts[a:b], strict=True) for w in words(t) for s in parts_of(w))
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got]), pa.array([s for _, s in got]), pa.array(got.values(), pa.int64())], names=["lang", "string", "n"])
 
-    table = sample.mapInArrow(count, "lang string, string string, n long").groupBy("lang", "string").agg(F.sum("n").alias("n"))
+    table = sample.mapInArrow(released(count), "lang string, string string, n long").groupBy("lang", "string").agg(F.sum("n").alias("n"))
     counts: dict[str, Counter] = {k: Counter() for k in sizes}
     for r in table.toLocalIterator():  # bounded by fit_bytes_all
         counts[r["lang"]][r["string"]] = r["n"]

@@ -30,10 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import mix, open_fs, shared_dir, utf8, write_atomically
+from hexsite.llm._shared import mix, open_fs, partitions, released, shared_dir, small_batches, utf8, write_atomically
 
 END, SCALE, LANES, STEPS, SLAB = 2, 20, 64, 512, 48
 LOW = np.uint64(1 << 31)
@@ -211,13 +211,15 @@ class Pieces:
     the library, many as one line, cut again by the tokens' byte lengths. A table of ``most`` pieces is begun anew.
     """
 
-    def __init__(self, path: str, most: int = 2_500_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, most: int = 1_500_000):
+        import os
+
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and each thread would hold memory of its own
         self.library = Tokenizer.from_file(path)
-        plan = json.loads(self.library.to_str())
-        step = plan.get("pre_tokenizer") or {}
-        self.by_piece = plan.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex", True) and not step.get("add_prefix_space")
+        step = self.library.pre_tokenizer
+        self.by_piece = self.library.normalizer is None and isinstance(step, pre_tokenizers.ByteLevel) and step.use_regex and not step.add_prefix_space
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([END], self.kind).tobytes()
         vocabulary = self.library.get_vocab()
@@ -232,7 +234,10 @@ class Pieces:
         self.pool, self.used = np.zeros(1 << 16, self.kind), 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[np.ndarray] = []
+        for a in range(0, len(texts), 16):  # the library's own results are large
+            out += [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts[a : a + 16], add_special_tokens=False)]
+        return out
 
     @staticmethod
     def _hash(raw: bytes, start: np.ndarray, size: np.ndarray, seed: np.ndarray) -> np.ndarray:
@@ -346,7 +351,7 @@ def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str
             a = held = 0
             for b, n in enumerate(pc.binary_length(batch.column(1)).to_pylist(), 1):
                 held += n
-                if held < 4 << 20 and b < batch.num_rows:
+                if held < 2 << 20 and b < batch.num_rows:
                     continue
                 ids = pieces.encode(utf8(batch.column(1).slice(a, b - a)))
                 got = np.bincount(np.frombuffer(b"".join(ids), pieces.kind))
@@ -358,7 +363,8 @@ def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str
         if len(seen):
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([seen.astype("<i8").tobytes()], pa.binary())], names=names)
 
-    return source.mapInArrow(run, "doc_id long, ids binary, histogram binary")
+    small_batches(docs.sparkSession)
+    return source.mapInArrow(released(run), "doc_id long, ids binary, histogram binary")
 
 
 def frequency_table(stored: DataFrame) -> Table:
@@ -375,12 +381,12 @@ def frequency_table(stored: DataFrame) -> Table:
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], names=["id", "n"])
 
-    counts = stored.filter("histogram IS NOT NULL").select("histogram").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = stored.filter("histogram IS NOT NULL").select("histogram").mapInArrow(released(unpack), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     return Table.of_counts(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "doc_id", text: str = "text", shard_bytes: int = 12 << 20) -> DataFrame:
-    """Tokenize, write ``folder``, and give the manifest: shard, file, n_ids, start (ids in all shards before)."""
+    """Tokenize, write ``folder``, and give the manifest: part, seq, file, n_ids, start (ids in all shards before)."""
     from hexsite.llm._shared import stored
 
     spark = docs.sparkSession
@@ -398,24 +404,36 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "do
         from tokenizers import Tokenizer
 
         width = np.dtype("<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4")
-        shard = TaskContext.get().partitionId()
+        part, made = TaskContext.get().partitionId(), 0
         fs, at = open_fs(folder)
-        final, own, writer = f"{at}/shard-{shard:08d}.rans", f"{at}/shard-{shard:08d}.{uuid.uuid4().hex}.tmp", None
+        freq = Table.from_bytes(shared.value)
+        writer = own = out = None
+
+        def close() -> pa.RecordBatch:
+            nonlocal writer, made
+            writer.close()
+            out.close()
+            name = f"shard-{part:08d}-{made:05d}.rans"
+            fs.move(own, f"{at}/{name}")
+            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([made], pa.int64()), pa.array([name]), pa.array([writer.n_ids], pa.int64())], names=["part", "seq", "file", "n_ids"])
+            writer, made = None, made + 1
+            return row
+
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if writer is None:
-                    out = fs.open_output_stream(own)
-                    writer = ShardWriter(out, Table.from_bytes(shared.value))
+                    own = f"{at}/shard-{part:08d}-{made:05d}.{uuid.uuid4().hex}.tmp"
+                    out = fs.open_output_stream(own, compression=None)
+                    writer = ShardWriter(out, freq)
                 writer.add(doc_id, np.frombuffer(ids, width).astype(np.uint32))
+                if writer.n_ids * width.itemsize >= 2 * shard_bytes:  # a range may hold more than its share
+                    yield close()
         if writer is not None:
-            writer.close()
-            out.close()
-            fs.move(own, final)
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([f"shard-{shard:08d}.rans"]), pa.array([writer.n_ids], pa.int64())], names=["shard", "file", "n_ids"])
+            yield close()
 
-    ranged = kept.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
-    manifest = stored(ranged.mapInArrow(write, "shard long, file string, n_ids long"), "token-manifest")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
+    ranged = kept.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(partitions(shards), "doc_id").sortWithinPartitions("doc_id", "ids")
+    manifest = stored(ranged.mapInArrow(released(write), "part long, seq long, file string, n_ids long"), "token-manifest")
+    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
@@ -450,8 +468,7 @@ def _read(manifest: DataFrame, folder: str, schema: str, give) -> DataFrame:
                     some = docs[a : a + 2000]
                     yield pa.RecordBatch.from_arrays([pa.array([d for d, _, _ in some], pa.int64()), pa.array([start + s for _, s, _ in some], pa.int64()), give([ids[s : s + n] for _, s, n in some])], names=["doc_id", "start", third])
 
-    shards = max(1, manifest.count())
-    return manifest.select("file", "start").repartition(shards).mapInArrow(read, schema)
+    return manifest.select("file", "start").repartition(partitions(manifest.count())).mapInArrow(released(read), schema)
 
 
 def op6(docs: DataFrame, tokenizer: str) -> DataFrame:
