@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import mix, open_fs, released, shared_dir, small_batches, stored, utf8
+from hexsite.llm._shared import mix, open_fs, partitions, released, shared_dir, small_batches, stored, utf8
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -490,11 +490,11 @@ def without_repeats(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
 
     small_batches(spark)
     sent = source.mapInArrow(released(_first_step(folder, buckets)), MESSAGE)
-    answers = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(released(_second_step), MESSAGE), "suffix-answers")
-    chunks = max(1, answers.filter("kind = 'chunk'").count())
-    asked = answers.repartition(chunks, "chunk").sortWithinPartitions("chunk").mapInArrow(released(_third_step(folder, buckets)), MESSAGE)
-    ranges = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(released(_fourth_step), MESSAGE)
-    heard = answers.unionByName(ranges).repartition(chunks, "chunk").sortWithinPartitions("chunk")
+    answers = stored(sent.repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(released(_second_step), MESSAGE), "suffix-answers")
+    chunks = answers.filter("kind = 'chunk'").count()
+    asked = answers.repartition(partitions(chunks), "chunk").sortWithinPartitions("chunk").mapInArrow(released(_third_step(folder, buckets)), MESSAGE)
+    ranges = asked.repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(released(_fourth_step), MESSAGE)
+    heard = answers.unionByName(ranges).repartition(partitions(chunks), "chunk").sortWithinPartitions("chunk")
     return heard.mapInArrow(released(_last_step(folder, buckets, not digests)), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if digests else 'binary'}")
 
 

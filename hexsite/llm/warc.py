@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import open_fs, shared_dir
+from hexsite.llm._shared import open_fs, partitions, shared_dir
 
 DICTIONARY, SKIPPABLE = 0x184D2A5D, range(0x184D2A50, 0x184D2A60)
 DATE = "2024-01-01T00:00:00Z"
@@ -217,7 +217,7 @@ def read_archives(listed: DataFrame, folder: str, *, payloads: bool = False) ->
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in fields.items()], names=list(fields))
 
-    return listed.select("file", "records").repartition(max(1, listed.count())).mapInArrow(run, ddl)
+    return listed.select("file", "records").repartition(partitions(listed.count())).mapInArrow(run, ddl)
 
 
 def op4(pages: DataFrame) -> DataFrame:
