@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import annotate, hash_words, mix, stored, words
+from hexsite.llm._shared import annotate, hash_words, mix, released, stored, words
 from hexsite.operators.graph import components
 
 TREES, WIDTH, DEEPEST = 24, 6, 8
@@ -173,9 +173,9 @@ def candidate_ties(nodes: DataFrame, depth: int, estimate: float) -> DataFrame:
 
         return run
 
-    first = stored(met.repartition("key", "salt").sortWithinPartitions("key", "salt", "digest").mapInArrow(tie(estimate, True), schema), "forest-ties")
+    first = stored(met.repartition("key", "salt").sortWithinPartitions("key", "salt", "digest").mapInArrow(released(tie(estimate, True)), schema), "forest-ties")
     late = first.filter("b IS NULL").select("key", F.lit(0).alias("salt"), F.lit(1).alias("salts"), F.col("a").alias("digest"), "brief")
-    second = late.repartition("key").sortWithinPartitions("key", "salt", "digest").mapInArrow(tie(estimate - 0.3, False), schema)
+    second = late.repartition("key").sortWithinPartitions("key", "salt", "digest").mapInArrow(released(tie(estimate - 0.3, False)), schema)
     return first.filter("b IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
 
@@ -272,8 +272,8 @@ def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_eac
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["digest", "links", "root"])
 
-    pieces = with_text.mapInArrow(spread, shape).repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "digest")
-    return pieces.mapInArrow(compare, "digest binary, links long, root binary")
+    pieces = with_text.mapInArrow(released(spread), shape).repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "digest")
+    return pieces.mapInArrow(released(compare), "digest binary, links long, root binary")
 
 
 def joined(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", words_each: int = 5, threshold: tuple[int, int] = (4, 5), recall: float = 0.999) -> DataFrame:
@@ -309,7 +309,7 @@ def deduplicated(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") ->
     """One document of each class, that with the least id, with the columns it came with; repeated rows stay once."""
     classes = joined(docs, doc=doc, text=text)
     stay = stored(classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "class-firsts").withColumnRenamed("doc_id", "stays")
-    out = docs.join(stay.select("stays"), F.col(f"`{doc}`").eqNullSafe(F.col("stays")), "left_semi")
+    out = docs.join(stay.select("stays").hint("merge"), F.col(f"`{doc}`").eqNullSafe(F.col("stays")), "left_semi")
     return out.dropDuplicates([doc]) if stay.filter("rows > 1").limit(1).count() else out
 
 

@@ -30,8 +30,14 @@ SEED = "mix-1"
 
 
 def words_of(text: Column) -> Column:
-    """Number of runs of characters other than space and the controls 9-13."""
-    return F.coalesce(F.size(F.filter(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " ", -1), lambda w: w != "")), F.lit(0)).cast("long")
+    """Number of runs of characters other than space and the controls 9-13, by counting spaces: no word is made a value."""
+    line = text
+    for c in "\t\n\x0b\x0c\r":
+        line = F.replace(line, F.lit(c), F.lit(" "))
+    line = F.trim(line)
+    line = F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " {2,}", " ")).otherwise(line)
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.coalesce(F.when(line == "", 0).otherwise(spaces + 1), F.lit(0)).cast("long")
 
 
 def targets(sizes: DataFrame, *, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -55,29 +61,32 @@ def mixed(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", source: s
     """doc_id, size, source_size, target, copies, taken; with ``keep_rows`` also the document, as struct ``keep``."""
     md5 = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc).cast("string"), F.lit("null"))).cast("binary"))
     kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("keep")] if keep_rows else []
-    sized = docs.select(F.col(doc).alias("doc_id"), F.col(source).alias("source"), words_of(F.col(text)).alias("size"), md5.alias("order"), *kept).withColumn("bits", F.length(F.bin("size")))
+    sized = docs.select(F.col(doc).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-")).alias("name"), words_of(F.col(text)).alias("size"), md5.alias("order"), *kept).withColumn("bits", F.length(F.bin("size")))
 
+    narrow = stored(sized.drop("keep"), "mix-sizes")  # a few numbers a document: the texts are read once for these
     if not keep_rows:
-        sized = stored(sized, "mix-sizes")  # a few numbers a document: the texts are read once
+        sized = narrow
 
-    totals = sized.groupBy("source", "bits").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    totals = narrow.groupBy("source", "bits").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     goals = targets(totals.groupBy("source").agg(F.sum("source_size").alias("source_size")), share=share, most=most, weights=weights)
     largest = totals.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("m")).first()["m"]
     ranges = max(1, -(-largest // cell_rows))
 
-    celled = sized.withColumn("cell", F.floor(_rank_value(F.col("order")) * F.lit(ranges) / F.lit(1 << 32)).cast("int"))
-    cells = celled.groupBy("source", "bits", "cell").agg(F.count(F.lit(1)).alias("rows"))
-    in_order = Window.partitionBy("source").orderBy("bits", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    cell = F.floor(_rank_value(F.col("order")) * F.lit(ranges) / F.lit(1 << 32)).cast("int")
+    celled = sized.withColumn("cell", cell)
+    cells = narrow.withColumn("cell", cell).groupBy("name", "bits", "cell").agg(F.first("source").alias("source"), F.count(F.lit(1)).alias("rows"))
+    in_order = Window.partitionBy("name").orderBy("bits", "cell").rowsBetween(Window.unboundedPreceding, -1)
     plan = (
         cells.withColumn("before", F.coalesce(F.sum("rows").over(in_order), F.lit(0)))
         .alias("c")
         .join(goals.alias("g"), F.col("c.source").eqNullSafe(F.col("g.source")))
-        .select("c.source", "c.bits", "c.cell", "before", "g.source_size", "target")
+        .select("c.name", "c.bits", "c.cell", "before", "g.source_size", "target")
     )
-    within = Window.partitionBy("source", "bits", "cell").orderBy("order", "doc_id", "size")
-    placed = celled.withColumn("rank", F.row_number().over(within)).alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.bits") == F.col("p.bits")) & (F.col("d.cell") == F.col("p.cell")))
+    # ranks and the join are dealt by the same columns: documents are shuffled once
+    within = Window.partitionBy("name", "bits", "cell").orderBy("order", "doc_id", "size")
+    placed = celled.withColumn("rank", F.row_number().over(within)).join(plan, ["name", "bits", "cell"])
 
-    offset = _rank_value(F.md5(F.concat(F.lit(seed + "/"), F.coalesce(F.col("d.source").cast("string"), F.lit("null"))).cast("binary"))) / F.lit(float(1 << 32))
+    offset = _rank_value(F.md5(F.concat(F.lit(seed + "/"), F.coalesce(F.col("source").cast("string"), F.lit("null"))).cast("binary"))) / F.lit(float(1 << 32))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     place = F.col("before") + F.col("rank")
     copies = (F.floor(offset + place * each) - F.floor(offset + (place - F.lit(1)) * each)).cast("long")
