@@ -144,7 +144,7 @@ def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, str
 class Scorer:
     """Languages of texts under a fitted model."""
 
-    def __init__(self, vocabulary: Vocabulary, langs: list[str], p: np.ndarray, most: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, langs: list[str], p: np.ndarray, most: int = 550_000):
         self.vocabulary, self.langs, self.p, self.most = vocabulary, langs, p, most
         self.clear()
 

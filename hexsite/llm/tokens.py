@@ -211,7 +211,7 @@ class Pieces:
     the library, many as one line, cut again by the tokens' byte lengths. A table of ``most`` pieces is begun anew.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 2_000_000):
         import os
 
         from tokenizers import Tokenizer, pre_tokenizers
