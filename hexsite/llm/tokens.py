@@ -235,8 +235,8 @@ class Pieces:
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        for a in range(0, len(texts), 16):  # the library's own results are large
-            out += [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts[a : a + 16], add_special_tokens=False)]
+        for a in range(0, len(texts), 64):  # the library's own results are large
+            out += [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts[a : a + 64], add_special_tokens=False)]
         return out
 
     @staticmethod
@@ -351,7 +351,7 @@ def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str
             a = held = 0
             for b, n in enumerate(pc.binary_length(batch.column(1)).to_pylist(), 1):
                 held += n
-                if held < 2 << 20 and b < batch.num_rows:
+                if held < 4 << 20 and b < batch.num_rows:
                     continue
                 ids = pieces.encode(utf8(batch.column(1).slice(a, b - a)))
                 got = np.bincount(np.frombuffer(b"".join(ids), pieces.kind))
