@@ -46,4 +46,4 @@ def oracle_sql() -> dict[str, str]:
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     _load()
-    return _QUERIES["q1_coverage_baseline"](spark, sf_dir)
+    return _QUERIES["q1_coverage_all_sites"](spark, sf_dir)

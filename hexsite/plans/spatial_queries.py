@@ -238,24 +238,47 @@ cov AS (SELECT site_id, cell FROM (SELECT site_id, lat, lng FROM sites WHERE sit
 """
 
 
-def _covered(spark, sf_dir):
-    return X.coverage(view(spark, sf_dir, "sites").filter("site_id % 10 = 0"), "site_id", cells(spark, sf_dir), 3.0)
+#: all sites; the three queries by COVER read every tenth one, as their SQL does
+COVER_ALL = COVER.replace(" WHERE site_id % 10 = 0", "")
+TENTH = "site_id % 10 = 0"
+COUNTS = "SELECT site_id, count(*) AS n, round(sum(pop), 6) AS pop FROM cov JOIN cells USING (cell) GROUP BY 1"
+BASELINE = ", hit AS (SELECT sum(pop) AS c FROM cells WHERE cell IN (SELECT cell FROM cov)) SELECT round(coalesce(c, 0), 5) AS covered, round((SELECT sum(pop) FROM cells), 5) AS total, round(coalesce(c, 0) / (SELECT sum(pop) FROM cells), 6) AS share FROM hit"
+SETS = ", k AS (SELECT site_id, list(cell ORDER BY cell) AS l FROM cov GROUP BY 1) SELECT count(DISTINCT l) AS n_sets, count(*) AS n_candidates, round(count(DISTINCT l) * 1e0 / count(*), 6) AS ratio FROM k"
 
 
-@query("jn29_coverage", oracle(COVER + "SELECT site_id, count(*) AS n, round(sum(pop), 6) AS pop FROM cov JOIN cells USING (cell) GROUP BY 1"))
+def _covered(spark, sf_dir, which="true"):
+    return X.coverage(view(spark, sf_dir, "sites").filter(which), "site_id", cells(spark, sf_dir), 3.0)
+
+
+@query("jn29_coverage_all_sites", oracle(COVER_ALL + COUNTS))
+def covered_all(spark, sf_dir, which="true"):
+    return _covered(spark, sf_dir, which).join(cells(spark, sf_dir).select("cell", "pop"), "cell").groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("pop"), 6).alias("pop"))
+
+
+@query("jn29_coverage", oracle(COVER + COUNTS))
 def covered(spark, sf_dir):
-    return _covered(spark, sf_dir).join(cells(spark, sf_dir).select("cell", "pop"), "cell").groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("pop"), 6).alias("pop"))
+    return covered_all(spark, sf_dir, TENTH)
 
 
-@query("q1_coverage_baseline", oracle(COVER + ", hit AS (SELECT sum(pop) AS c FROM cells WHERE cell IN (SELECT cell FROM cov)) SELECT round(coalesce(c, 0), 5) AS covered, round((SELECT sum(pop) FROM cells), 5) AS total, round(coalesce(c, 0) / (SELECT sum(pop) FROM cells), 6) AS share FROM hit"))
-def coverage_baseline(spark, sf_dir):
-    u = P.union_coverage(_covered(spark, sf_dir), cells(spark, sf_dir), "pop")
+@query("q1_coverage_all_sites", oracle(COVER_ALL + BASELINE))
+def coverage_all(spark, sf_dir, which="true"):
+    u = P.union_coverage(_covered(spark, sf_dir, which), cells(spark, sf_dir), "pop")
     return u.select(F.round("covered", 5).alias("covered"), F.round("total", 5).alias("total"), F.round("share", 6).alias("share"))
 
 
-@query("ag30_distinct_coverage", oracle(COVER + ", k AS (SELECT site_id, list(cell ORDER BY cell) AS l FROM cov GROUP BY 1) SELECT count(DISTINCT l) AS n_sets, count(*) AS n_candidates, round(count(DISTINCT l) * 1e0 / count(*), 6) AS ratio FROM k"))
+@query("q1_coverage_baseline", oracle(COVER + BASELINE))
+def coverage_baseline(spark, sf_dir):
+    return coverage_all(spark, sf_dir, TENTH)
+
+
+@query("ag30_distinct_coverage_all_sites", oracle(COVER_ALL + SETS))
+def distinct_coverage_all(spark, sf_dir, which="true"):
+    return P.distinct_coverage(_covered(spark, sf_dir, which), "site_id").withColumn("ratio", F.round("ratio", 6))
+
+
+@query("ag30_distinct_coverage", oracle(COVER + SETS))
 def distinct_coverage(spark, sf_dir):
-    return P.distinct_coverage(_covered(spark, sf_dir), "site_id").withColumn("ratio", F.round("ratio", 6))
+    return distinct_coverage_all(spark, sf_dir, TENTH)
 
 
 @query("mclp_greedy")
