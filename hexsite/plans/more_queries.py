@@ -267,6 +267,15 @@ def reason_order(spark, sf_dir):
     return S.split_supply(sites(spark, sf_dir))[1].select("site_id", "reason").orderBy("reason", "site_id").limit(50)
 
 
+@query("so2_reason_priority", oracle(RESOLVED + """SELECT site_id, reason FROM x WHERE NOT in_supply ORDER BY CASE reason WHEN 'CROSS_SOURCE_DUP' THEN 1 WHEN 'ACCESS_UNKNOWN' THEN 2 WHEN 'OUT_OF_SERVICE' THEN 3
+  WHEN 'COORD_PLACEHOLDER' THEN 4 WHEN 'COORD_OUTSIDE_ADMIN' THEN 5 ELSE 6 END, site_id"""))
+def reason_priority(spark, sf_dir):
+    """All excluded sites; so2_reason_order is the head of another order, as its SQL says."""
+    from hexsite.operators import supply as S
+
+    return S.reported(S.split_supply(sites(spark, sf_dir))[1].select("site_id", "reason"), "site_id")
+
+
 @query("se4_split_and_join", oracle("SELECT poi FROM poi WHERE class <> 'APARTMENT' UNION ALL SELECT min(poi) FROM poi WHERE class = 'APARTMENT' GROUP BY poi % 100"))
 def split_and_join(spark, sf_dir):
     p = view(spark, sf_dir, "poi")

@@ -48,3 +48,11 @@ def test_greedy_chooses_from_all_sites(spark, near):
         left = {s: cs - sets[best] for s, cs in left.items()}
     got = catalogue.queries()["mclp_greedy"](spark, DATA).orderBy("step").collect()
     assert [r["site_id"] for r in got] == want
+
+
+def test_all_excluded_sites_by_priority(spark):
+    rank = ["CROSS_SOURCE_DUP", "ACCESS_UNKNOWN", "OUT_OF_SERVICE", "COORD_PLACEHOLDER", "COORD_OUTSIDE_ADMIN", "RESTRICTED"]
+    got = [tuple(r) for r in catalogue.queries()["so2_reason_priority"](spark, DATA).collect()]
+    every = [tuple(r) for r in catalogue.queries()["flt6_exclusion_reason"](spark, DATA).collect()]
+    assert len(got) > 50
+    assert got == sorted(every, key=lambda r: (rank.index(r[1]), r[0]))
