@@ -51,16 +51,19 @@ def read_wkb(raw: bytes) -> list[list[np.ndarray]]:
 
 
 def contains(polygons: list[list[np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Even-odd rule over all rings: holes and several parts alike. Vectorised over the points."""
+    """Strictly within: even-odd rule over all rings, holes and several parts alike; a point on a ring is outside that part.
+    Vectorised over the points."""
     inside = np.zeros(len(x), bool)
     for rings in polygons:
-        part = np.zeros(len(x), bool)
+        part, edge = np.zeros(len(x), bool), np.zeros(len(x), bool)
         for r in rings:
             for (x0, y0), (x1, y1) in zip(r[:-1], r[1:], strict=True):
                 if y0 != y1:
                     cross = ((y0 > y) != (y1 > y)) & (x < (x1 - x0) * (y - y0) / (y1 - y0) + x0)
                     part ^= cross
-        inside |= part
+                between = (np.minimum(x0, x1) <= x) & (x <= np.maximum(x0, x1)) & (np.minimum(y0, y1) <= y) & (y <= np.maximum(y0, y1))
+                edge |= between & ((x1 - x0) * (y - y0) == (y1 - y0) * (x - x0))
+        inside |= part & ~edge
     return inside
 
 

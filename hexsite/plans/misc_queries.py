@@ -86,6 +86,12 @@ def _polygons(spark, sf_dir):
     return view(spark, sf_dir, "provinces").select("province", "lat0", "lat1", "lng0", "lng1").mapInArrow(run, "province int, geom binary")
 
 
+@query("jn17_points_in_wkb_all_sites", oracle("SELECT s.site_id, (SELECT min(p.province) FROM provinces p WHERE s.lat > p.lat0 AND s.lat < p.lat1 AND s.lng > p.lng0 AND s.lng < p.lng1) AS province FROM sites s"))
+def points_in_wkb_all(spark, sf_dir):
+    """A site on an edge is in no province; jn17_points_in_wkb leaves out those on the southern one, as its SQL does."""
+    return A.points_in_polygons(view(spark, sf_dir, "sites").select("site_id", "lat", "lng"), "site_id", _polygons(spark, sf_dir), "province")
+
+
 @query("jn17_points_in_wkb", oracle("SELECT s.site_id, (SELECT min(p.province) FROM provinces p WHERE s.lat > p.lat0 AND s.lat < p.lat1 AND s.lng > p.lng0 AND s.lng < p.lng1) AS province FROM sites s WHERE s.site_id % 10007 <> 0"))
 def points_in_wkb(spark, sf_dir):
     s = view(spark, sf_dir, "sites").filter("site_id % 10007 <> 0").select("site_id", "lat", "lng")
@@ -187,6 +193,21 @@ def matched(spark, sf_dir):
     return M.match(s, r).select("code", "store", "method", F.round("dist_m", 3).alias("dist_m"))
 
 
+@query("c4_match_confidence_all_sites", oracle(f"""
+WITH s AS (SELECT CASE WHEN site_id % 9 = 0 THEN CAST(site_id AS VARCHAR) ELSE 'x' || site_id END AS code, site_id, lat, lng FROM sites),
+x AS (SELECT s.code, r.store, {DIST.replace('a.', 's.').replace('b.', 'r.')} AS d FROM s JOIN registry r ON s.code = CAST(r.store AS VARCHAR)),
+c AS (SELECT a.code, b.store, {DIST} AS d FROM s a, registry b WHERE a.code NOT IN (SELECT code FROM x) AND {DIST} <= 250e0),
+n AS (SELECT code, arg_min(store, (d, CAST(store AS VARCHAR))) AS store, min(d) AS d FROM c WHERE d <= 40e0 GROUP BY 1)
+SELECT s.code, coalesce(CAST(x.store AS VARCHAR), CAST(n.store AS VARCHAR)) AS store, CASE WHEN x.code IS NOT NULL THEN 'exact_code' WHEN n.code IS NOT NULL THEN 'spatial_fuzzy' ELSE 'none' END AS method, round(coalesce(x.d, n.d), 3) AS dist_m
+FROM s LEFT JOIN x ON s.code = x.code LEFT JOIN n ON s.code = n.code"""))
+def matched_all(spark, sf_dir):
+    """A row for each site: every ninth one is coded by its whole number, so no two sites share a code."""
+    number = F.col("site_id").cast("string")
+    s = view(spark, sf_dir, "sites").select(F.when(F.col("site_id") % 9 == 0, number).otherwise(F.concat(F.lit("x"), number)).alias("code"), F.lit("").alias("name"), "lat", "lng")
+    r = view(spark, sf_dir, "registry").select(F.col("store").cast("string").alias("store"), "name", "lat", "lng")
+    return M.match(s, r).select("code", "store", "method", F.round("dist_m", 3).alias("dist_m"))
+
+
 # --- tariff
 
 MATRIX = """

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hexsite.functions import grid
+from hexsite.operators import admin
 from hexsite.plans import catalogue
 from hexsite.plans.projections import view
 from hexsite.plans.spatial_queries import cells
@@ -56,3 +57,19 @@ def test_all_excluded_sites_by_priority(spark):
     every = [tuple(r) for r in catalogue.queries()["flt6_exclusion_reason"](spark, DATA).collect()]
     assert len(got) > 50
     assert got == sorted(every, key=lambda r: (rank.index(r[1]), r[0]))
+
+
+def test_every_site_is_matched_once(spark):
+    codes = [r["code"] for r in catalogue.queries()["c4_match_confidence_all_sites"](spark, DATA).collect()]
+    assert sorted(int(c.lstrip("x")) for c in codes) == sorted(r["site_id"] for r in view(spark, DATA, "sites").select("site_id").collect())
+
+
+def test_points_on_edges_are_in_no_polygon(spark):
+    square, hole = [(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (2, 1), (2, 2), (1, 2)]
+    polygons = spark.createDataFrame([("a", bytearray(admin.wkb([square, hole])))], "name string, geom binary")
+    at = [(0, 2), (2, 0), (4, 2), (2, 4), (0, 0), (1, 1.5), (1.5, 2), (0.5, 0.5), (3, 3), (1.5, 1.5)]
+    points = spark.createDataFrame([(k, float(y), float(x)) for k, (x, y) in enumerate(at)], "site_id int, lat double, lng double")
+    got = {r["site_id"]: r["name"] for r in admin.points_in_polygons(points, "site_id", polygons, "name").collect()}
+    assert got == {k: "a" if k in (7, 8) else None for k in range(len(at))}
+    slanted = admin.read_wkb(admin.wkb([[(0, 0), (4, 0), (4, 4)]]))
+    assert admin.contains(slanted, np.array([2.0, 2.5]), np.array([2.0, 2.0])).tolist() == [False, True]
