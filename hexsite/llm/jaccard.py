@@ -306,11 +306,16 @@ def op2(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class, that with the least id, with the columns it came with; repeated rows stay once."""
-    classes = joined(docs, doc=doc, text=text)
-    stay = stored(classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "class-firsts").withColumnRenamed("doc_id", "stays")
-    out = docs.join(stay.select("stays").hint("merge"), F.col(f"`{doc}`").eqNullSafe(F.col("stays")), "left_semi")
-    return out.dropDuplicates([doc]) if stay.filter("rows > 1").limit(1).count() else out
+    """One row of each class, that with the least id (null: last), with the columns it came with; repeated rows stay once.
+
+    A row is known by its id and two 64-bit hashes of its text: ids may be null, or equal on different texts.
+    """
+    t = F.col(f"`{text}`")
+    row = F.struct(F.col(f"`{doc}`").isNull().alias("no"), F.col(f"`{doc}`").alias("id"), F.xxhash64(t).alias("h"), F.xxhash64(F.lit(7), t).alias("h7"))
+    classes = joined(docs.select(row.alias("row"), t.alias("text")), doc="row")
+    stay = stored(classes.filter(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "class-firsts").withColumnRenamed("doc_id", "stays")
+    out = docs.join(stay.select("stays").hint("merge"), row.eqNullSafe(F.col("stays")), "left_semi")
+    return out.dropDuplicates([doc, text]) if stay.filter("rows > 1").limit(1).count() else out
 
 
 ORACLE_SQL = r"""
