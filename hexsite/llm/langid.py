@@ -7,8 +7,9 @@ the posterior under equal priors.
 
 Fitting: expected counts (forward-backward) over the words of the labelled rows that aren't held out, a few rounds,
 mixed with the counts of all languages together. ``fit_bytes`` bounds the text used for each language and
-``fit_bytes_all`` that of all: of a larger language, a share of the documents is drawn by a hash of their id. Scoring
-reads every whole text. The model has vocabulary x languages numbers.
+``fit_bytes_all`` that of all: of a larger language, documents are taken in the order of a hash of their id until the
+bound is reached, one at least; of a text longer than the bound only its beginning is learned from. Scoring reads every
+whole text. The model has vocabulary x languages numbers.
 
 Words are runs of letters, digits and non-ASCII characters in lower case; runs of over 24 characters are scored in
 parts of 24. Scores of words are cached, up to ``most`` words a task; new words are scored many at a time.
@@ -28,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import annotate, released, slices, utf8, words
+from hexsite.llm._shared import FOLD, annotate, released, slices, utf8, words
 
 LONGEST, FLOOR = 24, 1e-7
+STEPS = 64  #: slots of the drawing hash for each doubling of it: the last slot taken has about a hundredth of the sample
 FIELDS = {"lang_pred": pa.string(), "score": pa.float64()}
 
 
@@ -40,6 +42,13 @@ def parts_of(word: bytes) -> list[str]:
     return [w] if len(w) <= LONGEST else [w[i : i + LONGEST] for i in range(0, len(w), LONGEST)]
 
 
+def beginning(text: bytes, most: int) -> bytes:
+    """Whole characters of the first ``most`` bytes, without a word that is cut, unless it is the only one."""
+    head = text[:most].decode("utf-8", "ignore").encode()
+    whole = head.translate(FOLD).rpartition(b" ")[0]
+    return whole or head
+
+
 class Vocabulary:
     """The pieces, by number; in ``find`` also each proper prefix of a piece, as -1."""
 
@@ -195,23 +204,31 @@ def trained(docs: DataFrame, vocabulary: str, *, doc: str = "doc_id", text: str
     """Fit on labelled rows whose CRC-32 of the id, as text, is not 2 modulo 4."""
     key = F.col(doc).cast("string")
     labelled = docs.select(key.alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter((F.crc32(key.cast("binary")) % 4 != 2) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r["lang"]: r["b"] for r in labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b")).collect()}
-    bound = min(fit_bytes, fit_bytes_all // max(1, len(sizes)))
-    if not sizes:
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit("langid:"), "key").cast("binary")), 1, 8), 16, 10).cast("long")
+    slot = F.floor(F.log2(draw + F.lit(1)) * STEPS).cast("int")
+    labelled = labelled.select("lang", "text", slot.alias("slot"))
+    held = labelled.groupBy("lang", "slot").agg(F.sum(F.least(F.octet_length("text"), F.lit(fit_bytes)).cast("long")).alias("b")).collect()  # 32 * STEPS rows a language at most
+    langs = sorted({r["lang"] for r in held})
+    bound = min(fit_bytes, fit_bytes_all // max(1, len(langs)))
+    if not langs:
         return [], np.zeros((0, 0))
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit("langid:"), "key").cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(1 << 32)
-    share = F.create_map(*[F.lit(x) for k, b in sizes.items() for x in (k, min(1.0, bound / max(1, b)))])
-    sample = labelled.filter(draw < F.element_at(share, F.col("lang"))).select("lang", "text")
+    last, taken = {}, dict.fromkeys(langs, 0)
+    for r in sorted(held, key=lambda r: r["slot"]):
+        if r["lang"] not in last or taken[r["lang"]] < bound:
+            last[r["lang"]] = r["slot"]
+            taken[r["lang"]] += r["b"]
+    upto = F.create_map(*[F.lit(x) for kv in last.items() for x in kv])
+    sample = labelled.filter(F.col("slot") <= F.element_at(upto, F.col("lang"))).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
+            names, texts = batch.column(0).to_pylist(), [t if len(t) <= bound else beginning(t, bound) for t in utf8(batch.column(1))]
             for a, b in slices(texts):
                 got = Counter((n, s) for n, t in zip(names[a:b], texts[a:b], strict=True) for w in words(t) for s in parts_of(w))
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got]), pa.array([s for _, s in got]), pa.array(got.values(), pa.int64())], names=["lang", "string", "n"])
 
     table = sample.mapInArrow(released(count), "lang string, string string, n long").groupBy("lang", "string").agg(F.sum("n").alias("n"))
-    counts: dict[str, Counter] = {k: Counter() for k in sizes}
+    counts: dict[str, Counter] = {k: Counter() for k in langs}
     for r in table.toLocalIterator():  # bounded by fit_bytes_all
         counts[r["lang"]][r["string"]] = r["n"]
     return fit(Vocabulary(vocabulary), counts)
