@@ -34,6 +34,7 @@ INPUTS = PATHS + WORDS + MEASURES
 WEIGHTS = Path(__file__).with_name("html_weights.npz")
 
 # Elements of HTML.
+NESTS = frozenset("template svg math noscript object".split())  #: of RAW, those that hold markup
 RAW = frozenset("script style title textarea xmp iframe noembed noframes template svg math noscript object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -71,6 +72,7 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[int, ...]]] = []
     held: list[str] = []
     linked: list[str] = []
+    unclosed: set[str] = set()
     links = at = 0
 
     def flush() -> None:
@@ -102,9 +104,14 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if tag in RAW and not closing:
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
+            if tag not in unclosed and (not attributes.endswith("/") or tag not in ("svg", "math")):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                if end:
+                    at = end.end()
+                elif tag in NESTS:
+                    unclosed.add(tag)  # the tag alone is passed over, and so are later ones
+                else:
+                    at = size
             held.append(" ")
             continue
         if tag == "br":
