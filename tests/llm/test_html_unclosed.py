@@ -5,7 +5,7 @@ import pytest
 from hexsite.llm import html
 
 
-@pytest.mark.parametrize("tag", sorted(html.NESTS))
+@pytest.mark.parametrize("tag", ["math", "noscript", "object", "svg", "template"])
 def test_what_holds_markup_does_not_swallow_the_page(tag):
     page = f"<p>Before it.</p><{tag} x=1><p>After it.</p><{tag}><p>The end.</p>"
     assert [b.text for b in html.blocks_of(page)] == ["Before it.", "After it.", "The end."]
