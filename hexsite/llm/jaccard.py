@@ -3,24 +3,30 @@
 Words as in decontamination; shingles are ``words_each`` consecutive words (all words of a shorter text). Texts with
 equal shingle sets are one node from the start, so copies are never paired.
 
-Forest: a node's signature gives each of TREES sorted prefix tries a label of DEEPEST values. Matched prefixes are
-shortened, from the whole label, until the recall at the threshold reaches ``recall``: 1 - (1 - t**depth)**TREES. Nodes
-with the same prefix of that depth in a tree form a group. In a group, sorted by label, nodes whose signatures agree in
-a share of at least ``estimate`` (five standard errors under the threshold) are tied, by a spanning forest: a group of
-m nodes gives fewer than m ties, not m * m. A group of more than GROUP nodes is salted; delegates that cover each part
-then meet once. Ties make candidate components.
-
-Verification: texts of components with two nodes or more are read again, and every pair of a component is compared by
-whole shingle sets, in blocks of about BLOCK shingles; large components become pairs of blocks over many tasks. A task
-counts links and gives one tie a node; pairs are never written. Ties of verified links make the classes.
-
-Defined results: null texts and texts without words link to nothing, each with its own class. Equal ids or repeated
-rows each keep a row; a class's name is the least doc_id in it, nulls aside. Other columns are not read.
+Forest: a node's signature gives each of TREES prefix tries a label of DEEPEST values of its own. The labels of each trie
+are sorted over all partitions; a label's longest common prefix with its neighbours is how deep the node matches there.
+Matched prefixes are shortened for each node by itself: one that matches in few tries is looked up at long prefixes, one
+that matches in many at shorter ones, down to the depth that is enough for every node. ``depths`` chooses the longest
+prefixes for which the chance to miss a pair at the threshold, summed over all outcomes, stays under 1 - ``recall``.
+Where a trie's nodes meet, they are walked from whole labels up; nodes whose signatures agree in a share of at least
+``estimate`` (five standard errors under the threshold) are tied by a spanning forest, so that a group of m nodes gives
+fewer than m ties and what is tied at a longer prefix isn't compared again. A group of more than GROUP nodes is salted;
+delegates that cover each part then meet, in pairs of blocks of GROUP. Ties make candidate components.
+
+Verification: texts of components are read again, and pairs are compared by whole shingle sets, in blocks of at most
+about BLOCK shingles and NODES nodes; a large component becomes blocks of nodes of like size, and pairs of blocks, over
+many tasks: blocks whose sizes differ too much to reach the threshold never meet. A task counts links and gives one tie
+a node; pairs are never written. Ties of verified links make the classes.
+
+Defined results: null texts and texts without words link to nothing, each with its own class. Sets that are too small
+for any other set to be near enough are linked with their equals only. Equal ids or repeated rows each keep a row; a
+class's name is the least doc_id in it, nulls aside. Texts of any length are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +36,34 @@ from pyspark.sql import functions as F
 from hexsite.llm._shared import annotate, hash_words, mix, released, stored, words
 from hexsite.operators.graph import components
 
-TREES, WIDTH, DEEPEST = 24, 6, 8
-VALUES = TREES * WIDTH
-GROUP, BLOCK = 8192, 1_000_000
+TREES, DEEPEST = 24, 8
+VALUES = TREES * DEEPEST
+GROUP, BLOCK, NODES = 8192, 1_000_000, 2048
 _DRAW = np.random.default_rng(20240229)
 FACTORS = (_DRAW.integers(1, 1 << 31, VALUES) * 2 + 1).astype(np.uint32)
 TERMS = _DRAW.integers(0, 1 << 32, VALUES).astype(np.uint32)
-PLACES = np.array([[(t * WIDTH + i) % VALUES for i in range(DEEPEST)] for t in range(TREES)])
 
 
-def depth_for(threshold: float, recall: float) -> int:
-    """The longest prefix that reaches the recall: shortened from the whole label, WIDTH values at the least kept apart."""
-    for depth in range(DEEPEST, 1, -1):
-        if 1 - (1 - threshold**depth) ** TREES >= recall:
-            return depth
-    return 1
+def floor_for(threshold: float, recall: float) -> int:
+    """The longest prefix that reaches the recall for whatever node; at the least one value."""
+    return next((d for d in range(DEEPEST, 1, -1) if 1 - (1 - threshold**d) ** TREES >= recall), 1)
+
+
+def missed(threshold: float, shortest: int, depth: list[int]) -> float:
+    """Chance that a pair at the threshold isn't met, if a node that matches in m tries, to ``shortest`` values at least, is
+    looked up at ``depth[m]``. Matches with other nodes only add to m, and ``depth`` doesn't grow, so this is the most."""
+    p = threshold**shortest
+    return sum(comb(TREES, m) * (1 - p) ** (TREES - m) * (p - threshold ** depth[m]) ** m for m in range(TREES + 1))
+
+
+def depths(threshold: float, recall: float) -> tuple[int, list[int]]:
+    """(shortest prefix that counts as a match, prefix looked up by the number of tries with a match)."""
+    floor = floor_for(threshold, recall)
+    shortest = max(1, floor - 1)
+    out = [DEEPEST] + [floor] * TREES
+    for m in range(1, TREES + 1):
+        out[m] = next(d for d in range(out[m - 1], floor - 1, -1) if d == floor or missed(threshold, shortest, [*out[:m], d, *out[m + 1 :]]) <= 1 - recall)
+    return shortest, out
 
 
 class Shingler:
@@ -91,7 +110,7 @@ def described(docs: DataFrame, doc: str, text: str, words_each: int) -> DataFram
             for a in range(0, len(there), 64):
                 some = there[a : a + 64]
                 found = signatures([sets[i] for i in some])
-                labels = (found >> np.uint32(16)).astype(">u2")[:, PLACES]
+                labels = (found >> np.uint32(16)).astype(">u2").reshape(len(some), TREES, DEEPEST)
                 for i, label, brief in zip(some, labels, found.astype(np.uint8), strict=True):
                     out[0][i] = xxh3_128_digest(sets[i].tobytes())
                     out[2][i] = [x.tobytes() for x in label]
@@ -119,10 +138,11 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tu
         yield key, dict(zip(names, map(list, zip(*held, strict=True)), strict=True))
 
 
-def spanning(briefs: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Ties that connect whatever agrees in a share of ``least`` or more; fewer than nodes."""
+def spanning(briefs: np.ndarray, least: float, label: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Ties that connect whatever agrees in a share of ``least`` or more; fewer than nodes. Nodes of one ``label``, which is
+    brought up to date, are tied already."""
     n = len(briefs)
-    label, ties = np.arange(n), []
+    label, ties = np.arange(n) if label is None else label, []
     need = least * briefs.shape[1]
     for i in range(n - 1):
         rest = np.flatnonzero(label != label[i])
@@ -130,10 +150,10 @@ def spanning(briefs: np.ndarray, least: float) -> list[tuple[int, int]]:
             break
         rest = rest[rest > i]
         near = rest[(briefs[rest] == briefs[i]).sum(axis=1) >= need]
-        for other in np.unique(label[near]):
-            ties.append((i, int(near[label[near] == other][0])))
         if len(near):
-            label[np.isin(label, label[near])] = label[i]
+            other, at = np.unique(label[near], return_index=True)
+            ties += [(i, int(j)) for j in near[at]]
+            label[np.isin(label, other)] = label[i]
     return ties
 
 
@@ -146,36 +166,105 @@ def delegates(briefs: np.ndarray, least: float) -> list[int]:
     return out
 
 
-def candidate_ties(nodes: DataFrame, depth: int, estimate: float) -> DataFrame:
-    """(a, b) ties between nodes (digest, labels, brief) that share a prefix and nearly agree."""
+def common(labels: np.ndarray) -> np.ndarray:
+    """Values that each label (rows of DEEPEST values) has in common with the one before; one less than rows."""
+    return np.logical_and.accumulate(labels[1:] == labels[:-1], axis=1).sum(axis=1)
+
+
+def walk(labels: np.ndarray, depth: np.ndarray, briefs: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Ties of a part of a trie, its labels sorted: from whole labels to the shortest prefix that one of the nodes is looked up at."""
+    n = len(labels)
+    shared, label, ties = common(labels), np.arange(n), []
+    for d in range(DEEPEST, int(depth.min()) - 1, -1):
+        edge = np.flatnonzero(np.concatenate([[True], shared < d, [True]]))
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            if b - a > 1 and depth[a:b].min() <= d:
+                ties += [(a + i, a + j) for i, j in spanning(briefs[a:b], least, label[a:b])]  # brings that part of label up to date
+    return ties
+
+
+def _tied(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["a", "b", "key", "brief"])
+
+
+def matches(nodes: DataFrame, shortest: int) -> DataFrame:
+    """(digest, tree, label, deep): labels that share at least ``shortest`` values with another of their trie, and the most
+    they share. All labels are sorted; the first and the last of a partition, whose neighbour isn't there, count as matched."""
     spread = nodes.select("digest", F.posexplode("labels").alias("tree", "label"))
-    keyed = spread.select("digest", F.xxhash64("tree", F.substring("label", 1, 2 * depth)).alias("key"))
+    ranged = spread.repartitionByRange("tree", "label", "digest").sortWithinPartitions("tree", "label", "digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before = None, DEEPEST
+
+        def found(rows: pa.RecordBatch, shares: np.ndarray) -> pa.RecordBatch:
+            keep = np.flatnonzero(shares >= shortest)
+            some = rows.take(pa.array(keep))
+            return pa.RecordBatch.from_arrays([*some.columns, pa.array(shares[keep], pa.int32())], names=["digest", "tree", "label", "deep"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.concat_batches([held, batch]) if held is not None else batch
+            labels = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint16).reshape(-1, DEEPEST)
+            tree = rows.column(1).to_numpy()
+            shared = np.where(tree[1:] == tree[:-1], common(labels), 0)
+            if len(shared):
+                yield found(rows.slice(0, len(shared)), np.maximum(np.concatenate([[before], shared[:-1]]), shared))
+                before = int(shared[-1])
+            held = rows.slice(rows.num_rows - 1)
+        if held is not None:
+            yield found(held, np.array([DEEPEST]))
+
+    return stored(ranged.mapInArrow(released(run), "digest binary, tree int, label binary, deep int"), "forest-matches")
+
+
+def candidate_ties(nodes: DataFrame, threshold: float, recall: float, estimate: float) -> DataFrame:
+    """(a, b) ties between nodes (digest, labels, brief) that share a prefix one of them is looked up at and nearly agree."""
+    shortest, depth = depths(threshold, recall)
+    found = matches(nodes, shortest)
+    floor = min(depth)
+    looked = found.groupBy("digest").agg(F.count(F.lit(1)).alias("m")).select("digest", F.element_at(F.array(*map(F.lit, depth)), F.col("m").cast("int") + 1).alias("depth"))
+    keyed = found.filter(F.col("deep") >= floor).select("digest", "label", F.xxhash64("tree", F.substring("label", 1, 2 * floor)).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = keyed.join(sizes.hint("merge"), "key")  # the plan of large inputs at every size
     salts = F.ceil(F.col("size") / F.lit(GROUP)).cast("int")
-    met = shared.join(nodes.select("digest", "brief").hint("merge"), "digest").select("key", F.pmod(F.xxhash64("digest", "key"), salts).cast("int").alias("salt"), salts.alias("salts"), "digest", "brief")
-    schema = "a binary, b binary, key long, brief binary"
+    briefs = nodes.select("digest", "brief").join(looked.hint("merge"), "digest")
+    met = shared.join(briefs.hint("merge"), "digest").select("key", F.pmod(F.xxhash64("digest", "key"), salts).cast("int").alias("salt"), salts.alias("salts"), "label", "digest", "depth", "brief")
 
-    def tie(least: float, delegate: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out: list[tuple] = []
-            for (key, _, salts), got in _groups(batches, 3):
-                digests = got["digest"]
-                briefs = np.frombuffer(b"".join(got["brief"]), np.uint8).reshape(len(digests), VALUES)
-                out += [(digests[i], digests[j], None, None) for i, j in spanning(briefs, least)]
-                if delegate and salts > 1:
-                    out += [(digests[i], None, key, got["brief"][i]) for i in delegates(briefs, 0.85)]
-                if len(out) > 5000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["a", "b", "key", "brief"])
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["a", "b", "key", "brief"])
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for (key, _, salts), got in _groups(batches, 3):
+            digests = got["digest"]
+            briefs = np.frombuffer(b"".join(got["brief"]), np.uint8).reshape(len(digests), VALUES)
+            labels = np.frombuffer(b"".join(got["label"]), np.uint16).reshape(len(digests), DEEPEST)
+            out += [(digests[i], digests[j], None, None) for i, j in walk(labels, np.array(got["depth"]), briefs, estimate)]
+            if salts > 1:
+                out += [(digests[i], None, key, got["brief"][i]) for i in delegates(briefs, 0.85)]
+            if len(out) > 5000:
+                yield _tied(out)
+                out = []
+        if out:
+            yield _tied(out)
 
-        return run
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for _, got in _groups(batches, 3):
+            digests = got["digest"]
+            briefs = np.frombuffer(b"".join(got["brief"]), np.uint8).reshape(len(digests), VALUES)
+            out += [(digests[i], digests[j], None, None) for i, j in spanning(briefs, estimate - 0.3)]
+            if len(out) > 5000:
+                yield _tied(out)
+                out = []
+        if out:
+            yield _tied(out)
 
-    first = stored(met.repartition("key", "salt").sortWithinPartitions("key", "salt", "digest").mapInArrow(released(tie(estimate, True)), schema), "forest-ties")
-    late = first.filter("b IS NULL").select("key", F.lit(0).alias("salt"), F.lit(1).alias("salts"), F.col("a").alias("digest"), "brief")
-    second = late.repartition("key").sortWithinPartitions("key", "salt", "digest").mapInArrow(released(tie(estimate - 0.3, False)), schema)
+    schema = "a binary, b binary, key long, brief binary"
+    first = stored(met.repartition("key", "salt").sortWithinPartitions("key", "salt", "label", "digest").mapInArrow(released(tie), schema), "forest-ties")
+    late = first.filter("b IS NULL").select("key", F.col("a").alias("digest"), "brief")
+    blocks = late.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP // 2)).cast("int").alias("blocks"))
+    own = late.join(blocks.hint("merge"), "key").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "digest", "brief")
+    second = pairs.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "digest").mapInArrow(released(meet), schema)
     return first.filter("b IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
 
@@ -193,9 +282,10 @@ def linked(left: list[np.ndarray], right: list[np.ndarray] | None, parts: tuple[
     column, owner = (np.cumsum(often) - 1)[column[keep]], owner[keep]
     n, split = len(left), 0 if right is None else len(left)
     common = np.zeros((n, len(both) - split), np.float32)
-    for a in range(0, int(often.sum()), 4096):
+    width = int(often.sum())
+    for a in range(0, width, 4096):
         x, y = np.searchsorted(column, [a, a + 4096])
-        dense = np.zeros((len(both), 4096), np.float32)
+        dense = np.zeros((len(both), min(4096, width - a)), np.float32)
         dense[owner[x:y], column[x:y] - a] = 1
         common += dense[:n] @ dense[split:].T
     size = np.array([len(s) for s in both], np.int64)
@@ -211,26 +301,39 @@ def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_eac
 
     ``members``: component, digest, n, copies, doc_id of one text for each node.
     """
-    stats = members.groupBy("component").agg(F.sum("n").alias("total"))
-    blocked = members.join(stats, "component").withColumn("blocks", F.ceil(F.col("total") / F.lit(BLOCK)).cast("int")).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    top, bottom = parts
+    # sets whose sizes are two steps apart can't be near enough, so only neighbouring steps meet
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(bottom / top)) + 1e-9)).cast("int") if top < bottom else F.col("n")
+    whole = members.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("nodes"))
+    one = (F.col("total") <= BLOCK) & (F.col("nodes") <= NODES)
+    stepped = members.join(whole, "component").withColumn("step", F.when(one, F.lit(0)).otherwise(step))
+    cut = F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK)), F.ceil(F.count(F.lit(1)) / F.lit(NODES))).cast("int")
+    blocks = stepped.groupBy("component", "step").agg(cut.alias("blocks"))
+    around = blocks.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("step", "blocks"))).alias("blocks"))  # an entry for each step of size, some hundred at most
+    placed = stepped.join(around, "component").withColumn("block", F.pmod(F.xxhash64("digest"), F.element_at("blocks", F.col("step"))).cast("int"))
+    there = lambda k: F.transform(F.sequence(F.lit(0), F.coalesce(F.try_element_at("blocks", F.col("step") + k), F.lit(0)) - 1), lambda x: F.struct((F.col("step") + k).alias("s"), x.alias("b")))
+    some = lambda k: F.when(F.try_element_at("blocks", F.col("step") + k) > 0, there(k)).otherwise(F.array().cast("array<struct<s:int,b:int>>"))
+    blocked = placed.withColumn("meets", F.concat(some(-1), some(0), some(1)))
     texts = docs.select(F.col(doc).alias("d"), F.col(text).alias("text"))
-    with_text = texts.join(blocked.hint("merge"), F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "component", "digest", "copies", "blocks", "block")
-    shape = "component binary, lo int, hi int, digest binary, side int, copies long, shingles binary"
+    with_text = texts.join(blocked.hint("merge"), F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "component", "digest", "copies", "step", "block", "meets")
+    shape = "component binary, lo string, hi string, digest binary, side int, copies long, shingles binary"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         shingles = Shingler(words_each)
-        kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.binary())
+        kinds = (pa.binary(), pa.string(), pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.binary())
         names = ["component", "lo", "hi", "digest", "side", "copies", "shingles"]
         for batch in batches:
             out, held = [], 0
-            for t, component, digest, copies, blocks, block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for t, component, digest, copies, step, block, meets in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 s = shingles((t or "").encode()).tobytes()
                 if xxh3_128_digest(s) != digest:
                     continue  # another text under the same id
-                for other in range(blocks):
-                    out.append((component, min(block, other), max(block, other), digest, int(block > other), copies, s))
+                own = (step, block)
+                for m in meets:
+                    other = (m["s"], m["b"])
+                    out.append((component, str(min(own, other)), str(max(own, other)), digest, int(own > other), copies, s))
                     held += len(s)
                     if held > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -277,15 +380,17 @@ def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_eac
 
 
 def joined(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", words_each: int = 5, threshold: tuple[int, int] = (4, 5), recall: float = 0.999) -> DataFrame:
-    """doc_id, class_id, n_links (rows with a similarity of at least the threshold, itself aside), is_first (one row of each class)."""
+    """doc_id, class_id, n_links (rows with a similarity of at least the threshold, itself aside)."""
     t = threshold[0] / threshold[1]
     estimate = t - 5 * (t * (1 - t) / VALUES) ** 0.5
+    top, bottom = threshold
+    least = -(-top // (bottom - top)) if top < bottom else np.iinfo(np.int32).max  # smaller sets have no near one but their equals
     sets = stored(described(docs, doc, text, words_each), "shingle-sets")
     nodes = stored(
         sets.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("labels").alias("labels"), F.first("brief").alias("brief")),
         "shingle-nodes",
     )
-    candidates = components(candidate_ties(nodes, depth_for(t, recall), estimate))
+    candidates = components(candidate_ties(nodes.filter(F.col("n") >= int(least)), t, recall, estimate))
     members = stored(candidates.select(F.col("node").alias("digest"), "component").join(nodes.drop("labels", "brief"), "digest"), "candidates")
     found = stored(verified(docs, members, doc, text, words_each, threshold), "verified")
     classes = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
@@ -314,8 +419,9 @@ def deduplicated(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") ->
     row = F.struct(F.col(f"`{doc}`").isNull().alias("no"), F.col(f"`{doc}`").alias("id"), F.xxhash64(t).alias("h"), F.xxhash64(F.lit(7), t).alias("h7"))
     classes = joined(docs.select(row.alias("row"), t.alias("text")), doc="row")
     stay = stored(classes.filter(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "class-firsts").withColumnRenamed("doc_id", "stays")
-    out = docs.join(stay.select("stays").hint("merge"), row.eqNullSafe(F.col("stays")), "left_semi")
-    return out.dropDuplicates([doc, text]) if stay.filter("rows > 1").limit(1).count() else out
+    once = docs.join(stay.filter("rows = 1").select("stays").hint("merge"), row.eqNullSafe(F.col("stays")), "left_semi")
+    again = docs.join(stay.filter("rows > 1").select("stays"), row.eqNullSafe(F.col("stays")), "left_semi")
+    return once.unionByName(again.dropDuplicates([doc, text]))
 
 
 ORACLE_SQL = r"""

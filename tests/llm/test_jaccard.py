@@ -44,6 +44,47 @@ def test_groups_of_near_copies(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "GROUP", 7)
     monkeypatch.setattr(jaccard, "BLOCK", 900)
     assert run(df) == want
+    monkeypatch.setattr(jaccard, "BLOCK", 10**6)
+    monkeypatch.setattr(jaccard, "NODES", 4)
+    assert run(df) == want
+
+
+def test_sizes_far_apart_in_one_component(spark, monkeypatch):
+    """A chain of growing texts: neighbours are linked, the ends differ in size by a factor of ten."""
+    draw = random.Random(8)
+    line = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+    rows = [(k, " ".join(line[: int(40 * 1.12**k)])) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert run(df) == want
+    monkeypatch.setattr(jaccard, "NODES", 2)
+    assert run(df) == want
+
+
+def test_sets_too_small_for_a_near_one(spark):
+    rows = [(1, "a b c"), (2, "a b c"), (3, "a b c d e f g"), (4, "a b c d e f g h"), (5, "a b c d e f g h i"), (6, "a")]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_many_short_near_copies_stay_within_memory():
+    """A block of the most nodes, of sets of 20: the comparison's arrays are bounded by nodes, not by shingles alone."""
+    import tracemalloc
+
+    draw = np.random.default_rng(9)
+    base = draw.integers(0, 1 << 63, 20, dtype=np.uint64)
+    sets = []
+    for _ in range(2 * jaccard.NODES):
+        own = base.copy()
+        own[draw.integers(20)] = draw.integers(0, 1 << 63, dtype=np.uint64)
+        sets.append(np.unique(own))
+    tracemalloc.start()
+    near = jaccard.linked(sets[: jaccard.NODES], sets[jaccard.NODES :], (4, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+    for i, j in draw.integers(0, jaccard.NODES, (300, 2)):
+        a, b = set(sets[i].tolist()), set(sets[jaccard.NODES + j].tolist())
+        assert near[i, j] == (5 * len(a & b) >= 4 * len(a | b))
 
 
 def test_empty_table_and_filter(spark, docs, texts):
@@ -54,11 +95,26 @@ def test_empty_table_and_filter(spark, docs, texts):
     assert sorted(r["doc_id"] for r in stay.collect() if r["doc_id"] is not None) == sorted(x for x in want if x is not None)
 
 
-def test_recall_sets_the_depth():
+def test_depths_keep_the_recall():
+    """Simulated: a pair that agrees in each value with a chance of 0.8 is met, though prefixes are shortened by matches."""
+    draw = np.random.default_rng(1)
+    agree = draw.random((200_000, jaccard.TREES, jaccard.DEEPEST)) < 0.8
+    shared = np.logical_and.accumulate(agree, axis=2).sum(axis=2)
     for recall in (0.9, 0.99, 0.999):
-        d = jaccard.depth_for(0.8, recall)
-        assert 1 - (1 - 0.8**d) ** jaccard.TREES >= recall
-        assert d == jaccard.DEEPEST or 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES < recall
+        shortest, depth = jaccard.depths(0.8, recall)
+        assert jaccard.missed(0.8, shortest, depth) <= 1 - recall
+        assert all(a >= b for a, b in zip(depth, depth[1:]))
+        looked = np.array(depth)[(shared >= shortest).sum(axis=1)]
+        assert (shared.max(axis=1) >= looked).mean() >= recall - 3e-4
+    assert len(set(jaccard.depths(0.8, 0.99)[1])) > 1  # not one depth for all
+
+
+def test_walk_meets_at_the_prefix_asked_for():
+    labels = np.array([[1, 1, 1, 1, 1, 1, 1, 1], [1, 1, 1, 1, 1, 1, 1, 1], [1, 1, 1, 1, 1, 1, 2, 2], [1, 1, 1, 1, 1, 1, 3, 3]], np.uint16)
+    briefs = np.zeros((4, jaccard.VALUES), np.uint8)
+    assert jaccard.common(labels).tolist() == [8, 6, 6]
+    assert len(jaccard.walk(labels, np.array([8, 8, 8, 8]), briefs, 0.6)) == 1
+    assert len(jaccard.walk(labels, np.array([8, 8, 8, 6]), briefs, 0.6)) == 3  # one that is looked up at 6 meets all
 
 
 def test_signatures_estimate_similarity():
