@@ -82,13 +82,20 @@ def _round(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return out, (seen.get["n"], seen.get["x"])
 
 
+def joined_by_size(left: DataFrame, key: str, right: DataFrame, size: str, n: int) -> DataFrame:
+    """Inner join of ``left`` (about ``n`` rows) with ``right``, one row a ``key``, whose column ``size`` says how many rows of
+    left have the key. Keys of over an n/HUBS-th are sent to the rows: there are fewer than 2 * HUBS; the others are joined by sorting."""
+    hub = F.col(size) > max(n // HUBS, 64)
+    rest = [c for c in right.columns if c != key]
+    hubs = right.filter(hub).select(F.col(key).alias("_k"), F.struct(*rest).alias("_r"))
+    met = left.join(F.broadcast(hubs), F.col(key) == F.col("_k"), "left")  # fewer than 2 * HUBS rows
+    few = met.filter("_k IS NULL").drop("_k", "_r").join(right.filter(~hub).hint("merge"), key)
+    return few.unionByName(met.filter("_k IS NOT NULL").select(*left.columns, "_r.*"))
+
+
 def _with_least(edges: DataFrame, at: str, least: DataFrame, n: int) -> DataFrame:
     """Edges with ``to``, the least of the node in column ``at``; ``least`` has (at, to, c), and c says how many edges."""
-    hub = F.col("c") > max(n // HUBS, 64)
-    hubs, others = least.filter(hub).select(F.col("at").alias("_at"), F.col("to").alias("_to")), least.filter(~hub)
-    met = edges.join(F.broadcast(hubs), F.col(at) == F.col("_at"), "left")  # fewer than 2 * HUBS rows
-    few = met.filter("_at IS NULL").drop("_at", "_to").join(others.select("at", "to").hint("merge"), F.col(at) == F.col("at")).select("lo", "hi", "to")
-    return few.unionByName(met.filter("_at IS NOT NULL").select("lo", "hi", F.col("_to").alias("to")))
+    return joined_by_size(edges, at, least.withColumnRenamed("at", at), "c", n).select("lo", "hi", "to")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", *, most_rounds: int = 60) -> DataFrame:
