@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexsite.llm._shared import annotate, hash_words, mix, released, stored, words
-from hexsite.operators.graph import components
+from hexsite.operators.graph import components, joined_by_size
 
 TREES, DEEPEST = 24, 8
 VALUES = TREES * DEEPEST
@@ -95,7 +95,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def described(docs: DataFrame, doc: str, text: str, words_each: int) -> DataFrame:
-    """doc_id, digest of the shingle set (null: no words), its size, the trees' labels and a byte of each value."""
+    """doc_id, a hash of the text, digest of the shingle set (null: no words), its size, the trees' labels and a byte of each value."""
     from xxhash import xxh3_128_digest
 
     fields = {"digest": pa.binary(), "n": pa.int32(), "labels": pa.list_(pa.binary()), "brief": pa.binary()}
@@ -119,7 +119,8 @@ def described(docs: DataFrame, doc: str, text: str, words_each: int) -> DataFram
 
         return of
 
-    return annotate(docs, text, [doc], fields, make).select(F.col(f"keep.{doc}").alias("doc_id"), *fields)
+    source = docs.select(F.col(f"`{doc}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("text"))
+    return annotate(source, "text", ["doc_id", "mark"], fields, make).select("keep.doc_id", "keep.mark", *fields)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, dict[str, list]]]:
@@ -296,26 +297,38 @@ def linked(left: list[np.ndarray], right: list[np.ndarray] | None, parts: tuple[
     return found
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows without repeats of their first four columns: a text that was logged often under one id is held once."""
+    last = None
+    for batch in batches:
+        keys = list(zip(*[c.to_pylist() for c in batch.columns[:4]], strict=True))
+        keep = [k != before for k, before in zip(keys, [last, *keys[:-1]], strict=True)]
+        last = keys[-1] if keys else last
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_each: int, parts: tuple[int, int]) -> DataFrame:
     """digest, links (rows of other nodes that are near enough), root: a node of the same class, from exact comparison.
 
-    ``members``: component, digest, n, copies, doc_id of one text for each node.
+    ``members``: component, digest, n, copies, doc_id and mark of one text for each node.
     """
     top, bottom = parts
     # sets whose sizes are two steps apart can't be near enough, so only neighbouring steps meet
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(bottom / top)) + 1e-9)).cast("int") if top < bottom else F.col("n")
-    whole = members.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("nodes"))
-    one = (F.col("total") <= BLOCK) & (F.col("nodes") <= NODES)
-    stepped = members.join(whole, "component").withColumn("step", F.when(one, F.lit(0)).otherwise(step))
+    stepped = members.withColumn("step", step)
     cut = F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK)), F.ceil(F.count(F.lit(1)) / F.lit(NODES))).cast("int")
-    blocks = stepped.groupBy("component", "step").agg(cut.alias("blocks"))
-    around = blocks.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("step", "blocks"))).alias("blocks"))  # an entry for each step of size, some hundred at most
-    placed = stepped.join(around, "component").withColumn("block", F.pmod(F.xxhash64("digest"), F.element_at("blocks", F.col("step"))).cast("int"))
+    each = stepped.groupBy("component", "step").agg(cut.alias("blocks"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("nodes"))
+    # an entry for each step of size, some hundred at most
+    whole = each.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("step", "blocks"))).alias("blocks"), F.sum("total").alias("total"), F.sum("nodes").alias("nodes"))
+    one = (F.col("total") <= BLOCK) & (F.col("nodes") <= NODES)
+    whole = whole.select("component", "nodes", one.alias("one"), F.when(one, F.create_map(F.lit(0), F.lit(1))).otherwise(F.col("blocks")).alias("blocks"))
+    placed = joined_by_size(stepped, "component", whole, "nodes", members.count()).withColumn("step", F.when(F.col("one"), 0).otherwise(F.col("step")))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("digest"), F.element_at("blocks", F.col("step"))).cast("int"))
     there = lambda k: F.transform(F.sequence(F.lit(0), F.coalesce(F.try_element_at("blocks", F.col("step") + k), F.lit(0)) - 1), lambda x: F.struct((F.col("step") + k).alias("s"), x.alias("b")))
     some = lambda k: F.when(F.try_element_at("blocks", F.col("step") + k) > 0, there(k)).otherwise(F.array().cast("array<struct<s:int,b:int>>"))
     blocked = placed.withColumn("meets", F.concat(some(-1), some(0), some(1)))
-    texts = docs.select(F.col(doc).alias("d"), F.col(text).alias("text"))
-    with_text = texts.join(blocked.hint("merge"), F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "component", "digest", "copies", "step", "block", "meets")
+    texts = docs.select(F.col(f"`{doc}`").alias("d"), F.xxhash64(F.col(f"`{text}`")).alias("m"), F.col(f"`{text}`").alias("text"))
+    with_text = texts.join(blocked.hint("merge"), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))).select("text", "component", "digest", "copies", "step", "block", "meets")
     shape = "component binary, lo string, hi string, digest binary, side int, copies long, shingles binary"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +342,7 @@ def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_eac
             for t, component, digest, copies, step, block, meets in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 s = shingles((t or "").encode()).tobytes()
                 if xxh3_128_digest(s) != digest:
-                    continue  # another text under the same id
+                    continue  # another text with the same id and hash
                 own = (step, block)
                 for m in meets:
                     other = (m["s"], m["b"])
@@ -343,7 +356,7 @@ def verified(docs: DataFrame, members: DataFrame, doc: str, text: str, words_eac
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for (_, lo, hi), got in _groups(batches, 3):
+        for (_, lo, hi), got in _groups(_once(batches), 3):
             once = {d: (side, copies, s) for d, side, copies, s in zip(got["digest"], got["side"], got["copies"], got["shingles"], strict=True)}
             nodes = sorted(once, key=lambda d: (once[d][0], d))
             sets = [np.frombuffer(once[d][2], np.uint64) for d in nodes]
@@ -387,7 +400,8 @@ def joined(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", words_ea
     least = -(-top // (bottom - top)) if top < bottom else np.iinfo(np.int32).max  # smaller sets have no near one but their equals
     sets = stored(described(docs, doc, text, words_each), "shingle-sets")
     nodes = stored(
-        sets.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("labels").alias("labels"), F.first("brief").alias("brief")),
+        sets.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("row"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("labels").alias("labels"), F.first("brief").alias("brief"))
+        .select("digest", "row.doc_id", "row.mark", "copies", "n", "labels", "brief"),
         "shingle-nodes",
     )
     candidates = components(candidate_ties(nodes.filter(F.col("n") >= int(least)), t, recall, estimate))

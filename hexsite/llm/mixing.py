@@ -11,11 +11,11 @@ integer that it crosses. Documents stand in the order of (bits of their size, MD
 sample, so the words taken come near the target, and a document is taken at most ceil(most) times.
 
 Scale: no window holds a source. Documents fall into cells (source, bits of the size, range of MD5); the number of
-ranges follows the largest such pair, so a cell has about ``cell_rows`` rows, whatever a hot source holds. Ranks inside
+ranges follows the largest such pair, so a cell has about ``cell_rows`` rows, and a SHARES-th of all, whatever a hot source holds. Ranks inside
 cells and prefix sums over the cells' counts give the place in the source.
 
-Defined results: a null or empty text has size 0 and is taken 0 words; a null source is a source of its own; equal ids
-and repeated rows each have a place; a source without words has target 0; an empty table gives no rows.
+Defined results: a null or empty text has size 0 and is taken 0 words; a text of any length is counted whole; a null source
+is a source of its own; equal ids and repeated rows each have a place, in one cell; a source without words has target 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from hexsite.llm._shared import stored
 
 WEIGHTS = (5, 2, 1)
 SEED = "mix-1"
+SHARES = 256  #: a cell has about this part of all rows, or ``cell_rows``, whatever is less
 
 
 def words_of(text: Column) -> Column:
@@ -69,8 +70,8 @@ def mixed(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", source: s
 
     totals = narrow.groupBy("source", "bits").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     goals = targets(totals.groupBy("source").agg(F.sum("source_size").alias("source_size")), share=share, most=most, weights=weights)
-    largest = totals.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("m")).first()["m"]
-    ranges = max(1, -(-largest // cell_rows))
+    asked = totals.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("m"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()
+    ranges = max(1, -(-asked["m"] // min(cell_rows, max(256, asked["n"] // SHARES))))
 
     cell = F.floor(_rank_value(F.col("order")) * F.lit(ranges) / F.lit(1 << 32)).cast("int")
     celled = sized.withColumn("cell", cell)

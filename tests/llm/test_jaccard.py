@@ -135,3 +135,12 @@ def test_spanning_connects_what_agrees():
     ties = jaccard.spanning(briefs, 0.6)
     assert len(ties) == 19
     assert {x for t in ties for x in t} == set(range(10, 30))
+
+
+def test_many_rows_without_an_id(spark):
+    """Rows are found again by id and text, so those of one id don't meet each other; repeats are held once."""
+    draw = random.Random(12)
+    base = [" ".join(f"w{draw.randrange(5000)}" for _ in range(60)) for _ in range(40)]
+    rows = [(None, t) for t in base] + [(None, t + " more") for t in base] + [(None, base[0])] * 30 + [(7, base[1])] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert run(df) == brute(rows)
