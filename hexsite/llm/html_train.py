@@ -165,10 +165,22 @@ class Page:
             f"{some[0]} +{self.draw.integers(10, 99)} {self.draw.integers(100, 999)} {self.draw.integers(1000, 9999)}",
         )
 
+    def formula(self) -> str:
+        """What stands in a sentence and isn't a word: formulas, drawings and fallback contents."""
+        x = self.word("en")
+        return self.one(f"<math><mi>{x}</mi><mo>=</mo><mn>5</mn></math>", f"<svg><text>{x}</text></svg>", f"<object>{self.prose(3)}</object>", f"<noscript>{self.prose(2)}</noscript>", f"<code>{x}()</code>", f"<sup>{x}</sup>")
+
+    def lines(self) -> None:
+        """Very many short paragraphs: a poem, a talk, a list of names."""
+        most = int(self.draw.integers(1, 5))
+        tag = self.one("p", "p", "p", "div", "li")
+        n = int(self.draw.choice([10, 30, 80, 200]))
+        self.put("".join(f"<{tag}>{self.prose(int(self.draw.integers(1, most + 1))) if self.chance(0.7) else self.word(self.lang)}</{tag}>" for _ in range(n)), *[True] * n)
+
     def paragraph(self) -> None:
         words = int(self.draw.choice([1, 2, 4, 8, 15, 30, 60, 100, 160]))
         text = self.prose(words) if self.chance(0.85) else self.odd(words)
-        self.put(self.one(f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}", f"<p><b>{text}<br>", f'<p>{text} <a href="#">{self.prose(3)}</a> {self.prose(4)}</p>', f"<p><em>{self.prose(2)}</em> {text}</p>", f"<p>{text}<br>{self.prose(6)}</p>"), True)
+        self.put(self.one(f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}", f"<p><b>{text}<br>", f'<p>{text} <a href="#">{self.prose(3)}</a> {self.prose(4)}</p>', f"<p><em>{self.prose(2)}</em> {text}</p>", f"<p>{text}<br>{self.prose(6)}</p>", f"<p>{self.prose(2)} {self.formula()} {text}</p>"), True)
 
     def article(self, bare: bool) -> None:
         if bare:
@@ -182,6 +194,8 @@ class Page:
         if self.chance(0.8):
             self.put(f"<{(h := self.one('h1', 'h1', 'h2'))}>{self.prose(int(self.draw.integers(1, 14)))}</{h}>", True)
         loose = not bare and self.chance(0.12)
+        if not bare and self.chance(0.06):
+            self.lines()
         for _ in range(int(self.draw.choice([1, 2, 3, 5, 8, 12, 20, 35]))):
             kind = self.draw.random()
             if loose:
