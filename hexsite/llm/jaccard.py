@@ -38,7 +38,7 @@ from hexsite.operators.graph import components, joined_by_size
 
 TREES, DEEPEST = 24, 8
 VALUES = TREES * DEEPEST
-GROUP, BLOCK, NODES = 8192, 1_000_000, 2048
+GROUP, BLOCK, NODES = 8192, 1_000_000, 512
 _DRAW = np.random.default_rng(20240229)
 FACTORS = (_DRAW.integers(1, 1 << 31, VALUES) * 2 + 1).astype(np.uint32)
 TERMS = _DRAW.integers(0, 1 << 32, VALUES).astype(np.uint32)

@@ -11,10 +11,13 @@ mixed with the counts of all languages together. ``fit_bytes`` bounds the text u
 bound is reached, one at least; of a text longer than the bound only its beginning is learned from. Scoring reads every
 whole text. The model has vocabulary x languages numbers.
 
-Words are runs of letters, digits and non-ASCII characters in lower case; runs of over 24 characters are scored in
-parts of 24. Scores of words are cached, up to ``most`` words a task; new words are scored many at a time.
+Words are runs of letters, digits and non-ASCII characters in lower case. A word of any length is scored by the whole
+forward sum: of long ones, such as text in scripts without spaces, the sums of the last places alone are kept, times a
+factor for each language whose logarithm is carried along. (Only in fitting are runs of over LONGEST characters learned
+from in parts.) Scores of words of up to KEPT bytes are cached, up to ``most`` words a task; new words are scored many at
+a time.
 
-Defined results: null or empty texts, and texts without a letter, are ``und`` with score 0; so is everything if there
+Defined results: texts of any length are scored whole; null or empty texts, and texts without a letter, are ``und`` with score 0; so is everything if there
 is no labelled row to learn from. Null languages aren't learned. Ties go to the language first by code point. A null
 doc_id is neither held out nor learned from. Equal ids and repeated rows each keep their row.
 """
@@ -31,17 +34,22 @@ from pyspark.sql import functions as F
 
 from hexsite.llm._shared import FOLD, annotate, released, slices, utf8, words
 
-LONGEST, FLOOR = 24, 1e-7
+LONGEST, FLOOR, KEPT = 24, 1e-7, 64
 STEPS = 64  #: slots of the drawing hash for each doubling of it: the last slot taken has about a hundredth of the sample
 FIELDS = {"lang_pred": pa.string(), "score": pa.float64()}
 
 
 def parts_of(word: bytes) -> list[str]:
-    """The strings scored for a word: a mark of its start, and LONGEST characters at most in each."""
-    w = "▁" + word.decode("utf-8", "ignore").lower()
+    """The strings learned from for a word, of LONGEST characters at most."""
+    w = whole(word)
     return [w] if len(w) <= LONGEST else [w[i : i + LONGEST] for i in range(0, len(w), LONGEST)]
 
 
+def whole(word: bytes) -> str:
+    """The string scored for a word: a mark of its start and its characters in lower case."""
+    return "▁" + word.decode("utf-8", "ignore").lower()
+
+
 def beginning(text: bytes, most: int) -> bytes:
     """Whole characters of the first ``most`` bytes, without a word that is cut, unless it is the only one."""
     head = text[:most].decode("utf-8", "ignore").encode()
@@ -59,31 +67,35 @@ class Vocabulary:
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         pieces = sorted({p for p in pieces if len(p) <= LONGEST and "▁" not in p[1:]})
         self.n = len(pieces) + 1  # the last is any single character that isn't a piece
+        self.longest = max(map(len, pieces), default=1)
         self.find = {p[:k]: -1 for p in pieces for k in range(1, len(p))} | {p: i for i, p in enumerate(pieces)}
 
-    def edges(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(string, begin, end, piece) of each piece that fits somewhere, ordered by end and then string."""
+    def edges(self, strings: list[str], low: int = 0, high: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(string, begin, end, piece) of each piece that fits somewhere and ends after ``low`` and not after ``high``, ordered by
+        end and then string. Places are counted from ``low - longest``, or from 0 if that is less."""
         find, other = self.find.get, self.n - 1
+        base = max(0, low - self.longest)
         out: list[int] = []
         put = out.append
         for k, s in enumerate(strings):
-            n, base = len(s), k << 32
-            for i in range(n):
-                at = base | i << 16
+            n = len(s) if high is None else min(len(s), high)
+            for i in range(base, n):
+                at = k << 48 | i - base << 24
                 single = False
                 for j in range(i + 1, n + 1):
                     p = find(s[i:j])
                     if p is None:
                         break
                     if p >= 0:
-                        put(at | j)
-                        put(p)
+                        if j > low:
+                            put(at | j - base)
+                            put(p)
                         single |= j == i + 1
-                if not single:
-                    put(at | (i + 1))
+                if not single and i + 1 > low:
+                    put(at | (i + 1 - base))
                     put(other)
         flat = np.array(out, np.int64).reshape(-1, 2)
-        k, i, j = flat[:, 0] >> 32, (flat[:, 0] >> 16) & 0xFFFF, flat[:, 0] & 0xFFFF
+        k, i, j = flat[:, 0] >> 48, (flat[:, 0] >> 24) & 0xFFFFFF, flat[:, 0] & 0xFFFFFF
         order = np.lexsort((k, j))
         return k[order], i[order], j[order], flat[order, 1]
 
@@ -108,13 +120,54 @@ def forward(n: int, lengths: np.ndarray, edges: tuple, p: np.ndarray) -> np.ndar
     return alpha
 
 
+def scaled(vocabulary: Vocabulary, strings: list[str], p: np.ndarray, window: int | None = None) -> np.ndarray:
+    """(strings, languages) of logarithms, for strings of any length: the forward sums, a window of places at a time.
+
+    Only as many places as the longest piece are kept. Before they grow too small for a number they are multiplied, for
+    each string and language by itself, and the logarithm of the factor is remembered."""
+    n, span = len(strings), vocabulary.longest
+    window = window or max(span, (1 << 17) // n)
+    lengths = np.array([len(s) for s in strings])
+    out, taken = np.empty((n, p.shape[1])), np.zeros((n, p.shape[1]))
+    last = np.ones((n, 1, p.shape[1]))
+    for low in range(0, int(lengths.max()), window):
+        high = min(low + window, int(lengths.max()))
+        base = max(0, low - span)
+        k, i, j, piece = vocabulary.edges(strings, low, high)
+        alpha = np.zeros((n, high - base + 1, p.shape[1]))
+        alpha[:, : low - base + 1] = last[:, -(low - base + 1) :]
+        cut = np.searchsorted(j, np.arange(low - base + 1, high - base + 2))
+        for place in range(low - base + 1, high - base + 1):
+            a, b = cut[place - low + base - 1], cut[place - low + base]
+            who, total = _sum_by(k[a:b], alpha[k[a:b], i[a:b]] * p[piece[a:b]])
+            alpha[who, place] = total
+            if place % 8 == 0 or place == high - base:
+                few = alpha[:, max(0, place - span) : place + 1]
+                top = few.max(axis=1)
+                factor = np.where((top > 0) & (top < 1e-100), top, 1.0)
+                if (factor != 1).any():
+                    few /= factor[:, None]
+                    taken += np.log(factor)
+        done = np.flatnonzero((lengths > low) & (lengths <= high))
+        out[done] = np.log(alpha[done, lengths[done] - base]) + taken[done]
+        last = alpha[:, -(span + 1) :]
+    return out
+
+
 def log_probabilities(vocabulary: Vocabulary, strings: list[str], p: np.ndarray) -> np.ndarray:
     """(strings, languages) of logarithms."""
-    if not strings:
-        return np.zeros((0, p.shape[1]))
-    lengths = np.array([len(s) for s in strings])
-    alpha = forward(len(strings), lengths, vocabulary.edges(strings), p)
-    return np.log(alpha[np.arange(len(strings)), lengths])
+    out = np.zeros((len(strings), p.shape[1]))
+    lengths = np.array([len(s) for s in strings], np.int64)
+    short = np.flatnonzero(lengths <= LONGEST)
+    if len(short):
+        some = [strings[i] for i in short]
+        alpha = forward(len(some), lengths[short], vocabulary.edges(some), p)
+        out[short] = np.log(alpha[np.arange(len(some)), lengths[short]])
+    long = np.flatnonzero(lengths > LONGEST)
+    long = long[np.argsort(lengths[long], kind="stable")]
+    for a in range(0, len(long), 256):
+        out[long[a : a + 256]] = scaled(vocabulary, [strings[i] for i in long[a : a + 256]], p)
+    return out
 
 
 def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, strength: float = 2000.0) -> tuple[list[str], np.ndarray]:
@@ -150,6 +203,10 @@ def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, str
     return langs, p
 
 
+def has_letter(word: bytes) -> bool:
+    return any(map(str.isalpha, word.decode("utf-8", "ignore")))
+
+
 class Scorer:
     """Languages of texts under a fitted model."""
 
@@ -166,14 +223,12 @@ class Scorer:
         todo = list(new)
         for a in range(0, len(todo), 5_000):
             some = todo[a : a + 5_000]
-            cut = [parts_of(w) for w in some]
-            logs = log_probabilities(self.vocabulary, [s for c in cut for s in c], self.p)
             at = len(self.row)
             while at + len(some) > len(self.score):
                 self.score = np.concatenate([self.score, np.zeros_like(self.score)])
                 self.letter = np.concatenate([self.letter, np.zeros_like(self.letter)])
-            self.score[at : at + len(some)] = np.add.reduceat(logs, np.concatenate([[0], np.cumsum([len(c) for c in cut])[:-1]]), axis=0)
-            self.letter[at : at + len(some)] = [any(map(str.isalpha, w.decode("utf-8", "ignore"))) for w in some]
+            self.score[at : at + len(some)] = log_probabilities(self.vocabulary, [whole(w) for w in some], self.p)
+            self.letter[at : at + len(some)] = [has_letter(w) for w in some]
             self.row.update(zip(some, range(at, at + len(some)), strict=True))
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float]]:
@@ -185,15 +240,20 @@ class Scorer:
         new: set[bytes] = set()
         for w in found:
             new.update(w)
-        self.learn(new.difference(self.row))
+        long = [w for w in new if len(w) > KEPT]
+        self.learn(new.difference(self.row, long))
+        more = dict(zip(long, log_probabilities(self.vocabulary, [whole(w) for w in long], self.p), strict=True))
         names, scores = [], []
         for w in found:
+            extra = [x for x in w if x in more] if more else []
+            if extra:
+                w = [x for x in w if x not in more]
             rows = np.fromiter(map(self.row.__getitem__, w), np.int64, len(w))
-            if not len(w) or not self.letter[rows].any():
+            if not self.letter[rows].any() and not any(map(has_letter, extra)):
                 names.append("und")
                 scores.append(0.0)
                 continue
-            total = self.score[rows].sum(axis=0, dtype=np.float64)
+            total = self.score[rows].sum(axis=0, dtype=np.float64) + sum(more[x] for x in extra)
             best = int(total.argmax())
             names.append(self.langs[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))

@@ -37,6 +37,58 @@ def test_forward_sums_all_segmentations():
     assert langid.parts_of("a".encode() * 60) == ["▁" + "a" * 23, "a" * 24, "a" * 13]
 
 
+def test_words_of_ten_thousand_characters_are_summed_whole():
+    """Against the sum in whole numbers (probabilities as fractions of 2**40), which neither cuts nor scales."""
+    v = langid.Vocabulary(PATH)
+    draw = np.random.default_rng(1)
+    p = np.maximum(draw.random((v.n, 3)) / 50, 1e-6)
+    p[:, 1] *= draw.random(v.n)
+    whole = np.maximum((p * 2**40).astype(np.int64), 1)
+    p = whole / 2**40
+    letters = list("abcdefghinorst") + ["ü", "漢", "字", "☃"]
+    strings = ["▁" + "".join(draw.choice(letters, n)) for n in (10, 24, 40, 333, 333, 10_000)]
+
+    def exact(s, c):
+        import math
+
+        sums = [1]
+        for j in range(1, len(s) + 1):
+            total = 0
+            for i in range(max(0, j - v.longest), j):
+                k = v.find.get(s[i:j], -1)
+                if k < 0 and i == j - 1:
+                    k = v.n - 1
+                if k >= 0:
+                    total += sums[i - j] * int(whole[k, c]) << 40 * (j - i - 1)
+            sums.append(total)
+            del sums[: -v.longest - 1]
+        n = sums[-1]
+        shift = max(0, n.bit_length() - 60)
+        return math.log(n >> shift) + (shift - 40 * len(s)) * math.log(2)
+
+    want = np.array([[exact(s, c) for c in range(3)] for s in strings])
+    assert langid.log_probabilities(v, strings, p) == pytest.approx(want, rel=1e-9)
+    assert langid.scaled(v, strings, p, window=v.longest) == pytest.approx(want, rel=1e-9)
+    assert langid.scaled(v, strings, p, window=1000) == pytest.approx(want, rel=1e-9)
+
+
+def test_long_words_are_scored_once_and_not_kept():
+    v = langid.Vocabulary(PATH)
+    langs, p = langid.fit(v, {"x": Counter({"▁漢字": 9, "漢": 4, "字": 5}), "y": Counter({"▁かな": 9, "か": 4, "な": 4})})
+    scorer = langid.Scorer(v, langs, p)
+    texts = [("漢字" * 400).encode(), ("かな" * 400 + " かな").encode(), b"!!", ("0" * 70).encode()]
+    names, scores = scorer.predict(texts)
+    assert names == ["x", "y", "und", "und"] and scores[0] > 0.99
+    assert all(len(w) <= langid.KEPT for w in scorer.row)
+
+
+def test_ties_go_to_the_first_language():
+    v = langid.Vocabulary(PATH)
+    same = Counter({"▁the": 9, "▁cat": 5})
+    langs, p = langid.fit(v, {"b": same, "a": same})
+    assert langid.Scorer(v, langs, p).predict([b"the cat"]) == (["a"], [pytest.approx(0.5)])
+
+
 def test_fitting_raises_the_likelihood():
     v = langid.Vocabulary(PATH)
     counts = {"x": Counter({"▁the": 9, "▁cat": 5, "▁sat": 3}), "y": Counter({"▁die": 9, "▁katze": 5, "▁saß": 3})}
