@@ -112,15 +112,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def bounded(df: DataFrame, most_bytes: int, size_sql: str) -> bool:
-    """Whether the sum of ``size_sql`` over the rows stays under ``most_bytes``: one aggregate, asked before any broadcast."""
-    got = df.selectExpr(f"coalesce(sum({size_sql}), 0) AS b").first()
-    return int(got["b"]) <= most_bytes
-
-
-def annotate(df: DataFrame, text: str, keep: list[str], fields: dict[str, pa.DataType], make) -> DataFrame:
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to about ``most`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def annotate(df: DataFrame, text: str, keep: list[str], fields: dict[str, pa.DataType], make, *, gather: int = 0) -> DataFrame:
     """Rows of ``df`` as ``keep`` (a struct of those columns) and new columns computed from the text.
 
+    ``gather``: the function sees about so many bytes of texts at once, where a pass over them has a cost of its own.
+
     ``make()`` runs once a task and gives a function from a list of UTF-8 texts (null: empty) to one list or
     array for each of ``fields``. The struct keeps new names from clashing with the table's own.
     """
@@ -136,10 +146,10 @@ def annotate(df: DataFrame, text: str, keep: list[str], fields: dict[str, pa.Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
+        for batch in gathered(batches, gather) if gather else batches:
             rows = batch.column(0)
             texts = utf8(rows.field(at) if inside else batch.column(1))
-            for a, b in slices(texts):
+            for a, b in slices(texts, max(gather, 4 << 20)):
                 out = f(texts[a:b])
                 arrays = [rows.slice(a, b - a), *[x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, fields.values(), strict=True)]]
                 yield pa.RecordBatch.from_arrays(arrays, names=["keep", *fields])
