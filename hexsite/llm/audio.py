@@ -3,11 +3,12 @@
 Stored form: a WAV of 8-bit samples (format 6, A-law, or 7, mu-law; 8000 a second, one channel), header and payload
 in one binary value; or of ADPCM blocks (format 17). Codes are stored as they are, so the payload is read back byte for
 byte. Decoding: a table of 256 values for A-law and mu-law; for ADPCM a loop over the places of a block, each step for
-all blocks of a batch at once. PCM is resampled to a multiple of the rate by linear interpolation and can be stored
-as a WAV of 16-bit samples.
+all blocks of a batch at once. PCM is resampled, by linear interpolation upwards and by means downwards, and stored
+as a WAV of 16-bit samples beside the coded one. The query deals the three codings out by a checksum of the payload and
+stores PCM at half the rate, as its disk is bounded; both are parameters.
 
-Defined results: null and empty texts are a payload of 64 zero bytes; damaged or foreign media raise ValueError; equal
-ids and repeated rows each keep a row.
+Defined results: null and empty texts are a payload of 64 zero bytes; a text of any length is one value, as long as that
+and its PCM fit in a row (2 GB); damaged or foreign media raise ValueError; equal ids and repeated rows each keep a row.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import slices, stored, utf8
+from hexsite.llm._shared import released, slices, small_batches, stored, utf8
 
 UNIT, RATE = 64, 8000
 PCM, ALAW, ULAW, ADPCM = 1, 6, 7, 17
@@ -99,16 +100,32 @@ def adpcm_decode(payload: bytes, block: int = UNIT) -> np.ndarray:
     return out.T
 
 
+def decode_all(media: list[bytes]) -> list[tuple[int, bytes, np.ndarray]]:
+    """(rate, payload, 16-bit samples) of WAVs of any of the four kinds; ADPCM blocks of one size are decoded together."""
+    read = [read_wav(m) for m in media]
+    out: list = [None] * len(read)
+    blocks: dict[int, list[int]] = {}
+    for i, (kind, rate, block, payload) in enumerate(read):
+        if kind == PCM:
+            out[i] = rate, payload, np.frombuffer(payload, "<i2")
+        elif kind in (ALAW, ULAW):
+            out[i] = rate, payload, (ALAW_PCM if kind == ALAW else ULAW_PCM)[np.frombuffer(payload, np.uint8)]
+        elif kind == ADPCM and block > 4 and len(payload) % block == 0:
+            blocks.setdefault(block, []).append(i)
+        else:
+            raise ValueError(f"format {kind} in blocks of {block}")
+    for block, those in blocks.items():
+        samples = adpcm_decode(b"".join(read[i][3] for i in those), block)
+        cut = np.cumsum([len(read[i][3]) // block for i in those])[:-1]
+        for i, own in zip(those, np.split(samples, cut), strict=True):
+            out[i] = read[i][1], read[i][3], own.ravel()
+    return out
+
+
 def decode(media: bytes) -> tuple[int, np.ndarray]:
-    """(rate, 16-bit samples) of a WAV of any of the four kinds."""
-    kind, rate, block, payload = read_wav(media)
-    if kind == PCM:
-        return rate, np.frombuffer(payload, "<i2")
-    if kind == ADPCM:
-        return rate, adpcm_decode(payload, block).ravel()
-    if kind not in (ALAW, ULAW):
-        raise ValueError(f"format {kind}")
-    return rate, (ALAW_PCM if kind == ALAW else ULAW_PCM)[np.frombuffer(payload, np.uint8)]
+    """(rate, 16-bit samples) of one WAV."""
+    rate, _, pcm = decode_all([media])[0]
+    return rate, pcm
 
 
 def resample(pcm: np.ndarray, times: int = 2) -> np.ndarray:
@@ -124,37 +141,60 @@ def resample(pcm: np.ndarray, times: int = 2) -> np.ndarray:
     return out
 
 
+def to_rate(pcm: np.ndarray, rate: int, wanted: int) -> np.ndarray:
+    """Samples at another rate: a multiple by interpolation, a fraction by means (the last sample fills up), any other linearly."""
+    if wanted % rate == 0:
+        return resample(pcm, wanted // rate)
+    if rate % wanted == 0:
+        k = rate // wanted
+        whole = np.concatenate([pcm, np.repeat(pcm[-1:], -len(pcm) % k)]).astype(np.int32).reshape(-1, k)
+        return (whole.sum(axis=1) // k).astype(np.int16)
+    at = np.arange(max(1, len(pcm) * wanted // rate), dtype=np.int64) * rate
+    place, part = at // wanted, at % wanted
+    x = pcm.astype(np.int64)
+    return (x[place] + (x[np.minimum(place + 1, len(x) - 1)] - x[place]) * part // wanted).astype(np.int16)
+
+
 def padded(text: bytes, unit: int = UNIT) -> bytes:
     return text + b"\0" * (max(unit, -(-len(text) // unit) * unit) - len(text))
 
 
-def media_column(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", kind: int = ULAW, pcm: int = 0) -> DataFrame:
-    """doc_id, n_bytes, media: the text's bytes as 8-bit samples in a WAV; with ``pcm`` also the samples at that multiple of the rate."""
-    names = ["doc_id", "n_bytes", "media", *["pcm"] * bool(pcm)]
+def kind_of(payload: bytes) -> int:
+    """The coding that a payload is dealt: equal payloads, equal codings."""
+    return (ULAW, ALAW, ADPCM)[zlib.crc32(payload) % 3]
+
+
+def media_column(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", kind: int | None = ULAW, pcm: int = 0, rate: int = 0) -> DataFrame:
+    """doc_id, n_bytes, media: the text's bytes as samples, or blocks, in a WAV of that kind (None: dealt by the payload); with
+    ``pcm`` also the samples at that multiple of the rate, with ``rate`` at that rate."""
+    wanted = rate or RATE * pcm
+    names = ["doc_id", "n_bytes", "media", *["pcm"] * bool(wanted)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), utf8(batch.column(1))
-            for a, b in slices(texts):
-                media = [wav(padded(t), kind) for t in texts[a:b]]
+            for a, b in slices(texts, 2 << 20):
+                payloads = [padded(t) for t in texts[a:b]]
+                media = [wav(p, kind_of(p) if kind is None else kind, block=UNIT) for p in payloads]
                 columns = [ids.slice(a, b - a), pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(media, pa.binary())]
-                if pcm:
-                    columns.append(pa.array([wav(resample(decode(m)[1], pcm).astype("<i2").tobytes(), PCM, rate=RATE * pcm) for m in media], pa.binary()))
+                if wanted:
+                    columns.append(pa.array([wav(to_rate(x, r, wanted).astype("<i2").tobytes(), PCM, rate=wanted) for r, _, x in decode_all(media)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary" + ", pcm binary" * bool(pcm))
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(released(run), "doc_id long, n_bytes long, media binary" + ", pcm binary" * bool(wanted))
 
 
-def features(pcm: np.ndarray, blocks: np.ndarray) -> str:
-    """Level, crossings and digests of the samples, of the resampled samples and of the payload read as ADPCM blocks."""
+def features(pcm: np.ndarray, stored_pcm: np.ndarray, rate: int) -> str:
+    """Level, crossings and digests of the decoded samples and of the resampled ones as they were stored."""
     x = pcm.astype(np.int64)
     crossings = int(((pcm[1:] < 0) != (pcm[:-1] < 0)).sum())
-    up = resample(pcm)
-    return f"n={len(pcm)};peak={int(np.abs(x).max())};energy={int(x @ x)};crossings={crossings};pcm16k_crc32={zlib.crc32(up.astype('<i2').tobytes())};adpcm_crc32={zlib.crc32(np.ascontiguousarray(blocks, '<i2').tobytes())}"
+    crc = lambda y: zlib.crc32(np.ascontiguousarray(y, "<i2").tobytes())
+    return f"n={len(pcm)};peak={int(np.abs(x).max())};energy={int(x @ x)};crossings={crossings};pcm_crc32={crc(pcm)};rate={rate};n_resampled={len(stored_pcm)};resampled_crc32={crc(stored_pcm)}"
 
 
 def described(media: DataFrame) -> DataFrame:
-    """What is read back from stored media: payload, digests and features."""
+    """What is read back from stored media with PCM beside them: payload, digests and features."""
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,17 +202,15 @@ def described(media: DataFrame) -> DataFrame:
             held = batch.column(2).to_pylist()
             for a, b in slices(held, 2 << 20):
                 out = []
-                payloads = [read_wav(m)[3] for m in held[a:b]]
-                blocks = adpcm_decode(b"".join(payloads))  # whole blocks: all texts of the slice at once
-                at = 0
-                for doc_id, n, m, payload in zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist(), held[a:b], payloads, strict=True):
-                    own = blocks[at : at + len(payload) // UNIT]
-                    at += len(own)
-                    out.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), features(decode(m)[1], own)))
+                resampled = decode_all(batch.column(3).slice(a, b - a).to_pylist())
+                own = zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist(), held[a:b], decode_all(held[a:b]), resampled, strict=True)
+                for doc_id, n, m, (_, payload, pcm), (rate, _, again) in own:
+                    out.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), features(pcm, again, rate)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()], strict=True)], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+    return media.select("doc_id", "n_bytes", "media", "pcm").mapInArrow(released(run), schema)
 
 
 def op3(docs: DataFrame) -> DataFrame:
-    return described(stored(media_column(docs), "telephony"))
+    """The contract's columns; all three codings, and PCM at half the rate, are stored and read back."""
+    return described(stored(media_column(docs, kind=None, rate=RATE // 2), "telephony"))
