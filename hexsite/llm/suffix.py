@@ -10,19 +10,23 @@ least hash of its GRAM-byte strings: equal windows have equal keys. Neighbouring
 about one for 18 bytes of text. Steps, each over parts of bounded size:
 
 1. Each task writes its documents in chunks to the shared folder, and sends the key, a digest and the least doc_id of
-   each distinct segment to the key's bucket.
-2. A bucket finds, of equal segments, the least doc_id: the others are repeats as a whole. Where segments with one key
-   differ and come from several documents, one of each is asked for.
-3. Chunks send the bytes of those segments; buckets build the suffix array over them and answer with ranges.
-4. Chunks mark what was answered, cut it out and give the digests.
+   each distinct segment to the key's bucket. Copies inside a chunk are told by comparing their bytes.
+2. A bucket asks for the segments of each key that several documents have. Digests decide nothing; they only spare the
+   chunk from sending a segment twice.
+3. Chunks send the bytes of those segments.
+4. A bucket puts equal segments together, by comparing their bytes, and builds the suffix array over all that differ
+   under one key. It answers with ranges of windows.
+5. Chunks mark what was answered, cut it out and give the digests.
 
 A key that many documents share is one entry for each chunk at most; suffix arrays are built over a few MB of whole keys
-at a time, and a key that is larger has its windows dealt out once more, by their content. Chunks are rewritten alike and renamed, so
-a retried task changes nothing. Answers about equal segments rest on 40 + 48 bits of digests; all others on the bytes.
+at a time, and a key that is larger has its windows dealt out once more, by their content. Chunks are named by the attempt
+that wrote them, and what the first step sends is stored before it is used, so only chunks of attempts that came to their end are
+ever named in it. A chunk sends a message for each bucket that it has segments for: there are as many buckets as chunks,
+so messages grow faster than the input until each segment is one; they are small beside the segments up to some TB.
 
 Defined results: null and empty texts have 0 bytes; shorter texts than LENGTH keep all; equal doc_ids aren't smaller
-than one another, so repeated rows remove nothing from each other; a null doc_id counts as smaller than all others; an
-empty table gives no rows.
+than one another, so repeated rows remove nothing from each other; a null doc_id counts as smaller than all others; a
+text of any length is one document of one chunk, however large; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -155,6 +159,7 @@ class Segments:
                 base += size
                 first, held, size = i + 1, [], 0
         cat = lambda k, kind: np.concatenate([p[k] for p in parts] or [np.zeros(0, kind)])
+        self.raw = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
         self.start, self.windows, self.key, self.digest = cat(0, np.int64), cat(1, np.int64), cat(2, np.uint64), cat(3, np.uint64)
         self.doc = np.concatenate([p[4] + p[5] for p in parts] or [np.zeros(0, np.int64)])
         self.id = ids[self.doc] if len(self.doc) else np.zeros(0, np.int64)
@@ -199,15 +204,34 @@ class Segments:
         return starts + base, windows, mix(least[starts]), mix(total) >> np.uint64(16), doc
 
     def distinct(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(order, first, bucket, cut): segments by bucket, key, digest and id; where each distinct one begins; buckets' bounds."""
+        """(order, first, bucket, cut): segments by bucket, key, digest and id; where each distinct one begins; buckets' bounds.
+
+        A segment counts as another's copy only if the bytes of both are the same."""
         bucket = ((self.key >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((self.id, self.digest, self.key, bucket))
         key, digest = self.key[order], self.digest[order]
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])])) if len(order) else np.zeros(0, np.int64)
+        new = np.ones(len(order), bool)
+        alike = np.flatnonzero((key[1:] == key[:-1]) & (digest[1:] == digest[:-1]) & (self.windows[order[1:]] == self.windows[order[:-1]])) + 1
+        a, b = order[alike], order[alike - 1]
+        new[alike] = ~same_bytes(self.raw, self.start[a], self.start[b], self.windows[a] + LENGTH - 1)
+        first = np.flatnonzero(new)
         owner = bucket[order][first]
         return order, first, owner, np.searchsorted(owner, np.arange(buckets + 1))
 
 
+def same_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the ``length`` bytes, eight at least, from each place of ``a`` are those from ``b``."""
+    if not len(a):
+        return np.zeros(0, bool)
+    word = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,))
+    out = np.ones(len(a), bool)
+    for o in range(0, int(length.max()) - 7, 8):
+        here = np.minimum(o, length - 8)  # a last word that overlaps the one before
+        out &= word[a + here] == word[b + here]
+    here = length - 8
+    return out & (word[a + here] == word[b + here])
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes: of each, all first bytes, then all second ones, as ids have equal high bytes."""
     import zstandard
@@ -253,32 +277,26 @@ def _first_step(folder: str, buckets: int):
         import uuid
 
         import pyarrow.parquet as pq
-        from pyspark import TaskContext
 
         fs, at = open_fs(folder)
-        part, made = TaskContext.get().partitionId(), 0
         ids: list = []
         texts: list[bytes] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal ids, texts, size, made
-            name = f"chunk-{part:07d}-{made:05d}.parquet"
-            own = f"{at}/{name}.{uuid.uuid4().hex}.tmp"
-            pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_binary())}), own, filesystem=fs, compression="zstd", compression_level=3, use_dictionary=False, write_statistics=False)
-            fs.move(own, f"{at}/{name}")
-            made += 1
+            nonlocal ids, texts, size
+            name = f"chunk-{uuid.uuid4().hex}.parquet"  # of this attempt alone
+            pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_binary())}), f"{at}/{name}", filesystem=fs, compression="zstd", compression_level=3, use_dictionary=False, write_statistics=False)
             s = Segments(texts, np.array([NONE if i is None else i for i in ids], np.int64))
             ids, texts, size = [], [], 0
             order, first, _, cut = s.distinct(buckets)
             lead = order[first]
-            key, digest, doc = s.key[lead], s.digest[lead], s.id[lead]
+            key, doc = s.key[lead], s.id[lead]
             yield _message([(-1, name, "chunk", None)])
-            for b in range(buckets):
+            for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
                 x = slice(cut[b], cut[b + 1])
-                if cut[b] < cut[b + 1]:
-                    k = key[x]
-                    yield _message([(b, name, "keys", pack((k >> np.uint64(32)).astype(np.uint32), (k >> np.uint64(24)).astype(np.uint8), digest[x].astype(np.uint32), (digest[x] >> np.uint64(32)).astype(np.uint16), doc[x]))])
+                k = key[x]
+                yield _message([(b, name, "keys", pack((k >> np.uint64(32)).astype(np.uint32), (k >> np.uint64(24)).astype(np.uint8), doc[x]))])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
@@ -294,38 +312,24 @@ def _first_step(folder: str, buckets: int):
 
 
 def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answers of a bucket: which distinct segments of a chunk are repeats as a whole, and which are asked for."""
+    """A bucket asks the chunks for the segments of each key that several documents have."""
     for (bucket,), got in _by_bucket(batches):
-        if bucket < 0:
-            yield _message([(-1, c, "chunk", None) for c in got["chunk"]])
-            continue
         parts = [unpack(b) for b in got["body"]]
         sizes = [len(p[0]) for p in parts]
         key = np.concatenate([p[0].astype(np.uint64) << np.uint64(8) | p[1] for p in parts])
-        digest = np.concatenate([p[2].astype(np.uint64) | p[3].astype(np.uint64) << np.uint64(32) for p in parts])
-        doc = np.concatenate([p[4] for p in parts])
-        order = np.lexsort((doc, digest, key))
-        k, d, o = key[order], digest[order], doc[order]
-        del key, digest, doc, parts
-        new_key = np.concatenate([[True], k[1:] != k[:-1]])
-        new = new_key | np.concatenate([[True], d[1:] != d[:-1]])
-        first = np.flatnonzero(new)
-        of = np.cumsum(new) - 1
-        least = o[first]
-        whole = o > least[of]
-        of_key = (np.cumsum(new_key) - 1)[first]
-        starts = np.flatnonzero(new_key[first])
-        differ = np.minimum.reduceat(least, starts) < np.maximum.reduceat(least, starts)
-        asked = differ[of_key][of] & ~whole
-        answer = np.zeros(len(order), np.uint8)
-        answer[order[whole]] = 1
-        answer[order[asked]] = 2
+        doc = np.concatenate([p[2] for p in parts])
+        del parts
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+        least, most = np.minimum.reduceat(doc[order], starts), np.maximum.reduceat(doc[order], starts)
+        several = np.zeros(len(key), bool)
+        several[order] = np.repeat(least < most, np.diff(np.append(starts, len(key))))
         at = 0
         for chunk, n in zip(got["chunk"], sizes, strict=True):
-            own = answer[at : at + n]
+            asked = np.flatnonzero(several[at : at + n])
             at += n
-            if own.any():
-                yield _message([(bucket, chunk, "answer", pack(np.flatnonzero(own == 1).astype(np.uint32), np.flatnonzero(own == 2).astype(np.uint32)))])
+            if len(asked):
+                yield _message([(bucket, chunk, "asked", pack(asked.astype(np.uint32)))])
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch], column: str = "bucket"):
@@ -340,19 +344,15 @@ def _third_step(folder: str, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (chunk,), got in _by_bucket(batches, "chunk"):
-            asked = [(b, unpack(x)[1]) for b, x, kind in zip(got["bucket"], got["body"], got["kind"], strict=True) if kind == "answer"]
-            asked = [(b, x) for b, x in asked if len(x)]
-            if not asked:
-                continue
+            asked = [(b, unpack(x)[0]) for b, x in zip(got["bucket"], got["body"], strict=True)]
             texts, ids, _ = _load(folder, chunk)
             s = Segments(texts, ids)
-            raw = np.frombuffer(b"".join(texts), np.uint8)
             order, first, _, cut = s.distinct(buckets)
             for b, places in asked:
                 lead = order[first[cut[b] + places.astype(np.int64)]]
                 length = s.windows[lead] + LENGTH - 1
                 at = np.arange(length.sum()) + np.repeat(s.start[lead] - (np.cumsum(length) - length), length)
-                yield _message([(b, chunk, "bytes", pack(places, s.id[lead], length.astype(np.uint8), raw[at], (s.key[lead] >> np.uint64(24)).astype(np.uint32)))])
+                yield _message([(b, chunk, "bytes", pack(places, s.id[lead], length.astype(np.uint8), s.raw[at], (s.key[lead] >> np.uint64(24)).astype(np.uint32)))])
 
     return run
 
@@ -377,6 +377,8 @@ def _repeats(text: np.ndarray, begin: np.ndarray, length: np.ndarray, doc: np.nd
 
 def _batches(size: np.ndarray, key: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, bool]]:
     """Segments, whole keys together, of about ``most`` bytes; and whether it is one key that alone is larger."""
+    if not len(key):
+        return
     order = np.argsort(key, kind="stable")
     edge = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1], [True]]))
     total = np.concatenate([[0], np.cumsum(size[order])])
@@ -390,11 +392,22 @@ def _batches(size: np.ndarray, key: np.ndarray, most: int) -> Iterator[tuple[np.
 ARRAY = 3 << 20
 
 
+def _marks(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A number for the ``length`` bytes, eight at least, from each place."""
+    word = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,))
+    mark = length.astype(np.uint64)
+    for o in range(0, int(length.max(initial=0)), 8):
+        left = np.flatnonzero(length > o)
+        mark[left] = mix(mark[left] ^ word[first[left] + np.minimum(o, length[left] - 8)])
+    return mark
+
+
 def _fourth_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays over a bucket's segments, a few MB at a time; ranges of windows that are repeats."""
+    """Ranges of windows that are repeats: all of a segment whose bytes a smaller document has, and of the others what suffix
+    arrays over the differing segments of a key show, a few MB at a time."""
     for (bucket,), got in _by_bucket(batches):
         parts = [unpack(b) for b in got["body"]]
-        text = np.concatenate([p[3] for p in parts])
+        text = np.concatenate([*[p[3] for p in parts], np.zeros(8, np.uint8)])
         length = np.concatenate([p[2] for p in parts]).astype(np.int64)
         doc = np.concatenate([p[1] for p in parts])
         key = np.concatenate([p[4] for p in parts])
@@ -402,26 +415,50 @@ def _fourth_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = [p[0] for p in parts]
         del parts
         begin = np.cumsum(length) - length
+
+        # equal segments stand together, the least document first; each is compared with the one before
+        mark = _marks(text, begin, length)
+        order = np.lexsort((doc, mark, length, key))
+        alike = np.flatnonzero((mark[order[1:]] == mark[order[:-1]]) & (length[order[1:]] == length[order[:-1]]) & (key[order[1:]] == key[order[:-1]])) + 1
+        new = np.ones(len(order), bool)
+        new[alike] = ~same_bytes(text, begin[order[alike]], begin[order[alike - 1]], length[order[alike]])
+        lead = np.empty(len(order), np.int64)  # of each segment, the one it equals
+        lead[order] = np.repeat(order[new], np.diff(np.append(np.flatnonzero(new), len(order))))
+        whole = doc > doc[lead]
+        first = np.sort(order[new])
+        del mark, order, alike, new
+
+        # of the others, those whose key has several
+        by_key = first[np.argsort(key[first], kind="stable")]
+        edge = np.flatnonzero(np.concatenate([[True], key[by_key][1:] != key[by_key][:-1], [True]]))
+        differ = np.sort(by_key[np.repeat(np.diff(edge) > 1, np.diff(edge))])
         repeat = np.zeros(len(text) + 1, bool)
-        for some, large in _batches(length, key, ARRAY):
+        for some, large in _batches(length[differ], key[differ], ARRAY):
+            some = differ[some]
             if not large:
                 repeat[_repeats(text, begin[some], length[some], doc[some])] = True
                 continue
             # one key in very many segments: each window by itself, dealt into batches by its content
             many = length[some] - LENGTH + 1
-            first = np.arange(many.sum()) + np.repeat(begin[some] - (np.cumsum(many) - many), many)
-            word = np.ndarray((len(text) - 7,), "<u8", text.tobytes(), strides=(1,))
-            mark = np.zeros(len(first), np.uint64)
-            for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-                mark = mix(mark ^ word[first + k])
+            start = np.arange(many.sum()) + np.repeat(begin[some] - (np.cumsum(many) - many), many)
             own = np.repeat(doc[some], many)
-            for again, _ in _batches(np.full(len(first), LENGTH), mark, ARRAY):
-                repeat[_repeats(text, first[again], np.full(len(again), LENGTH), own[again])] = True
+            for again, _ in _batches(np.full(len(start), LENGTH), _marks(text, start, np.full(len(start), LENGTH)), ARRAY):
+                repeat[_repeats(text, start[again], np.full(len(again), LENGTH), own[again])] = True
         owner = np.repeat(np.arange(len(length), dtype=np.int32), length)
         edge = np.diff(np.concatenate([[0], repeat.astype(np.int8)]))
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # never across segments: each ends in places that are no window
         seg = owner[a]
         a, b = a - begin[seg], b - begin[seg]
+        # what holds for a segment holds for its equals in the same document
+        equal = np.flatnonzero(~whole & (lead != np.arange(len(lead))))
+        low, high = np.searchsorted(seg, lead[equal]), np.searchsorted(seg, lead[equal], side="right")
+        n = high - low
+        more = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+        all_ = np.flatnonzero(whole)
+        seg = np.concatenate([seg, np.repeat(equal, n), all_])
+        a, b = np.concatenate([a, a[more], np.zeros(len(all_), np.int64)]), np.concatenate([b, b[more], length[all_] - LENGTH + 1])
+        by = np.argsort(seg, kind="stable")
+        seg, a, b = seg[by], a[by], b[by]
         cut = np.searchsorted(seg, bound)
         for m, chunk in enumerate(got["chunk"]):
             x = slice(cut[m], cut[m + 1])
@@ -435,12 +472,9 @@ def _last_step(folder: str, buckets: int, text_out: bool):
             texts, ids, own = _load(folder, chunk)
             s = Segments(texts, ids)
             order, first, _, cut = s.distinct(buckets)
-            whole = np.zeros(len(first), bool)
             spots, lows, highs = [], [], []
             for b, kind, body in zip(got["bucket"], got["kind"], got["body"], strict=True):
-                if kind == "answer":
-                    whole[cut[b] + unpack(body)[0].astype(np.int64)] = True
-                elif kind == "ranges":
+                if kind == "ranges":
                     places, x, y = unpack(body)
                     spots.append(cut[b] + places.astype(np.int64))
                     lows.append(x.astype(np.int64))
@@ -451,7 +485,7 @@ def _last_step(folder: str, buckets: int, text_out: bool):
             of[first] = 1
             of = np.cumsum(of) - 1
             later = s.id[order] > s.id[order[first]][of] if len(order) else np.zeros(0, bool)
-            full = order[whole[of] | later] if len(order) else order
+            full = order[later]
             np.add.at(mark, s.start[full], 1)
             np.add.at(mark, s.start[full] + s.windows[full] - 1 + LENGTH, -1)
             if spots:
@@ -489,12 +523,13 @@ def without_repeats(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
     fs.create_dir(at, recursive=True)
 
     small_batches(spark)
-    sent = source.mapInArrow(released(_first_step(folder, buckets)), MESSAGE)
-    answers = stored(sent.repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(released(_second_step), MESSAGE), "suffix-answers")
-    chunks = answers.filter("kind = 'chunk'").count()
-    asked = answers.repartition(partitions(chunks), "chunk").sortWithinPartitions("chunk").mapInArrow(released(_third_step(folder, buckets)), MESSAGE)
+    sent = stored(source.mapInArrow(released(_first_step(folder, buckets)), MESSAGE), "suffix-keys")  # names only chunks of attempts that ended
+    chunks = sent.filter("kind = 'chunk'")
+    n = partitions(chunks.count())
+    answers = sent.filter("kind = 'keys'").repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(released(_second_step), MESSAGE)
+    asked = answers.repartition(n, "chunk").sortWithinPartitions("chunk").mapInArrow(released(_third_step(folder, buckets)), MESSAGE)
     ranges = asked.repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(released(_fourth_step), MESSAGE)
-    heard = answers.unionByName(ranges).repartition(partitions(chunks), "chunk").sortWithinPartitions("chunk")
+    heard = chunks.unionByName(ranges).repartition(n, "chunk").sortWithinPartitions("chunk")
     return heard.mapInArrow(released(_last_step(folder, buckets, not digests)), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if digests else 'binary'}")
 
 

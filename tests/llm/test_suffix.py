@@ -74,3 +74,40 @@ def test_a_key_in_very_many_segments(monkeypatch):
 def test_pack_round_trip():
     arrays = [np.arange(5), np.zeros(0, np.uint32), np.array([1, 255], np.uint8), np.array([-(1 << 63), 7])]
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(suffix.unpack(suffix.pack(*arrays)), arrays, strict=True))
+
+
+def test_digests_decide_nothing(spark, monkeypatch):
+    """With digests and marks that are all alike, only the bytes are left to tell segments apart."""
+    draw = random.Random(11)
+    passage = ["".join(draw.choice("abc ") for _ in range(draw.choice([50, 90]))) for _ in range(5)]
+    rows = [(i, "".join(draw.choice(passage)[draw.randrange(4) :] for _ in range(4))) for i in range(40)]
+    texts, ids = [t.encode() for _, t in rows], np.arange(40)
+    s = suffix.Segments(texts, ids)
+    s.digest[:] = 7
+    s.key[:] = 5 << 40
+    order, first, _, _ = s.distinct(1)
+    of = np.cumsum(np.isin(np.arange(len(order)), first)) - 1
+    raw = b"".join(texts)
+    piece = lambda k: raw[s.start[k] : s.start[k] + s.windows[k] + suffix.LENGTH - 1]
+    assert all(piece(k) == piece(order[first[g]]) for k, g in zip(order, of, strict=True))
+    monkeypatch.setattr(suffix, "_marks", lambda text, first, length: np.zeros(len(first), np.uint64))
+    body = suffix.pack(np.arange(len(s.start), dtype=np.uint32), s.id, (s.windows + 49).astype(np.uint8), np.concatenate([np.frombuffer(piece(k), np.uint8) for k in range(len(s.start))]), np.zeros(len(s.start), np.uint32))
+    least, got = {}, set()
+    for k in range(len(s.start)):
+        for j in range(int(s.windows[k])):
+            w = piece(k)[j : j + 50]
+            least[w] = min(least.get(w, 99), int(s.id[k]))
+    for out in suffix._fourth_step(iter([suffix._message([(0, "c", "bytes", body)])])):
+        for packed in out.column(3).to_pylist():
+            for i, a, b in zip(*suffix.unpack(packed), strict=True):
+                got |= {(int(i), k) for k in range(int(a), int(b))}
+    assert got == {(k, j) for k in range(len(s.start)) for j in range(int(s.windows[k])) if least[piece(k)[j : j + 50]] < s.id[k]}
+
+
+def test_a_text_larger_than_a_chunk(spark, monkeypatch):
+    draw = random.Random(12)
+    big = "".join(draw.choice("abcdefghij klmnop") for _ in range(60_000))
+    rows = [(1, big), (2, "x" + big[100:5000] + "y"), (3, big[:40] + "|" + big[7000:7049] + "|" + big[7000:7050])]
+    monkeypatch.setattr(suffix, "CHUNK", 3000)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, suffix.op9(df).collect())) == sorted(suffix.brute_force(rows).values())
