@@ -402,68 +402,78 @@ def _marks(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarra
     return mark
 
 
+def _ranges(text: np.ndarray, length: np.ndarray, doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first window, window after the last) of windows that are repeats, of segments that stand one after the other
+    in ``text`` (and eight bytes more): all of a segment whose bytes a smaller document has, and of the others what a suffix
+    array over the differing segments of a key shows."""
+    begin = np.cumsum(length) - length
+    # equal segments stand together, the least document first; each is compared with the one before
+    mark = _marks(text, begin, length)
+    order = np.lexsort((doc, mark, length, key))
+    alike = np.flatnonzero((mark[order[1:]] == mark[order[:-1]]) & (length[order[1:]] == length[order[:-1]]) & (key[order[1:]] == key[order[:-1]])) + 1
+    new = np.ones(len(order), bool)
+    new[alike] = ~same_bytes(text, begin[order[alike]], begin[order[alike - 1]], length[order[alike]])
+    lead = np.empty(len(order), np.int64)  # of each segment, the one it equals
+    lead[order] = np.repeat(order[new], np.diff(np.append(np.flatnonzero(new), len(order))))
+    whole = doc > doc[lead]
+    first = order[new]
+
+    # of the others, those whose key has several
+    edge = np.flatnonzero(np.concatenate([[True], key[first][1:] != key[first][:-1], [True]]))  # in the order of keys
+    differ = np.sort(first[np.repeat(np.diff(edge) > 1, np.diff(edge))])
+    del mark, order, alike, new, first
+    repeat = np.zeros(len(text) + 1, bool)
+    for some, large in _batches(length[differ], key[differ], ARRAY):
+        some = differ[some]
+        if not large:
+            repeat[_repeats(text, begin[some], length[some], doc[some])] = True
+            continue
+        # one key in very many segments: each window by itself, dealt into batches by its content
+        many = length[some] - LENGTH + 1
+        start = np.arange(many.sum()) + np.repeat(begin[some] - (np.cumsum(many) - many), many)
+        own = np.repeat(doc[some], many)
+        for again, _ in _batches(np.full(len(start), LENGTH), _marks(text, start, np.full(len(start), LENGTH)), ARRAY):
+            repeat[_repeats(text, start[again], np.full(len(again), LENGTH), own[again])] = True
+    edge = np.diff(np.concatenate([[0], repeat.astype(np.int8)]))
+    a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # never across segments: each ends in places that are no window
+    seg = np.searchsorted(begin, a, side="right") - 1
+    a, b = a - begin[seg], b - begin[seg]
+    # what holds for a segment holds for its equals in the same document
+    equal = np.flatnonzero(~whole & (lead != np.arange(len(lead))))
+    low, high = np.searchsorted(seg, lead[equal]), np.searchsorted(seg, lead[equal], side="right")
+    n = high - low
+    more = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+    all_ = np.flatnonzero(whole)
+    return np.concatenate([seg, np.repeat(equal, n), all_]), np.concatenate([a, a[more], np.zeros(len(all_), np.int64)]), np.concatenate([b, b[more], length[all_] - LENGTH + 1])
+
+
 def _fourth_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of windows that are repeats: all of a segment whose bytes a smaller document has, and of the others what suffix
-    arrays over the differing segments of a key show, a few MB at a time."""
+    """Ranges of windows that are repeats, for a bucket's segments, a few MB of whole keys at a time."""
     for (bucket,), got in _by_bucket(batches):
-        parts = [unpack(b) for b in got["body"]]
-        text = np.concatenate([*[p[3] for p in parts], np.zeros(8, np.uint8)])
-        length = np.concatenate([p[2] for p in parts]).astype(np.int64)
+        parts = [unpack(b) for b in got.pop("body")]
+        text = np.concatenate([p[3] for p in parts])
+        length = np.concatenate([p[2] for p in parts])
         doc = np.concatenate([p[1] for p in parts])
         key = np.concatenate([p[4] for p in parts])
         bound = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
         places = [p[0] for p in parts]
         del parts
-        begin = np.cumsum(length) - length
-
-        # equal segments stand together, the least document first; each is compared with the one before
-        mark = _marks(text, begin, length)
-        order = np.lexsort((doc, mark, length, key))
-        alike = np.flatnonzero((mark[order[1:]] == mark[order[:-1]]) & (length[order[1:]] == length[order[:-1]]) & (key[order[1:]] == key[order[:-1]])) + 1
-        new = np.ones(len(order), bool)
-        new[alike] = ~same_bytes(text, begin[order[alike]], begin[order[alike - 1]], length[order[alike]])
-        lead = np.empty(len(order), np.int64)  # of each segment, the one it equals
-        lead[order] = np.repeat(order[new], np.diff(np.append(np.flatnonzero(new), len(order))))
-        whole = doc > doc[lead]
-        first = np.sort(order[new])
-        del mark, order, alike, new
-
-        # of the others, those whose key has several
-        by_key = first[np.argsort(key[first], kind="stable")]
-        edge = np.flatnonzero(np.concatenate([[True], key[by_key][1:] != key[by_key][:-1], [True]]))
-        differ = np.sort(by_key[np.repeat(np.diff(edge) > 1, np.diff(edge))])
-        repeat = np.zeros(len(text) + 1, bool)
-        for some, large in _batches(length[differ], key[differ], ARRAY):
-            some = differ[some]
-            if not large:
-                repeat[_repeats(text, begin[some], length[some], doc[some])] = True
-                continue
-            # one key in very many segments: each window by itself, dealt into batches by its content
-            many = length[some] - LENGTH + 1
-            start = np.arange(many.sum()) + np.repeat(begin[some] - (np.cumsum(many) - many), many)
-            own = np.repeat(doc[some], many)
-            for again, _ in _batches(np.full(len(start), LENGTH), _marks(text, start, np.full(len(start), LENGTH)), ARRAY):
-                repeat[_repeats(text, start[again], np.full(len(again), LENGTH), own[again])] = True
-        owner = np.repeat(np.arange(len(length), dtype=np.int32), length)
-        edge = np.diff(np.concatenate([[0], repeat.astype(np.int8)]))
-        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # never across segments: each ends in places that are no window
-        seg = owner[a]
-        a, b = a - begin[seg], b - begin[seg]
-        # what holds for a segment holds for its equals in the same document
-        equal = np.flatnonzero(~whole & (lead != np.arange(len(lead))))
-        low, high = np.searchsorted(seg, lead[equal]), np.searchsorted(seg, lead[equal], side="right")
-        n = high - low
-        more = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
-        all_ = np.flatnonzero(whole)
-        seg = np.concatenate([seg, np.repeat(equal, n), all_])
-        a, b = np.concatenate([a, a[more], np.zeros(len(all_), np.int64)]), np.concatenate([b, b[more], length[all_] - LENGTH + 1])
+        begin = np.cumsum(length, dtype=np.int64) - length
+        found = []
+        for some, _ in _batches(length.astype(np.int64), key, ARRAY):
+            n = length[some].astype(np.int64)
+            own = np.arange(n.sum()) + np.repeat(begin[some] - (np.cumsum(n) - n), n)
+            seg, a, b = _ranges(np.concatenate([text[own], np.zeros(8, np.uint8)]), n, doc[some], key[some])
+            del own
+            found.append((some[seg].astype(np.int32), a.astype(np.uint8), b.astype(np.uint8)))
+        seg, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         by = np.argsort(seg, kind="stable")
         seg, a, b = seg[by], a[by], b[by]
         cut = np.searchsorted(seg, bound)
         for m, chunk in enumerate(got["chunk"]):
             x = slice(cut[m], cut[m + 1])
             if cut[m] < cut[m + 1]:
-                yield _message([(bucket, chunk, "ranges", pack(places[m][seg[x] - bound[m]], a[x].astype(np.uint8), b[x].astype(np.uint8)))])
+                yield _message([(bucket, chunk, "ranges", pack(places[m][seg[x] - bound[m]], a[x], b[x]))])
 
 
 def _last_step(folder: str, buckets: int, text_out: bool):
