@@ -213,4 +213,4 @@ def described(media: DataFrame) -> DataFrame:
 
 def op3(docs: DataFrame) -> DataFrame:
     """The contract's columns; all three codings, and PCM at half the rate, are stored and read back."""
-    return described(stored(media_column(docs, kind=None, rate=RATE // 2), "telephony", level=9))
+    return described(stored(media_column(docs, kind=None, rate=RATE // 2), "telephony", level=12))

@@ -44,7 +44,7 @@ from hexsite.llm._shared import mix, open_fs, partitions, released, shared_dir,
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
-CHUNK = 16 << 20
+CHUNK, BUCKET = 12 << 20, 8 << 20
 NONE = np.iinfo(np.int64).min
 _RANDOM = np.random.default_rng(50)
 BYTE = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -528,7 +528,7 @@ def without_repeats(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
     folder = shared_dir(spark, "suffix-chunks")
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = int(source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"])
-    buckets = max(1, -(-total // CHUNK))
+    buckets = max(1, -(-total // min(BUCKET, CHUNK)))
     fs, at = open_fs(folder)
     fs.create_dir(at, recursive=True)
 
