@@ -9,14 +9,14 @@ at once.
 
 Steps: tokenize once and store the ids (with each task's histogram); add up the histograms (at most one row for each
 id of the vocabulary reaches the driver); range-partition by doc_id, sort, encode and write one shard a task, under a
-name of the attempt's own and then renamed; add up the shards' counts for global starts; read the shards back.
+name of the attempt's own, so that the stored manifest names shards of attempts that ended only; add up the shards' counts for global starts; read the shards back.
 
 Tokenizing looks words up: a text is cut before each single space, where this pre-tokenizer always cuts too, and
-the library encodes each distinct piece once, known again by a hash of 64 bits. Texts in which white space follows a
-space, or that end with one, are encoded whole.
+the library encodes each distinct piece once. A piece is looked up by a hash of 64 bits and then compared, all bytes of
+it. Texts in which white space follows a space, or that end with one, or with a piece whose hash is another's, are encoded whole.
 
-Defined results: null and empty texts have the end id only; equal doc_ids are ordered by their ids and each keeps its
-row; null doc_ids come first; an empty table gives no shard and no rows; other columns are not read.
+Defined results: null and empty texts have the end id only; texts of any length are encoded whole and are in one shard;
+equal doc_ids are ordered by their ids and each keeps its row; null doc_ids come first; an empty table gives no shard and no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -232,6 +232,7 @@ class Pieces:
     def _clear(self) -> None:
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool, self.used = np.zeros(1 << 16, self.kind), 0
+        self.words, self.word_at, self.bytes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -242,17 +243,29 @@ class Pieces:
     @staticmethod
     def _hash(raw: bytes, start: np.ndarray, size: np.ndarray, seed: np.ndarray) -> np.ndarray:
         """Of each piece, from its bytes eight at a time; ``raw`` has eight bytes more."""
-        word = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
         h = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + seed)
-        left = np.flatnonzero(size > 0)
-        done = 0
+        for k, left, word in Pieces._eights(raw, start, size):
+            h[left] = mix((h[left] ^ word) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(8 * k + 1))
+        return h
+
+    def _same(self, raw: bytes, start: np.ndarray, size: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Whether each piece is, byte by byte, the known one."""
+        out = self.bytes[known] == size
+        at = self.word_at[known]
+        for k, left, word in self._eights(raw, start, np.where(out, size, 0)):
+            out[left] &= self.words[at[left] + k] == word
+        return out
+
+    @staticmethod
+    def _eights(raw: bytes, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(k, pieces of more than 8 k bytes, their next eight bytes as numbers); ``raw`` has eight bytes more."""
+        word = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        left, done = np.flatnonzero(size > 0), 0
         while len(left):
             rest = size[left] - done
-            cut = np.uint64(8) * np.uint64(8) - np.minimum(rest, 8).astype(np.uint64) * np.uint64(8)
-            h[left] = mix((h[left] ^ (word[start[left] + done] << cut)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(done + 1))
+            yield done >> 3, left, word[start[left] + done] << (np.uint64(64) - np.minimum(rest, 8).astype(np.uint64) * np.uint64(8))
             done += 8
             left = left[rest > 8]
-        return h
 
     def _learn(self, keys: np.ndarray, found: list[bytes], heads: np.ndarray) -> None:
         """Add pieces: those that begin a text are encoded as they are, others after a space."""
@@ -284,9 +297,16 @@ class Pieces:
         self.pool[self.used : need] = np.concatenate(ids)
         at = self.used + np.cumsum(count) - count
         self.used = need
-        keys, at, size = np.concatenate([self.keys, keys]), np.concatenate([self.at, at]), np.concatenate([self.size, size])
-        order = np.argsort(keys)
-        self.keys, self.at, self.size = keys[order], at[order], size[order]
+        length = np.array([len(x) for x in found], np.int64)
+        many = -(-length // 8)
+        word_at = len(self.words) + np.cumsum(many) - many
+        words = np.zeros(int(many.sum()), np.uint64)
+        for k, left, word in self._eights(b"".join(found) + b"\0" * 8, np.cumsum(length) - length, length):
+            words[word_at[left] - len(self.words) + k] = word
+        self.words = np.concatenate([self.words, words])
+        both = [np.concatenate(x) for x in ((self.keys, keys), (self.at, at), (self.size, size), (self.word_at, word_at), (self.bytes, length))]
+        order = np.argsort(both[0])
+        self.keys, self.at, self.size, self.word_at, self.bytes = (x[order] for x in both)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts, the end id last."""
@@ -317,6 +337,7 @@ class Pieces:
         known = np.empty(len(keys), np.int64)
         known[order] = np.repeat(place, np.diff(np.append(lead, len(keys))))
         count = self.size[known].astype(np.int64)
+        count[~self._same(raw + b"\0" * 8, start, size, known)] = -1  # another piece has this hash
         odd = np.minimum.reduceat(count, head) < 0
         count = np.maximum(count, 0)
         total = np.cumsum(count)
@@ -413,8 +434,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "do
             nonlocal writer, made
             writer.close()
             out.close()
-            name = f"shard-{part:08d}-{made:05d}.rans"
-            fs.move(own, f"{at}/{name}")
+            name = own.rpartition("/")[2]
             row = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([made], pa.int64()), pa.array([name]), pa.array([writer.n_ids], pa.int64())], names=["part", "seq", "file", "n_ids"])
             writer, made = None, made + 1
             return row
@@ -422,7 +442,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "do
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if writer is None:
-                    own = f"{at}/shard-{part:08d}-{made:05d}.{uuid.uuid4().hex}.tmp"
+                    own = f"{at}/shard-{part:08d}-{made:05d}-{uuid.uuid4().hex}.rans"
                     out = fs.open_output_stream(own, compression=None)
                     writer = ShardWriter(out, freq)
                 writer.add(doc_id, np.frombuffer(ids, width).astype(np.uint32))
@@ -431,7 +451,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "do
         if writer is not None:
             yield close()
 
-    ranged = kept.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(partitions(shards), "doc_id").sortWithinPartitions("doc_id", "ids")
+    ranged = kept.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(partitions(shards), F.col("doc_id"), F.substring("ids", 1, 64)).sortWithinPartitions("doc_id", "ids")
     manifest = stored(ranged.mapInArrow(released(write), "part long, seq long, file string, n_ids long"), "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

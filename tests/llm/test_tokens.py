@@ -44,6 +44,25 @@ def test_pieces_are_the_library():
             assert [np.frombuffer(g, "<u2").tolist() for g in got] == [[*Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids, 2] for t in odd]
 
 
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    """Hashes of four values: nearly all pieces clash, and every text still has the library's ids."""
+    plain = tokens.Pieces._hash
+    monkeypatch.setattr(tokens.Pieces, "_hash", staticmethod(lambda *a: plain(*a) & np.uint64(3)))
+    texts = ["the cat sat", "the dog ran off quickly and unbelievably far", "the cat sat", "", "a b", "cat the"]
+    pieces = tokens.Pieces(PATH)
+    for _ in range(2):
+        got = pieces.encode([t.encode() for t in texts])
+        assert [np.frombuffer(g, "<u2").tolist() for g in got] == [[*Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_rows_of_one_id_are_dealt_to_several_shards(spark, tmp_path):
+    rows = [(None if k % 2 else 7, f"text number {k} " * 9) for k in range(400)]
+    folder = f"file://{tmp_path}/r"
+    manifest = tokens.write_shards(spark.createDataFrame(rows, "doc_id long, text string"), folder, PATH, shard_bytes=1500)
+    assert manifest.groupBy("part").count().count() > 4
+    assert sorted((tuple(r) for r in tokens.read_digests(manifest, folder).collect()), key=lambda r: r[1]) == expected(rows)
+
+
 @pytest.mark.parametrize("kind", ["flat", "skewed", "one"])
 def test_coder(kind):
     draw = np.random.default_rng(1)
