@@ -451,7 +451,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "do
         if writer is not None:
             yield close()
 
-    ranged = kept.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(partitions(shards), F.col("doc_id"), F.substring("ids", 1, 64)).sortWithinPartitions("doc_id", "ids")
+    ranged = kept.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange(partitions(shards), F.col("doc_id"), F.substring("ids", 1, 16)).sortWithinPartitions("doc_id", "ids")
     manifest = stored(ranged.mapInArrow(released(write), "part long, seq long, file string, n_ids long"), "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
