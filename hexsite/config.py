@@ -9,6 +9,7 @@ from dataclasses import dataclass
 class Thresholds:
     lat_min: float = 8.0
     lat_max: float = 23.6
+    area_lat_max: float = 23.7  # the national area reaches farther north than the box of valid coordinates
     lng_min: float = 102.0
     lng_max: float = 110.0
     sparse_points: int = 24

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,17 +78,34 @@ def local_time(ms: Column, offset_hours: int = 7) -> Column:
     return F.coalesce(F.date_format(F.to_utc_timestamp(F.from_utc_timestamp(at, F.current_timezone()), F.current_timezone()), "yyyy-MM-dd HH:mm:ss"), F.lit(""))
 
 
-ACCENTS = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđäöüçñ"
-PLAIN = "aaaaaaaaaaaaaaaaaeeeeeeeeeeeiiiiiooooooooooooooooouuuuuuuuuuuyyyyydaoucn"
+@lru_cache(1)
+def _unaccented() -> tuple[str, str]:
+    """Characters and what they become, in order; those beyond the second text's length are dropped.
+
+    By rule: compatibility decomposition without combining marks, in lower case, where that is one letter or digit; the
+    letter d with stroke, which doesn't decompose, is a d; combining marks are dropped.
+    """
+    import sys
+    import unicodedata
+
+    pairs, marks = [("đ", "d"), ("Đ", "d")], []
+    for point in range(0x80, sys.maxunicode + 1):
+        c = chr(point)
+        if unicodedata.combining(c):
+            marks.append(c)
+        elif len(plain := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()) == 1 and plain.isascii() and plain.isalnum():
+            pairs.append((c, plain))
+    return "".join(a for a, _ in pairs) + "".join(marks), "".join(b for _, b in pairs)
 
 
 def plain_text(text: Column) -> Column:
-    """Lower case without accents; other characters than letters and digits as single spaces."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(text), ACCENTS, PLAIN), "[^a-z0-9]+", " "))
+    """Lower case without accents, whether composed or decomposed; other characters than letters and digits as single
+    spaces. A character that decomposes into several, such as a ligature, is such another one."""
+    return F.trim(F.regexp_replace(F.lower(F.translate(text, *_unaccented())), "[^a-z0-9]+", " "))
 
 
 # Prefixes of administrative units, in the order in which they are tried.
-UNITS = ("tinh", "thanh pho", "tp", "quan", "huyen", "thi xa", "phuong", "xa", "thi tran", "dac khu")
+UNITS = ("phuong", "xa", "dac khu", "thi tran", "quan", "huyen", "thanh pho", "tinh", "tp")
 
 
 def bare_name(text: Column) -> Column:
@@ -116,7 +135,12 @@ KINDS = [("Phường", "PHUONG"), ("Xã", "XA"), ("Đặc khu", "DAC_KHU")]
 
 
 def commune_kind(name: Column) -> Column:
-    return F.coalesce(first_of([(kind, name.startswith(prefix)) for prefix, kind in KINDS]), F.lit("UNKNOWN"))
+    return F.coalesce(first_of([(kind, name.startswith(prefix + " ")) for prefix, kind in KINDS]), F.lit("UNKNOWN"))
+
+
+def any_keyword(keywords: list[str], *texts: Column) -> Column:
+    """One of the patterns stands in the texts, joined by spaces, in lower case; null texts are empty."""
+    return F.lower(F.concat_ws(" ", *[F.coalesce(t, F.lit("")) for t in texts])).rlike("|".join(keywords))
 
 
 def corroborated(name: Column, *texts: Column, least: int = 4) -> Column:

@@ -63,14 +63,14 @@ class Country:
         self.t = t
 
     def contains(self, lat: str, lng: str) -> Column:
-        return F.coalesce(F.col(lat).between(self.t.lat_min, self.t.lat_max) & F.col(lng).between(self.t.lng_min, self.t.lng_max), F.lit(False))
+        return F.coalesce(F.col(lat).between(self.t.lat_min, self.t.area_lat_max) & F.col(lng).between(self.t.lng_min, self.t.lng_max), F.lit(False))
 
     core = contains
 
 
 # Presets of study areas (name, latitude, longitude, radius in km).
 PRESETS = {
-    "hanoi": Area("hanoi", 21.0285, 105.8542, 25.0),
+    "hanoi": Area("hanoi", 21.0278, 105.8342, 25.0),
     "hcm": Area("hcm", 10.7769, 106.7009, 25.0),
     "danang": Area("danang", 16.0544, 108.2022, 20.0),
     "haiphong": Area("haiphong", 20.8449, 106.6881, 20.0),

@@ -17,11 +17,51 @@ def groups_of(payload: str) -> Column:
     return F.coalesce(F.filter(raw, lambda g: g["w"].isNotNull() & g["n"].isNotNull() & ((g["w"] > 0) | (g["n"] > 0))), F.array().cast("array<struct<w:bigint,n:bigint>>"))
 
 
+# Plugs of cars.
+CAR_STANDARDS = ["CCS2", "TYPE2"]
+
+
 def explode_groups(df: DataFrame, station: str, payload: str, ac_max_kw: float = DEFAULT.ac_max_kw) -> DataFrame:
-    """One row a kept group, numbered from 0 over kept groups: id, current by power, label, guns."""
+    """One row a kept group, numbered from 0 over kept groups (ids count from 1): id, current by power, label, guns."""
     out = df.select(station, F.posexplode(groups_of(payload)).alias("idx", "g")).select(station, "idx", (F.col("g.w") / 1000).alias("kw"), F.greatest(F.col("g.n"), F.lit(0)).alias("n"))
     current = F.when((F.col("kw") > 0) & (F.col("kw") <= ac_max_kw), "AC").otherwise("DC")
-    return out.withColumn("current_type", current).withColumn("label", power_label(F.col("current_type"), F.col("kw"))).withColumn("connector_id", F.concat(F.col(station).cast("string"), F.lit("-c"), F.col("idx").cast("string")))
+    return out.withColumn("current_type", current).withColumn("label", power_label(F.col("current_type"), F.col("kw"))).withColumn("connector_id", F.concat(F.col(station).cast("string"), F.lit("-c"), (F.col("idx") + 1).cast("string")))
+
+
+def first_standard(registry: DataFrame, *, code="code", kw="kw", standard="standard", current="current", order: list[str]) -> DataFrame:
+    """(code, kw1, standard, current): of a registry's connectors, the first of each code and power, to one decimal."""
+    return registry.groupBy(F.col(code).alias("code"), F.round(kw, 1).alias("kw1")).agg(F.min_by(F.struct(F.col(standard).alias("standard"), F.col(current).alias("current")), F.struct(*order)).alias("_f")).select("code", "kw1", "_f.*")
+
+
+def with_standard(connectors: DataFrame, first: DataFrame, *, code="code", kw="kw") -> DataFrame:
+    """Plug, current and vehicle class: the registry's where it has the code and power, else UNKNOWN and by power.
+
+    A group of power 0 has neither a current nor a label.
+    """
+    f = first.select(F.col("code").alias("_code"), F.col("kw1").alias("_kw"), F.col("standard"), F.col("current"))
+    out = connectors.join(f, (F.col(code) == F.col("_code")) & (F.round(kw, 1) == F.col("_kw")), "left").drop("_code", "_kw")
+    current = F.when(F.col(kw) > 0, F.coalesce("current", "current_type"))
+    out = out.withColumn("connector_standard", F.coalesce("standard", F.lit("UNKNOWN"))).withColumn("current_type", current).drop("standard", "current")
+    return out.withColumn("vehicle_class", F.when(F.col("connector_standard").isin(CAR_STANDARDS), "CAR").otherwise("UNVERIFIED")).withColumn("label", power_label(F.col("current_type"), F.col(kw)))
+
+
+def vehicle_class(stations: DataFrame, connectors: DataFrame, by: str = "station") -> DataFrame:
+    """CAR if all connectors of a station are a car's, else UNVERIFIED; UNKNOWN without connectors."""
+    one = connectors.groupBy(by).agg(F.every(truth(F.col("vehicle_class") == "CAR")).alias("_all"))
+    return stations.join(one, by, "left").withColumn("vehicle_class", F.when(F.col("_all"), "CAR").when(~F.col("_all"), "UNVERIFIED").otherwise("UNKNOWN")).drop("_all")
+
+
+LOCATION = "struct<id:string,evses:array<struct<uid:string,physical_reference:string,status:string,connectors:array<struct<id:string,standard:string,power_type:string,max_electric_power:double>>>>>"
+
+
+def flattened(locations: DataFrame, payload: str) -> DataFrame:
+    """A row for each connector of each charge point of a location's JSON: store, evse, cabinet, status, connector, standard, kw, is_dc.
+
+    Locations without charge points, and points without connectors, give no row; what doesn't parse neither.
+    """
+    one = locations.select(F.from_json(payload, LOCATION).alias("l")).select(F.col("l.id").alias("store"), F.explode("l.evses").alias("e"))
+    two = one.select("store", F.col("e.uid").alias("evse"), F.col("e.physical_reference").alias("cabinet"), F.col("e.status").alias("status"), F.explode("e.connectors").alias("c"))
+    return two.select("store", "evse", "cabinet", "status", F.col("c.id").alias("connector"), F.col("c.standard").alias("standard"), (F.col("c.max_electric_power") / 1000).alias("kw"), truth(F.upper("c.power_type").startswith("DC")).alias("is_dc"))
 
 
 def current_of(ac: Column, dc: Column) -> Column:
@@ -54,7 +94,8 @@ def cabinets(guns: DataFrame, *, by="station", cabinet="cabinet", row="idx") ->
 
 def resolve_assets(df: DataFrame) -> DataFrame:
     """Installed capacity from the registry (reg_*), the live source (live_*) and telemetry (witness): the largest of
-    lower bounds, and which source says so. Unknown stays null, never 0."""
+    lower bounds, and which source says so. Unknown stays null, never 0. With reg_current and live_current, current_type
+    is the registry's, else the live one, and a difference of both is flagged."""
     reg, live, seen = F.col("reg_guns"), F.coalesce("live_guns", F.lit(0)), F.coalesce("witness", F.lit(0))
     source = F.when(reg.isNotNull(), "OFFICIAL").when(live > 0, "EVCS_LIVE").when(seen > 0, "TELEMETRY_BOUND").otherwise("UNKNOWN")
     known = F.col("config_src") != "UNKNOWN"
@@ -62,8 +103,12 @@ def resolve_assets(df: DataFrame) -> DataFrame:
     out = df.withColumn("config_src", source).withColumn("config_resolved", F.col("config_src").isin("OFFICIAL", "EVCS_LIVE"))
     out = out.withColumn("n_guns_installed", F.when(known, F.greatest(F.coalesce(reg, F.lit(0)), live, seen)))
     out = out.withColumn("nameplate_kw", F.when(known, nameplate)).withColumn("site_kw", F.when(known, F.coalesce("reg_site_kw", nameplate)))
+    conditions = [(reg > live, "TRUNCATED"), (~known, "UNKNOWN"), (F.col("config_src") == "TELEMETRY_BOUND", "LOWER_BOUND"), (truth("reg_shared"), "CABINET")]
+    if {"reg_current", "live_current"} <= set(df.columns):
+        out = out.withColumn("current_type", F.when(known, F.coalesce("reg_current", "live_current")))
+        conditions.append((F.col("reg_current") != F.col("live_current"), "CURRENT_TYPE"))
     flags = F.array().cast("array<string>")
-    for condition, flag in ((reg > live, "TRUNCATED"), (~known, "UNKNOWN"), (F.col("config_src") == "TELEMETRY_BOUND", "LOWER_BOUND"), (truth("reg_shared"), "CABINET")):
+    for condition, flag in conditions:
         flags = with_flag(flags, condition, flag)
     return out.withColumn("flags", flags)
 

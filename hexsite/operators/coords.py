@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hexsite.functions import grid
 from hexsite.functions.columns import truth
-from hexsite.functions.geo import haversine_sql
+from hexsite.functions.geo import coordinates_valid, haversine_sql
 from hexsite.operators.spatial import nearest_of_few
 
 
@@ -30,13 +30,16 @@ def mismatch(df: DataFrame, centroids: DataFrame, *, key="site_id", province="pr
 def repair(df: DataFrame, *, stack_min: int = 5, snap_km: float = 100.0, moved_km: float = 0.05) -> DataFrame:
     """Trust the point, snap to a good registry point, or leave it unresolved without a cell; raw values stay.
 
-    Reads lat, lng, far, stack, suspect, off_lat, off_lng, off_own_km, off_stack.
+    Reads lat, lng, far, stack, suspect, off_lat, off_lng, off_own_km, off_stack. A point that isn't a placeholder is kept,
+    but it is resolved, and has a cell, only if its coordinates are valid; so does a point to snap to count.
     """
+    valid, off_valid = coordinates_valid("lat", "lng"), coordinates_valid("off_lat", "off_lng")
     bad = truth((F.col("stack") >= stack_min) & F.col("far")) | truth(F.col("suspect") & (F.col("stack") >= 2) & F.col("far"))
     moved = F.expr(haversine_sql("lat", "lng", "off_lat", "off_lng")) / 1000
-    good = truth((F.col("off_own_km") <= snap_km) & (F.col("off_stack") < stack_min) & (moved > moved_km))
-    out = df.withColumn("placeholder", bad).withColumn("fix", F.when(~bad, "TRUSTED").when(good, "SNAPPED").otherwise("UNRESOLVED"))
+    good = off_valid & valid & truth((F.col("off_own_km") <= snap_km) & (F.col("off_stack") < stack_min) & (moved > moved_km))
+    fix = F.when(~bad & valid, "TRUSTED").when(~bad, "INVALID").when(good, "SNAPPED").otherwise("UNRESOLVED")
+    out = df.withColumn("placeholder", bad).withColumn("fix", fix)
     out = out.withColumnsRenamed({"lat": "lat_raw", "lng": "lng_raw"})
     for c in ("lat", "lng"):
         out = out.withColumn(c, F.when(F.col("fix") == "TRUSTED", F.col(f"{c}_raw")).when(F.col("fix") == "SNAPPED", F.col(f"off_{c}")))
-    return out.withColumn("coord_resolved", F.col("fix") != "UNRESOLVED").withColumn("cell", grid.cell_of("lat", "lng"))
+    return out.withColumn("coord_resolved", F.col("fix").isin("TRUSTED", "SNAPPED")).withColumn("cell", grid.cell_of("lat", "lng"))

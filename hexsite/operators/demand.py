@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hexsite.config import DEFAULT, Thresholds
 from hexsite.functions import grid
+from hexsite.functions.columns import truth
 from hexsite.operators.graph import components
 
 
@@ -26,6 +27,13 @@ def access_tier(own: Column, near: Column, far: Column) -> Column:
     return F.when(own > 0, "DIRECT").when(near > 0, "ADJACENT").when(far > 0, "NEAR").otherwise("ISOLATED")
 
 
+def tier_summary(cells: DataFrame, tier: str = "access_tier", pop: str = "pop") -> DataFrame:
+    """Of each access tier: cells, population and its share of all (0 of nothing)."""
+    by = cells.groupBy(F.col(tier).alias("tier")).agg(F.count(F.lit(1)).alias("cells"), F.sum(pop).alias("pop"))
+    all_ = by.agg(F.sum("pop").alias("_all"))
+    return by.crossJoin(F.broadcast(all_)).select("tier", "cells", "pop", F.coalesce(F.try_divide(F.col("pop"), F.col("_all")), F.lit(0.0)).alias("share"))  # one row is broadcast
+
+
 def tier_rank(tier: Column) -> Column:
     return F.when(tier == "DIRECT", 0).when(tier == "ADJACENT", 1).when(tier == "NEAR", 2).when(tier == "ISOLATED", 3).otherwise(4)
 
@@ -44,28 +52,51 @@ def clusters(cells: DataFrame, pop: str, density: float, least_total: float) ->
     return named.join(ranked, "cluster").select("cell", "cluster", "cluster_pop", "cluster_cells", "cluster_rank")
 
 
+def tiers_for(cells: DataFrame, roads: DataFrame, access: str = "road_access") -> DataFrame:
+    """(cell, access_tier) of any cells, looked up in the whole road table: a cell that isn't in it has no road of its own,
+    which says nothing of the cells around it."""
+    there = roads.select("cell", F.col(access).alias("road"))
+    base = cells.select("cell").distinct().join(there, "cell", "left").withColumn("road", F.coalesce("road", F.lit(0.0)))
+    give = F.explode(F.array(*[F.struct((F.col("cell") + s).alias("to"), F.lit(k).alias("k")) for k in (1, 2) for s in grid.ring(k)])).alias("g")
+    sums = there.filter("road <> 0").select("road", give).groupBy("g.to").agg(F.sum(F.when(F.col("g.k") == 1, F.col("road"))).alias("near"), F.sum("road").alias("far"))
+    both = base.join(sums, F.col("cell") == F.col("to"), "left")
+    return both.select("cell", access_tier(F.col("road"), F.col("near"), F.col("far")).alias("access_tier"))
+
+
 def degree_of_urbanisation(cells: DataFrame, pop: str, t: Thresholds = DEFAULT) -> DataFrame:
-    """CENTRE in a dense cluster, else TOWN in an urban one, else RURAL."""
-    dense = clusters(cells, pop, t.dense_per_km2, t.dense_total).select("cell", F.lit(1).alias("_d"))
-    urban = clusters(cells, pop, t.urban_per_km2, t.urban_total).select("cell", F.lit(1).alias("_u"))
-    return cells.join(dense, "cell", "left").join(urban, "cell", "left").withColumn("class", F.when(F.col("_d") == 1, "CENTRE").when(F.col("_u") == 1, "TOWN").otherwise("RURAL")).drop("_d", "_u")
+    """settlement_class, URBAN_CENTRE in a dense cluster, else URBAN_CLUSTER in an urban one, else RURAL; and the cluster's and
+    the centre's number (from 0, the most populous; -1: in none), population and cells."""
+    out = cells
+    for name, density, total in (("cluster", t.urban_per_km2, t.urban_total), ("centre", t.dense_per_km2, t.dense_total)):
+        c = clusters(cells, pop, density, total)
+        c = c.select("cell", F.col("cluster_rank").alias(f"{name}_id"), F.col("cluster_pop").alias(f"{name}_pop"), F.col("cluster_cells").alias(f"{name}_n_cells"))
+        out = out.join(c, "cell", "left").fillna(-1, [f"{name}_id"]).fillna(0, [f"{name}_pop", f"{name}_n_cells"])
+    return out.withColumn("settlement_class", F.when(F.col("centre_id") >= 0, "URBAN_CENTRE").when(F.col("cluster_id") >= 0, "URBAN_CLUSTER").otherwise("RURAL"))
 
 
-def reallocate(cells: DataFrame, *, commune="commune", pop="pop", source: Column, built="built", receiver: Column, target: Column | None = None) -> DataFrame:
+def reallocate(cells: DataFrame, *, commune="commune", pop="pop", source: Column, built="built", receiver: Column, census: str | None = None, commune_pop: str | None = None, t: Thresholds = DEFAULT) -> DataFrame:
     """Population of source cells is moved to their commune's receivers, in proportion to built-up land.
 
-    Without a commune, or without receivers in it, a source keeps its population and says why. ``target``: a factor on what is
-    moved (default 1). Sums of a commune come from one aggregate, so a large commune isn't sorted anywhere.
+    With ``census`` (and ``commune_pop``, the commune's population as estimated) a commune that is estimated at over
+    ``retotal_ratio`` of its census gives its receivers only min(1, census_ratio / ratio) of what is moved. Without a
+    commune, or without receivers in it, a source keeps its population and says why. Sums of a commune come from one
+    aggregate, so a large commune isn't sorted anywhere.
     """
-    factor = target if target is not None else F.lit(1.0)
-    marked = cells.withColumn("_s", F.coalesce(source, F.lit(False))).withColumn("_r", F.coalesce(receiver, F.lit(False)) & (F.col(built) > 0))
-    sums = marked.filter(F.col(commune).isNotNull()).groupBy(commune).agg(F.sum(F.when(F.col("_s"), F.col(pop)).otherwise(0.0)).alias("_removed"), F.sum(F.when(F.col("_r"), F.col(built)).otherwise(0.0)).alias("_built"), F.max(factor).alias("_factor"))
+    over = F.col(commune_pop) / F.col(census) if census else F.lit(None).cast("double")
+    cut = F.when(truth((F.col(census) > 0) & (over > t.retotal_ratio)), F.least(F.lit(1.0), F.lit(t.census_ratio) / over)).otherwise(F.lit(1.0)) if census else F.lit(1.0)
+    marked = cells.withColumn("_s", truth(source) & truth(F.col(pop) > 0)).withColumn("_r", truth(receiver) & truth(F.col(built) > 0))
+    sums = marked.filter(F.col(commune).isNotNull()).groupBy(commune).agg(F.sum(F.when(F.col("_s"), F.col(pop)).otherwise(0.0)).alias("_removed"), F.sum(F.when(F.col("_r"), F.col(built)).otherwise(0.0)).alias("_built"), F.min(F.when(F.col("_s"), cut)).alias("_cut"))
     out = marked.join(sums, commune, "left")
-    can = F.coalesce(F.col("_built") > 0, F.lit(False))
-    share = F.when(F.col("_r") & can, F.col("_removed") * F.col("_factor") * F.col(built) / F.col("_built")).otherwise(0.0)
+    can = truth(F.col("_built") > 0) & truth(F.col("_removed") > 0)
+    share = F.when(F.col("_r") & can, F.col("_removed") * F.col("_cut") * F.col(built) / F.col("_built")).otherwise(0.0)
     moved = F.when(F.col("_s") & can, 0.0).otherwise(F.col(pop)) + share
-    why = F.when(~F.col("_s"), F.when(share > 0, "RECEIVED").otherwise("KEPT")).when(F.col(commune).isNull(), "UNREPAIRED_NO_COMMUNE").when(~can, "UNREPAIRED_NO_RECEIVER").otherwise("MOVED")
-    return out.withColumn("pop_new", moved).withColumn("pop_src", why).drop("_s", "_r", "_removed", "_built", "_factor")
+    why = F.when(~F.col("_s"), "WORLDPOP").when(F.col(commune).isNull(), "UNREPAIRED_NO_COMMUNE").when(~can, "UNREPAIRED_NO_ACCESSIBLE_BUILTUP").otherwise("MOVED_TO_ACCESSIBLE")
+    return out.withColumn("pop_new", moved).withColumn("pop_src", why).drop("_s", "_r", "_removed", "_built", "_cut")
+
+
+def without_noise(cells: DataFrame, *, commune="commune", pop="pop", road="road_access") -> DataFrame:
+    """Cells that have a commune, population or a road; null counts as none."""
+    return cells.filter(F.col(commune).isNotNull() | truth(F.col(pop) > 0) | truth(F.col(road) > 0))
 
 
 def implausible(t: Thresholds = DEFAULT) -> Column:
@@ -86,15 +117,27 @@ def merge_layers(*layers: DataFrame, on: str = "cell") -> DataFrame:
     return out.fillna(0)
 
 
-def retotal(cells: DataFrame, *, commune="commune", pop="pop", built="built", bad: Column, census: str = "census", t: Thresholds = DEFAULT) -> DataFrame:
+def retotal(cells: DataFrame, *, commune="commune", pop="pop", built="built", bad: Column, census: str = "census", empty: DataFrame | None = None, t: Thresholds = DEFAULT) -> DataFrame:
     """Communes with a bad cell are dealt out anew over their built-up land: all their cells give up their population, and
-    its sum, or what the census allows where the sum is far over it, is shared by built-up area. Without built-up land
-    nothing moves and the bad cells say so."""
-    marked = cells.withColumn("_bad", F.coalesce(bad, F.lit(False)))
+    its sum, or what the census allows where there is one over 0 and the sum is far over it, is shared by built-up area.
+
+    ``empty``: (cell, commune, built) of built-up cells that the table may lack; those it lacks receive too, and become rows
+    of population 0 before; one in two communes gets both shares. Without built-up land nothing moves and the bad cells say so.
+    """
+    marked = cells.withColumn("_bad", truth(bad)).withColumn("_new", F.lit(False))
+    if empty is not None:
+        more = empty.select("cell", F.col(commune), F.col(built)).join(cells.select("cell"), "cell", "left_anti").filter(F.col(commune).isNotNull() & (F.col(built) > 0))
+        marked = marked.unionByName(more.withColumn(pop, F.lit(0.0)).withColumn("_bad", F.lit(False)).withColumn("_new", F.lit(True)), allowMissingColumns=True)
     sums = marked.filter(F.col(commune).isNotNull()).groupBy(commune).agg(F.bool_or("_bad").alias("_any"), F.sum(pop).alias("_pop"), F.sum(built).alias("_built"), F.max(census).alias("_census"))
     out = marked.join(sums, commune, "left")
-    hit, can = F.coalesce(F.col("_any"), F.lit(False)), F.coalesce(F.col("_built") > 0, F.lit(False))
-    target = F.when(F.col("_pop") > t.retotal_ratio * F.col("_census"), t.census_ratio * F.col("_census")).otherwise(F.col("_pop"))
-    new = F.when(hit & can, target * F.col(built) / F.col("_built")).otherwise(F.col(pop))
-    why = F.when(hit & can, "REDISTRIBUTED").when(F.col("_bad"), "UNREPAIRED_NO_BUILTUP").otherwise("KEPT")
-    return out.withColumn("pop_new", new).withColumn("pop_src", why).drop("_bad", "_any", "_pop", "_built", "_census")
+    hit, can = truth("_any"), truth(F.col("_built") > 0)
+    far = truth((F.col("_census") > 0) & (F.col("_pop") > t.retotal_ratio * F.col("_census")))
+    target = F.when(far, t.census_ratio * F.col("_census")).otherwise(F.col("_pop"))
+    new = F.when(hit & can, target * F.coalesce(F.col(built), F.lit(0.0)) / F.col("_built")).otherwise(F.col(pop))
+    why = F.when(hit & can, F.when(far, "RETOTALED_DANSO").otherwise("REDISTRIBUTED")).when(F.col("_bad"), "UNREPAIRED_NO_BUILTUP").otherwise("WORLDPOP")
+    out = out.withColumn("pop_new", new).withColumn("pop_src", why)
+    old = out.filter("NOT _new").drop("_bad", "_any", "_pop", "_built", "_census", "_new")
+    if empty is None:
+        return old
+    got = out.filter(F.col("_new") & hit & can).groupBy("cell").agg(F.min(commune).alias(commune), F.sum(built).alias(built), F.sum("pop_new").alias("pop_new"), F.min("pop_src").alias("pop_src"))
+    return old.unionByName(got.withColumn(pop, F.lit(0.0)), allowMissingColumns=True)

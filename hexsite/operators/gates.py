@@ -53,7 +53,11 @@ class GateFailed(RuntimeError):
 
 def enforce(report: DataFrame) -> list:
     """The report's rows, of bounded number; GateFailed if one fails."""
-    rows = report.collect()
+    return passed(report.collect())
+
+
+def passed(rows: list) -> list:
+    """Rows of a report that was read already; GateFailed if one fails."""
     if bad := [r["gate"] for r in rows if r["status"] == "FAIL"]:
         raise GateFailed(", ".join(bad))
     return rows
@@ -64,6 +68,17 @@ def orphans(child: DataFrame, parent: DataFrame, on: str) -> DataFrame:
     return child.select(on).distinct().join(parent.select(on), on, "left_anti")
 
 
+def is_subset(name: str, part: DataFrame, whole: DataFrame, on: str) -> DataFrame:
+    """One row: how many keys of one table another lacks; none may."""
+    return orphans(part, whole, on).agg(F.lit(name).alias("gate"), F.when(F.count(F.lit(1)) == 0, "PASS").otherwise("FAIL").alias("status"), F.count(F.lit(1)).cast("double").alias("value"), F.lit(0.0).alias("limit"))
+
+
+def are_disjoint(name: str, a: DataFrame, b: DataFrame, on: str) -> DataFrame:
+    """One row: how many keys two tables share; none may."""
+    both = a.select(on).distinct().join(b.select(on), on, "left_semi")
+    return both.agg(F.lit(name).alias("gate"), F.when(F.count(F.lit(1)) == 0, "PASS").otherwise("FAIL").alias("status"), F.count(F.lit(1)).cast("double").alias("value"), F.lit(0.0).alias("limit"))
+
+
 def reconciles(name: str, total: DataFrame, *parts: DataFrame) -> DataFrame:
     """One row: the parts' rows add up to the total's."""
     one = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))

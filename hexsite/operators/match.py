@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexsite.config import DEFAULT, Thresholds
@@ -54,11 +54,48 @@ def confidence(completeness: Column, is_expected: Column, is_verified: Column) -
     return F.bround(F.when(is_expected, 0.4 * completeness + 0.6 * score).otherwise(completeness), 3)
 
 
+def with_fallback(df: DataFrame) -> DataFrame:
+    """Where a station has no match (official_matched is null): its completeness as confidence, not verified, the live source as
+    provenance, no method."""
+    has = F.col("official_matched").isNotNull()
+    return df.withColumns({
+        "confidence": F.bround(F.when(has, F.col("confidence")).otherwise(F.col("completeness")).cast("double"), 3),
+        "verified": truth(F.when(has, F.col("verified"))),
+        "provenance": F.coalesce(F.when(has, F.col("provenance")), F.lit("evcs.vn")),
+        "match_method": F.coalesce("match_method", F.lit("none")),
+        "official_matched": truth("official_matched"),
+    })
+
+
+def with_xref(stations: DataFrame, xref: DataFrame, digest: str, columns: list[str]) -> DataFrame:
+    """Stations with what a cross-reference says of them, by station_code. It must be of just this catalogue (one digest, that
+    given), have each code once, and know every code that is asked for; else it is stale, and ValueError says how."""
+    seen = [r["h"] for r in xref.select(F.col("source_master_sha256").alias("h")).filter("h IS NOT NULL").distinct().limit(2).collect()]
+    if seen != [digest]:
+        raise ValueError("the cross-reference is of another catalogue")
+    if xref.groupBy("station_code").count().filter("count > 1").limit(1).count():
+        raise ValueError("codes of the cross-reference repeat")
+    if lost := stations.join(xref, "station_code", "left_anti").count():
+        raise ValueError(f"{lost} stations aren't in the cross-reference")
+    own = xref.select("station_code", *columns)
+    out = stations.drop(*columns).join(own, "station_code", "left")
+    return out.withColumn("has_xref", F.col("official_matched").isNotNull()) if "official_matched" in columns else out
+
+
 def completeness(*present: Column) -> Column:
     """Mean of indicators, null being absent."""
     return sum((truth(p).cast("double") for p in present), F.lit(0.0)) / len(present)
 
 
+def with_survivor(df: DataFrame) -> DataFrame:
+    """survivor of each group and is_primary: an exact match before others, a match, the higher confidence (null last), a series,
+    the least id. An aggregate, as a group may be large."""
+    better = lambda c: ~truth(F.col(c))
+    order = F.struct(better("exact"), better("matched"), F.col("confidence").isNull(), -F.coalesce(F.col("confidence").cast("double"), F.lit(0.0)), better("has_series"), F.col("id"))
+    best = df.groupBy("group").agg(F.min_by("id", order).alias("survivor"))
+    return df.join(best, "group").withColumn("is_primary", F.col("survivor") == F.col("id"))
+
+
 def physical_duplicates(df: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """Groups of rows that are one station, and each group's survivor.
 
@@ -81,7 +118,5 @@ def physical_duplicates(df: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 
     groups = components(by_store.unionByName(alike))
     named = df.join(groups, F.col("id") == F.col("node"), "left").withColumn("group", F.coalesce("component", "id")).drop("node", "component")
-    order = [F.col("exact").desc(), F.col("matched").desc(), F.col("confidence").desc(), F.col("has_series").desc(), F.col("id")]
-    w = Window.partitionBy("group").orderBy(*order)
-    out = named.withColumn("survivor", F.first("id").over(w)).withColumn("is_primary", F.col("survivor") == F.col("id"))
+    out = with_survivor(named)
     return out.join(suspect.withColumn("blob", F.lit(True)), "id", "left").withColumn("blob", truth("blob"))

@@ -1,41 +1,48 @@
 """Spatial joins: within a radius, nearest, coverage, points in polygons, hexagons over polygons.
 
 A join within a radius is an equality join: the right side is put in every cell of a lattice around its own, the left
-side in its own, and the distance is tested where cells meet. Lattice cells are as wide as the radius at the latitude where
-a degree is shortest, so no pair is missed and none is found twice. Nothing is broadcast and no row meets all others.
+side in its own, and the distance is tested where cells meet. In each band of latitude the columns are wider than the radius
+there, so no pair is missed and none is found twice. Nothing is broadcast and no row meets all others.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexsite.functions import grid
 from hexsite.functions.geo import haversine_m, haversine_sql
+from hexsite.sources.shared import stored
 
 DEGREE_M = 111_320.0
 
 
-def _lattice(lat: str, lng: str, radius_m: float, most_lat: float) -> tuple[Column, Column]:
-    step_lat = radius_m / DEGREE_M * 1.01
-    step_lng = step_lat / math.cos(math.radians(most_lat))
-    return F.floor(F.col(lat) / step_lat).cast("long"), F.floor(F.col(lng) / step_lng).cast("long")
+def _columns(band: Column, step: float) -> Column:
+    """Width in degrees of a lattice column in a band of latitude: over the radius in this band and those beside it."""
+    top = F.least(F.greatest(F.abs(band), F.abs(band + 1)).cast("double") * step + 2 * step, F.lit(89.9))
+    return F.least(F.lit(step * 1.02) / F.cos(F.radians(top)), F.lit(120.0))
 
 
-def within(left: DataFrame, right: DataFrame, radius_m: float, *, lat: str = "lat", lng: str = "lng", most_lat: float = 24.0) -> DataFrame:
+def within(left: DataFrame, right: DataFrame, radius_m: float, *, lat: str = "lat", lng: str = "lng") -> DataFrame:
     """Pairs no farther apart than the radius, with ``dist_m``. Columns of left keep their names, right's get ``r_``.
 
-    Rows without coordinates meet nobody. ``most_lat``: the largest absolute latitude of either side.
+    At any latitude up to 85 degrees, and across the meridian of 180 degrees; for radii up to some 500 km. Rows without
+    coordinates meet nobody.
     """
-    x, y = _lattice(lat, lng, radius_m, most_lat)
-    a = left.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).withColumn("_x", x).withColumn("_y", y)
+    step = radius_m / DEGREE_M * 1.01
+    band = lambda c: F.floor(F.col(c) / step).cast("long")
+    at = lambda lng: F.floor(lng / F.col("_w")).cast("long")
+    a = left.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).withColumn("_x", band(lat))
+    a = a.withColumn("_w", _columns(F.col("_x"), step)).withColumn("_y", at(F.col(lng))).drop("_w")
     b = right.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
-    u, v = _lattice(f"r_{lat}", f"r_{lng}", radius_m, most_lat)
-    around = F.array(*[F.struct((u + dx).alias("_x"), (v + dy).alias("_y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    b = b.withColumn("_c", F.explode(around)).select("*", "_c._x", "_c._y").drop("_c")
-    return a.join(b, ["_x", "_y"]).drop("_x", "_y").withColumn("dist_m", haversine_m(lat, lng, f"r_{lat}", f"r_{lng}")).filter(F.col("dist_m") <= radius_m)
+    b = b.withColumn("_b", band(f"r_{lat}")).withColumn("_x", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1))).withColumn("_w", _columns(F.col("_x"), step))
+    # the column of the point, and that of the same meridian counted once round the globe, where that is near
+    there = F.col(f"r_{lng}")
+    turned = F.when(there < 2 * F.col("_w") - 180, there + 360).when(there > 180 - 2 * F.col("_w"), there - 360)
+    b = b.withColumn("_c", F.explode(F.array_compact(F.array(at(there), at(turned)))))
+    b = b.withColumn("_y", F.explode(F.array(F.col("_c") - 1, F.col("_c"), F.col("_c") + 1))).drop("_b", "_w", "_c")
+    met = a.join(b, ["_x", "_y"]).drop("_x", "_y").withColumn("dist_m", haversine_m(lat, lng, f"r_{lat}", f"r_{lng}"))
+    return met.filter(F.col("dist_m") <= radius_m)
 
 
 def self_pairs(df: DataFrame, key: str, radius_m: float, **how) -> DataFrame:
@@ -51,14 +58,19 @@ def exists_within(points: DataFrame, key: str, other: DataFrame, radii_m: list[f
 
 
 def nearest(left: DataFrame, key: str, right: DataFrame, right_key: str, radii_m: list[float], **how) -> DataFrame:
-    """Nearest right row of each left row, by growing radii: only what found nothing goes on to the next. Null beyond."""
-    left = left.select(key, "lat", "lng")
-    right = right.select(right_key, "lat", "lng")
-    found, rest = None, left
+    """Nearest right row of each left row, by growing radii: only what found nothing goes on to the next. Null beyond.
+
+    Each round is stored, so no radius computes the smaller ones again, and the rounds end when nothing is left.
+    """
+    rest, right = left.select(key, "lat", "lng"), right.select(right_key, "lat", "lng")
+    found = None
     for r in radii_m:
         best = within(rest, right, r, **how).groupBy(key).agg(F.min(F.struct("dist_m", F.col(f"r_{right_key}").alias("to"))).alias("b")).select(key, F.col("b.to").alias("nearest"), F.col("b.dist_m").alias("dist_m"))
+        best = stored(best, "nearest")
         found = best if found is None else found.unionByName(best)
-        rest = rest.join(best.select(key), key, "left_anti")
+        rest = stored(rest.join(best.select(key), key, "left_anti"), "nearest-rest")
+        if not rest.count():  # of a stored table: its footers are read
+            break
     return left.select(key).join(found, key, "left")
 
 
@@ -81,17 +93,26 @@ def coverage(sites: DataFrame, key: str, cells: DataFrame, radius_km: float) ->
     return near.select(key, "cell").join(cells.select("cell"), "cell", "left_semi").select(key, "cell")
 
 
-def in_boxes(points: DataFrame, key: str, boxes: DataFrame, name: str) -> DataFrame:
-    """First box, by name, that holds each point (edges count); null if none does. Boxes are put in lattice cells first."""
+def all_boxes(points: DataFrame, key: str, boxes: DataFrame, name: str) -> DataFrame:
+    """(key, name) of each box that holds a point, edges counting. Boxes are put in lattice cells first."""
     step = 0.25
     tiles = lambda lo, hi: F.sequence(F.floor(F.col(lo) / step).cast("long"), F.floor(F.col(hi) / step).cast("long"))
     b = boxes.withColumn("_x", F.explode(tiles("lat0", "lat1"))).withColumn("_y", F.explode(tiles("lng0", "lng1")))
     p = points.select(key, "lat", "lng").withColumn("_x", F.floor(F.col("lat") / step).cast("long")).withColumn("_y", F.floor(F.col("lng") / step).cast("long"))
-    hit = p.join(b, ["_x", "_y"]).filter(F.col("lat").between(F.col("lat0"), F.col("lat1")) & F.col("lng").between(F.col("lng0"), F.col("lng1")))
-    first = hit.groupBy(key).agg(F.min(name).alias(name))
+    return p.join(b, ["_x", "_y"]).filter(F.col("lat").between(F.col("lat0"), F.col("lat1")) & F.col("lng").between(F.col("lng0"), F.col("lng1"))).select(key, name)
+
+
+def in_boxes(points: DataFrame, key: str, boxes: DataFrame, name: str) -> DataFrame:
+    """First box, by name, that holds each point (edges count); null if none does."""
+    first = all_boxes(points, key, boxes, name).groupBy(key).agg(F.min(name).alias(name))
     return points.select(key).join(first, key, "left")
 
 
+def zone_flags(cells: DataFrame, zones: DataFrame, flag: str = "flag") -> DataFrame:
+    """(cell, flags): all flags, sorted, of the zones that hold a cell's centre (cell, lat, lng); cells in none are left out."""
+    return all_boxes(cells, "cell", zones, flag).groupBy("cell").agg(F.array_sort(F.collect_set(flag)).alias("flags"))  # as many as there are kinds of zones
+
+
 def nearest_box(points: DataFrame, key: str, boxes: DataFrame, name: str, most_m: float) -> DataFrame:
     """Box of a point, or of a miss the nearest within a tolerance: (key, name, method inside / nearest / none)."""
     inside = in_boxes(points, key, boxes, name)

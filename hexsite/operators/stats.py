@@ -5,13 +5,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexsite.sources.shared import stored
+
 
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Ranks with ties at their mean. A window orders distinct values only, after their counts are made."""
+    """Ranks with ties at their mean. Distinct values are ranged into partitions and counted; the partitions' sums, a row each,
+    give the offsets, and counts are added up within partitions, so no task holds all values."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn(name, F.coalesce(F.sum("_c").over(before), F.lit(0)) + (F.col("_c") + 1) / 2).drop("_c")
-    return df.join(ranks, value)
+    ranged = stored(counts.repartitionByRange(value).withColumn("_p", F.spark_partition_id()), "ranks")
+    ahead = lambda w: F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = ranged.groupBy("_p").agg(F.sum("_c").alias("_c")).select("_p", ahead(Window.orderBy("_p")).alias("_before"))
+    ranks = ranged.withColumn("_own", ahead(Window.partitionBy("_p").orderBy(value))).join(offsets, "_p")
+    return df.join(ranks.select(value, (F.col("_before") + F.col("_own") + (F.col("_c") + 1) / 2).alias(name)), value)
+
+
+def ordered_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Ranks from 1 in a total order, in the same two levels."""
+    ranged = stored(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranks")
+    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order))).join(offsets, "_p").withColumn(name, F.col("_before") + F.col("_r")).drop("_p", "_r", "_before")
+
+
+def strata(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, stratum) by thirds of the rank of a value over all rows, ties by key."""
+    ranked = ordered_rank(df.select(key, F.coalesce(value, F.lit(0.0)).alias(value)), [value, key], "_rank")
+    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    return ranked.crossJoin(F.broadcast(n)).select(key, tercile(F.col("_rank"), F.col("_n")).alias("stratum"))  # one row is broadcast
+
+
+def recall(bench: DataFrame, key: str, hits: dict[int, str]) -> DataFrame:
+    """(stratum, n, recall_<radius> for each): shares of benchmark points with another within each radius, by stratum and over
+    all rows (stratum ALL), from boolean columns."""
+    shares = [F.avg(F.col(c).cast("double")).alias(f"recall_{r}") for r, c in hits.items()]
+    return bench.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *shares).unionByName(bench.agg(F.lit("ALL").alias("stratum"), F.count(F.lit(1)).alias("n"), *shares))
+
+
+def bias(recalls: DataFrame, radius: int) -> DataFrame:
+    """One row: recall of the high stratum over that of the low one; null if that is 0."""
+    of = lambda s: F.max(F.when(F.col("stratum") == s, F.col(f"recall_{radius}")))
+    return recalls.agg(F.when(of("low") > 0, of("high") / of("low")).alias("ratio"))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:

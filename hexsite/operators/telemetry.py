@@ -14,7 +14,10 @@ def merge_runs(runs: DataFrame, *, key=("station", "hour"), rank="run", seq="seq
 
 
 def profile(series: DataFrame, *, key="station", at="hour", value="cars", seq="seq") -> DataFrame:
-    """Of each series: readings, span, range, missing and negative values, repeated times, order of arrival."""
+    """Of each series: readings, span, range, missing, negative and non-numeric values, repeated times, order of arrival.
+
+    Values may be text; what isn't a number counts as such and is left out of the range."""
+    number = F.col(value).try_cast("double") if dict(series.dtypes)[value] == "string" else F.col(value)
     previous = F.lag(at).over(Window.partitionBy(key).orderBy(seq))
     return (
         series.withColumn("_back", F.col(at) < previous)
@@ -23,10 +26,11 @@ def profile(series: DataFrame, *, key="station", at="hour", value="cars", seq="s
             F.count(F.lit(1)).alias("n"),
             F.min(at).alias("t_min"),
             F.max(at).alias("t_max"),
-            F.min(value).alias("v_min"),
-            F.max(value).alias("v_max"),
+            F.min(number).alias("v_min"),
+            F.max(number).alias("v_max"),
             F.count_if(F.col(value).isNull()).alias("n_null"),
-            F.count_if(F.col(value) < 0).alias("n_negative"),
+            F.count_if(number < 0).alias("n_negative"),
+            F.count_if(F.col(value).isNotNull() & number.isNull()).alias("n_nonnum"),
             (F.count(at) - F.count_distinct(at)).alias("n_repeated"),
             (F.count_if("_back") == 0).alias("monotonic"),
         )
@@ -40,7 +44,7 @@ def quality_flag(sparse: int = DEFAULT.sparse_points, coord_ok: Column | None =
         F.when(F.col("n_repeated") > 0, "DUP_TS"),
         F.when(~F.col("monotonic"), "NONMONOTONIC"),
         F.when(F.col("n_negative") > 0, "NEG_VALUE"),
-        F.when(F.col("n_null") > 0, "NONNUMERIC"),
+        F.when(F.col("n_nonnum") > 0, "NONNUMERIC"),
         F.when(F.col("v_max") == 0, "ALL_ZERO"),
         F.when(F.col("n") < sparse, "SPARSE"),
     ]

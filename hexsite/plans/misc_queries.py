@@ -14,7 +14,7 @@ from hexsite.operators import roads as R
 from hexsite.operators import tariff as E
 from hexsite.plans.catalogue import query
 from hexsite.plans.projections import oracle, tables, view
-from hexsite.plans.spatial_queries import CELL, DIST, cells
+from hexsite.plans.spatial_queries import CELL, CLAT, CLNG, DIST, POP, cells
 from hexsite.plans.supply_queries import RESOLVED, sites
 
 # --- roads: orders as polylines of their lines
@@ -86,52 +86,118 @@ def _polygons(spark, sf_dir):
     return view(spark, sf_dir, "provinces").select("province", "lat0", "lat1", "lng0", "lng1").mapInArrow(run, "province int, geom binary")
 
 
-@query("jn17_points_in_wkb_all_sites", oracle("SELECT s.site_id, (SELECT min(p.province) FROM provinces p WHERE s.lat > p.lat0 AND s.lat < p.lat1 AND s.lng > p.lng0 AND s.lng < p.lng1) AS province FROM sites s"))
-def points_in_wkb_all(spark, sf_dir):
-    """A site on an edge is in no province; jn17_points_in_wkb leaves out those on the southern one, as its SQL does."""
+@query("jn17_points_in_wkb", oracle("SELECT s.site_id, (SELECT min(p.province) FROM provinces p WHERE s.lat > p.lat0 AND s.lat < p.lat1 AND s.lng > p.lng0 AND s.lng < p.lng1) AS province FROM sites s"))
+def points_in_wkb(spark, sf_dir):
+    """A site on an edge is in no province."""
     return A.points_in_polygons(view(spark, sf_dir, "sites").select("site_id", "lat", "lng"), "site_id", _polygons(spark, sf_dir), "province")
 
 
-@query("jn17_points_in_wkb", oracle("SELECT s.site_id, (SELECT min(p.province) FROM provinces p WHERE s.lat > p.lat0 AND s.lat < p.lat1 AND s.lng > p.lng0 AND s.lng < p.lng1) AS province FROM sites s WHERE s.site_id % 10007 <> 0"))
-def points_in_wkb(spark, sf_dir):
-    s = view(spark, sf_dir, "sites").filter("site_id % 10007 <> 0").select("site_id", "lat", "lng")
-    return A.points_in_polygons(s, "site_id", _polygons(spark, sf_dir), "province")
+# A hexagon's share of a box, by integrating over latitude the width that both have: between the corners, the box's edges and the
+# places where a side crosses an edge the width is linear, so trapezoids are exact. Half height and half width are of cells
+# whose centres are 0.98 km apart on a grid with its standard parallel at 16 degrees.
+HALF_LAT, HALF_LNG = "(0.98e0 / sqrt(3e0) / (6371.0088e0 * pi() / 180e0))", "(0.49e0 / (6371.0088e0 * pi() / 180e0 * cos(radians(16e0))))"
+
 
+def _shares(where: str = "true") -> str:
+    """SQL: sh(cell, province, area_share) of cells and the provinces' boxes."""
+    width = "CASE WHEN abs(@ - cy) <= hh / 2 THEN hw ELSE hw * greatest(0e0, hh - abs(@ - cy)) / (hh / 2) END"
+    both = f"greatest(0e0, least(cx + {width}, lng1) - greatest(cx - {width}, lng0))"
+    cross = ", ".join(f"CASE WHEN {d} > 0 AND {d} < hw THEN cy {sign} (hh - {d} * (hh / 2) / hw) END" for d in ("(lng1 - cx)", "(lng0 - cx)", "(cx - lng0)", "(cx - lng1)") for sign in ("+", "-"))
+    f = lambda y: both.replace("@", y)
+    return f"""
+    hx AS (SELECT cell, pop, {CLAT} AS cy, {CLNG} AS cx, {HALF_LAT} AS hh, {HALF_LNG} AS hw FROM cells),
+    mt AS (SELECT *, greatest(lat0, cy - hh) AS lo, least(lat1, cy + hh) AS hi FROM hx JOIN provinces ON lat0 < cy + hh AND lat1 > cy - hh AND lng0 < cx + hw AND lng1 > cx - hw AND {where}),
+    br AS (SELECT *, list_sort(list_distinct(list_filter([lo, hi, cy - hh / 2, cy + hh / 2, {cross}], lambda y: y IS NOT NULL AND y >= lo AND y <= hi))) AS ys FROM mt),
+    tr AS (SELECT cell, pop, province, cx, cy, hh, hw, lat0, lat1, lng0, lng1, ys, unnest(range(1, len(ys))) AS i FROM br),
+    sl AS (SELECT cell, pop, province, hh, hw, ys[i] AS y0, ys[i + 1] AS y1, {f("ys[i]")} AS f0, {f("ys[i + 1]")} AS f1 FROM tr),
+    sh AS (SELECT cell, any_value(pop) AS pop, province, sum((f0 + f1) / 2 * (y1 - y0)) / any_value(3 * hh * hw) AS area_share FROM sl GROUP BY cell, province HAVING sum((f0 + f1) / 2 * (y1 - y0)) / any_value(3 * hh * hw) > 1e-9),
+    wt AS (SELECT *, area_share / sum(area_share) OVER (PARTITION BY cell) AS w FROM sh)"""
 
-@query("jn15_hex_overlap")
+
+@query("jn15_hex_overlap", oracle(f"WITH {POP}, {_shares()} SELECT cell, province, round(area_share, 6) AS area_share, round(w, 6) AS w FROM wt"))
 def hex_overlap(spark, sf_dir):
-    """Areas of clipped hexagons: held against a brute-force version and the weights' sums in the tests."""
     o = A.cell_overlaps(cells(spark, sf_dir), _polygons(spark, sf_dir), "province")
-    return o.select("cell", "province", F.round("area_share", 9).alias("area_share"), F.round("w", 9).alias("w"))
+    return o.select("cell", "province", F.round("area_share", 6).alias("area_share"), F.round("w", 6).alias("w"))
 
 
-@query("ag17_weighted_rollup")
+@query("ag17_weighted_rollup", oracle(f"WITH {POP}, {_shares()}, t AS (SELECT province, sum(pop * w) AS pop, count(DISTINCT cell) AS n_cells, sum(w) AS w FROM wt GROUP BY 1) SELECT p.province, round(coalesce(pop, 0), 3) AS pop, coalesce(n_cells, 0) AS n_cells, round(coalesce(w, 0), 4) AS w FROM provinces p LEFT JOIN t ON p.province = t.province"))
 def weighted_rollup(spark, sf_dir):
     c = cells(spark, sf_dir)
     polygons = _polygons(spark, sf_dir)
     out = A.weighted_rollup(A.cell_overlaps(c, polygons, "province"), c, "province", ["pop"], polygons)
-    return out.select("province", F.round("pop", 6).alias("pop"), "n_cells", F.round("w", 6).alias("w"))
+    return out.select("province", F.round("pop", 3).alias("pop"), "n_cells", F.round("w", 4).alias("w"))
 
 
-@query("wn8_argmax_label")
+@query("wn8_argmax_label", oracle(f"WITH {POP}, {_shares()} SELECT cell, arg_min(province, (-round(area_share, 9), province)) AS province, count(*) AS n_overlaps FROM sh GROUP BY 1"))
 def argmax_label(spark, sf_dir):
     return A.labels(A.cell_overlaps(cells(spark, sf_dir), _polygons(spark, sf_dir), "province"), "province")
 
 
-@query("ag18_dissolve", oracle("SELECT CAST(province % 5 AS INT) AS grp, min(lat0) AS lat0, max(lat1) AS lat1, min(lng0) AS lng0, max(lng1) AS lng1, count(*) AS n FROM provinces GROUP BY 1"))
+@query("jn16_cell_vs_territory", oracle(f"WITH {POP}, {_shares('province < 10')}, t AS (SELECT cell, sum(area_share) AS share FROM sh GROUP BY 1) SELECT cells.cell, round(coalesce(share, 0), 6) AS share, CASE WHEN share IS NULL THEN 'OUTSIDE' WHEN share >= 1 - 1e-6 THEN 'INSIDE' ELSE 'BORDER' END AS state FROM cells LEFT JOIN t USING (cell)"))
+def cell_vs_territory(spark, sf_dir):
+    """INSIDE, BORDER with its share, or OUTSIDE."""
+    west = _polygons(spark, sf_dir).filter("province < 10")
+    o = A.cell_overlaps(cells(spark, sf_dir), west, "province").groupBy("cell").agg(F.sum("area_share").alias("share"))
+    out = cells(spark, sf_dir).select("cell").join(o, "cell", "left")
+    state = F.when(F.col("share").isNull(), "OUTSIDE").when(F.col("share") >= 1 - 1e-6, "INSIDE").otherwise("BORDER")
+    return out.select("cell", F.round(F.coalesce("share", F.lit(0.0)), 6).alias("share"), state.alias("state"))
+
+
+@query("ag18_dissolve", oracle("SELECT CAST(province % 5 AS INT) AS grp, count(*) AS n, round(sum((lat1 - lat0) * (lng1 - lng0)), 9) AS area, round(min(lat0), 9) AS lat0, round(max(lat1), 9) AS lat1, round(min(lng0), 9) AS lng0, round(max(lng1), 9) AS lng1, 1 AS parts, 5 AS corners FROM provinces GROUP BY 1"))
 def dissolve(spark, sf_dir):
-    """Bounds of unions; boxes here, so bounds are exact."""
-    return view(spark, sf_dir, "provinces").groupBy((F.col("province") % 5).cast("int").alias("grp")).agg(F.min("lat0").alias("lat0"), F.max("lat1").alias("lat1"), F.min("lng0").alias("lng0"), F.max("lng1").alias("lng1"), F.count(F.lit(1)).alias("n"))
+    """Bands of five boxes each become one box: five points, closed, and the inner edges are gone."""
+    p = _polygons(spark, sf_dir).withColumn("grp", (F.col("province") % 5).cast("int"))
+    union = A.with_boxes(A.dissolve(p, "grp"), "grp")
+
+    @F.pandas_udf("struct<parts:int,corners:int,area:double>")
+    def shape(raw):
+        import pandas as pd
+
+        out = []
+        for r in raw:
+            polygons = A.read_wkb(r)
+            corner = lambda a, b, c: abs((b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])) > 1e-12
+            ring = polygons[0][0][:-1]
+            turns = sum(corner(ring[k - 1], ring[k], ring[(k + 1) % len(ring)]) for k in range(len(ring)))
+            out.append((len(polygons), turns + 1, sum(A.area(x[0]) for x in polygons)))
+        return pd.DataFrame(out, columns=["parts", "corners", "area"])
+
+    n = p.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    s = union.withColumn("s", shape("geom")).join(n, F.col("name") == F.col("grp"))
+    return s.select("grp", "n", F.round("s.area", 9).alias("area"), *[F.round(c, 9).alias(c) for c in ("lat0", "lat1", "lng0", "lng1")], "s.parts", "s.corners")
 
 
 # --- text and JSON
 
 
-@query("st3_plain_text", oracle(f"SELECT doc_id, md5(trim(regexp_replace(translate(lower(text), '{K.ACCENTS}', '{K.PLAIN}'), '[^a-z0-9]+', ' ', 'g'))) AS plain FROM documents WHERE text IS NOT NULL"))
+@query("st3_plain_text", oracle("SELECT doc_id, md5(trim(regexp_replace(lower(strip_accents(replace(replace(text, 'đ', 'd'), 'Đ', 'D'))), '[^a-z0-9]+', ' ', 'g'))) AS plain FROM documents WHERE text IS NOT NULL"))
 def plain(spark, sf_dir):
     return tables(spark, sf_dir, "documents")["documents"].filter("text IS NOT NULL").select("doc_id", F.md5(K.plain_text(F.col("text")).cast("binary")).alias("plain"))
 
 
+UNIT = ["Phường", "Xã", "Đặc khu", "Thị trấn", "Quận", "Huyện", "Thành phố", "Tỉnh", "TP", "Thị xã", ""]
+
+
+@query("st4_bare_name", oracle("""
+SELECT n_nationkey AS k, CASE WHEN n_nationkey % 11 = 9 THEN 'thi xa ' WHEN n_nationkey % 11 = 10 THEN '' ELSE '' END || replace(lower(n_name), '_', ' ') AS bare FROM nation"""))
+def bare_names(spark, sf_dir):
+    """Nine prefixes go; ``Thị xã`` isn't one of them, and only the first goes."""
+    n = tables(spark, sf_dir, "nation")["nation"]
+    name = F.concat(F.element_at(F.array(*map(F.lit, UNIT)), (F.col("n_nationkey") % 11 + 1).cast("int")), F.lit(" "), "n_name")
+    return n.select(F.col("n_nationkey").alias("k"), K.bare_name(name).alias("bare"))
+
+
+@query("st5_identity", oracle("SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'tram sac ' || lower(c_mktsegment) || ' x' ELSE 'tram sac ' || lower(c_mktsegment) || ' ' || 'so ' || c_custkey || ' x' END AS who FROM customer"))
+def identities(spark, sf_dir):
+    """The address goes where it stands in the name, if it is long enough: a short one stays."""
+    c = tables(spark, sf_dir, "customer")["customer"]
+    short = F.concat(F.lit("Số "), F.col("c_custkey").cast("string"))
+    address = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Đường Lê Lợi "), F.col("c_custkey").cast("string"))).otherwise(short)
+    name = F.concat(F.lit("Trạm sạc "), "c_mktsegment", F.lit(" "), address, F.lit(" x"))
+    least = F.when(F.col("c_custkey") % 2 == 0, address).otherwise(F.lit("Số"))
+    return c.select(F.col("c_custkey").alias("k"), K.identity(name, least).alias("who"))
+
+
 WORDS = "list_distinct(list_filter(string_split({0}, ' '), lambda x: x <> ''))"
 
 
@@ -178,33 +244,19 @@ def groups(spark, sf_dir):
 
 
 @query("c4_match_confidence", oracle(f"""
-WITH st AS (SELECT CASE WHEN site_id % 9 = 0 THEN CAST(site_id % 150 AS VARCHAR) ELSE 'x' || site_id END AS code, site_id, lat, lng FROM sites WHERE site_id % 150 < 100 OR site_id % 9 <> 0),
-f AS (SELECT min(site_id) AS site_id FROM st GROUP BY code), s AS (SELECT st.* FROM st JOIN f USING (site_id)),
-x AS (SELECT s.code, r.store, {DIST.replace('a.', 's.').replace('b.', 'r.')} AS d FROM s JOIN registry r ON s.code = CAST(r.store AS VARCHAR)),
-c AS (SELECT a.code, b.store, {DIST} AS d FROM s a, registry b WHERE a.code NOT IN (SELECT code FROM x) AND {DIST} <= 250e0),
-n AS (SELECT code, arg_min(store, (d, CAST(store AS VARCHAR))) AS store, min(d) AS d FROM c WHERE d <= 40e0 GROUP BY 1)
+WITH s AS (SELECT CASE WHEN site_id % 9 = 0 THEN CAST(site_id AS VARCHAR) ELSE 'x' || site_id END AS code, site_id, lat, lng, CASE site_id % 3 WHEN 0 THEN 'Bến xe' WHEN 1 THEN NULL ELSE 'kho' END AS name FROM sites),
+r AS (SELECT store, lat, lng, CASE store % 2 WHEN 0 THEN 'ben xe' ELSE 'chợ' END AS name FROM registry),
+x AS (SELECT s.code, r.store, {DIST.replace('a.', 's.').replace('b.', 'r.')} AS d FROM s JOIN r ON s.code = CAST(r.store AS VARCHAR)),
+c AS (SELECT a.code, b.store, {DIST} AS d, coalesce(a.name = 'Bến xe' AND b.name = 'ben xe', false) AS alike FROM s a, r b WHERE a.code NOT IN (SELECT code FROM x) AND {DIST} <= 250e0),
+n AS (SELECT code, arg_min(store, (d, CAST(store AS VARCHAR))) AS store, min(d) AS d FROM c WHERE d <= 40e0 OR alike GROUP BY 1)
 SELECT s.code, coalesce(CAST(x.store AS VARCHAR), CAST(n.store AS VARCHAR)) AS store, CASE WHEN x.code IS NOT NULL THEN 'exact_code' WHEN n.code IS NOT NULL THEN 'spatial_fuzzy' ELSE 'none' END AS method, round(coalesce(x.d, n.d), 3) AS dist_m
 FROM s LEFT JOIN x ON s.code = x.code LEFT JOIN n ON s.code = n.code"""))
 def matched(spark, sf_dir):
-    s = view(spark, sf_dir, "sites").filter("site_id % 150 < 100 OR site_id % 9 <> 0")
-    code = F.when(F.col("site_id") % 9 == 0, (F.col("site_id") % 150).cast("string")).otherwise(F.concat(F.lit("x"), F.col("site_id").cast("string")))
-    s = s.select(code.alias("code"), "site_id", "lat", "lng").groupBy("code").agg(F.min_by(F.struct("lat", "lng"), "site_id").alias("p")).select("code", F.lit("").alias("name"), "p.lat", "p.lng")
-    r = view(spark, sf_dir, "registry").select(F.col("store").cast("string").alias("store"), "name", "lat", "lng")
-    return M.match(s, r).select("code", "store", "method", F.round("dist_m", 3).alias("dist_m"))
-
-
-@query("c4_match_confidence_all_sites", oracle(f"""
-WITH s AS (SELECT CASE WHEN site_id % 9 = 0 THEN CAST(site_id AS VARCHAR) ELSE 'x' || site_id END AS code, site_id, lat, lng FROM sites),
-x AS (SELECT s.code, r.store, {DIST.replace('a.', 's.').replace('b.', 'r.')} AS d FROM s JOIN registry r ON s.code = CAST(r.store AS VARCHAR)),
-c AS (SELECT a.code, b.store, {DIST} AS d FROM s a, registry b WHERE a.code NOT IN (SELECT code FROM x) AND {DIST} <= 250e0),
-n AS (SELECT code, arg_min(store, (d, CAST(store AS VARCHAR))) AS store, min(d) AS d FROM c WHERE d <= 40e0 GROUP BY 1)
-SELECT s.code, coalesce(CAST(x.store AS VARCHAR), CAST(n.store AS VARCHAR)) AS store, CASE WHEN x.code IS NOT NULL THEN 'exact_code' WHEN n.code IS NOT NULL THEN 'spatial_fuzzy' ELSE 'none' END AS method, round(coalesce(x.d, n.d), 3) AS dist_m
-FROM s LEFT JOIN x ON s.code = x.code LEFT JOIN n ON s.code = n.code"""))
-def matched_all(spark, sf_dir):
     """A row for each site: every ninth one is coded by its whole number, so no two sites share a code."""
-    number = F.col("site_id").cast("string")
-    s = view(spark, sf_dir, "sites").select(F.when(F.col("site_id") % 9 == 0, number).otherwise(F.concat(F.lit("x"), number)).alias("code"), F.lit("").alias("name"), "lat", "lng")
-    r = view(spark, sf_dir, "registry").select(F.col("store").cast("string").alias("store"), "name", "lat", "lng")
+    i = F.col("site_id")
+    name = F.when(i % 3 == 0, "Bến xe").when(i % 3 == 2, "kho")
+    s = view(spark, sf_dir, "sites").select(F.when(i % 9 == 0, i.cast("string")).otherwise(F.concat(F.lit("x"), i.cast("string"))).alias("code"), name.alias("name"), "lat", "lng")
+    r = view(spark, sf_dir, "registry").select(F.col("store").cast("string").alias("store"), F.when(F.col("store") % 2 == 0, "ben xe").otherwise("chợ").alias("name"), "lat", "lng")
     return M.match(s, r).select("code", "store", "method", F.round("dist_m", 3).alias("dist_m"))
 
 
@@ -261,12 +313,21 @@ def orphans(spark, sf_dir):
     return G.orphans(child, t["orders"].filter("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("station")), "station")
 
 
-@query("se3_set_gates", oracle(RESOLVED + "SELECT 'reconcile' AS gate, 'PASS' AS status, 0e0 AS value, 0e0 AS \"limit\" FROM x LIMIT 1"))
+@query("se3_set_gates", oracle(RESOLVED + """, e AS (SELECT * FROM x WHERE NOT in_supply), u AS (SELECT * FROM x WHERE in_supply), p AS (SELECT site_id FROM x WHERE in_supply AND NOT dirty)
+SELECT 'reconcile' AS gate, CAST((SELECT count(*) FROM x) - (SELECT count(*) FROM u) - (SELECT count(*) FROM e) AS DOUBLE) AS value, CASE WHEN (SELECT count(*) FROM x) = (SELECT count(*) FROM u) + (SELECT count(*) FROM e) THEN 'PASS' ELSE 'FAIL' END AS status, 0e0 AS "limit"
+UNION ALL SELECT 'disjoint', CAST(count(*) AS DOUBLE), CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, 0e0 FROM (SELECT site_id FROM u INTERSECT SELECT site_id FROM e)
+UNION ALL SELECT 'subset', CAST(count(*) AS DOUBLE), CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, 0e0 FROM (SELECT site_id FROM p EXCEPT SELECT site_id FROM u)
+UNION ALL SELECT 'all_operational', CAST(count(*) AS DOUBLE), CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, 0e0 FROM (SELECT site_id FROM u EXCEPT SELECT site_id FROM x WHERE op_status = 'OPERATIONAL')
+UNION ALL SELECT 'apart', CAST(count(*) AS DOUBLE), CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, 0e0 FROM (SELECT site_id FROM u INTERSECT SELECT site_id FROM p)"""))
 def set_gates(spark, sf_dir):
+    """Sets that agree, and two that don't: supply isn't all operational, and the baseline isn't apart from supply."""
     from hexsite.operators import supply as S
 
     df = sites(spark, sf_dir)
-    return G.reconciles("reconcile", df, *S.split_supply(df))
+    supply, rest = S.split_supply(df)
+    baseline = df.filter(S.baseline_mask())
+    out = G.reconciles("reconcile", df, supply, rest).unionByName(G.are_disjoint("disjoint", supply, rest, "site_id")).unionByName(G.is_subset("subset", baseline, supply, "site_id"))
+    return out.unionByName(G.is_subset("all_operational", supply, df.filter("op_status = 'OPERATIONAL'"), "site_id")).unionByName(G.are_disjoint("apart", supply, baseline, "site_id"))
 
 
 @query("se2_union_keys", oracle(f"SELECT DISTINCT cell FROM (SELECT {CELL} AS cell FROM pixels UNION SELECT {CELL} FROM poi UNION SELECT {CELL} FROM sites)"))

@@ -17,9 +17,9 @@ from hexsite.operators import siting as P
 from hexsite.operators import spatial as X
 from hexsite.operators import stats as T
 from hexsite.plans.catalogue import query
-from hexsite.plans.misc_queries import _polygons
+
 from hexsite.plans.projections import oracle, tables, view
-from hexsite.plans.spatial_queries import BOX, CELL, CLAT, CLNG, DIST, POP, _anchors, cells
+from hexsite.plans.spatial_queries import ANCHORS, BOX, CELL, CLAT, CLNG, DIST, POP, _anchors, cells
 from hexsite.plans.supply_queries import RESOLVED, sites
 
 REGISTRY = """
@@ -57,24 +57,20 @@ def range_same_class(spark, sf_dir):
     return X.self_pairs(p, "poi", 700.0).filter(F.col("class") == F.col("r_class")).select(F.col("poi").alias("a"), F.col("r_poi").alias("b"))
 
 
-@query("jn16_cell_vs_territory")
-def cell_vs_territory(spark, sf_dir):
-    """INSIDE, BORDER with its share, or OUTSIDE; areas of clipped hexagons have no SQL, tests hold them."""
-    west = _polygons(spark, sf_dir).filter("province < 10")
-    o = A.cell_overlaps(cells(spark, sf_dir), west, "province").groupBy("cell").agg(F.sum("area_share").alias("share"))
-    out = cells(spark, sf_dir).select("cell").join(o, "cell", "left").withColumn("share", F.round(F.coalesce("share", F.lit(0.0)), 9))
-    return out.withColumn("state", F.when(F.col("share") == 0, "OUTSIDE").when(F.col("share") >= 1 - 1e-6, "INSIDE").otherwise("BORDER"))
+ZONES = """z AS (SELECT lat0, lat1, lng0, lng1, CASE province % 3 WHEN 0 THEN 'MILITARY' WHEN 1 THEN 'PROTECTED' ELSE 'AIRPORT' END AS flag FROM provinces
+  UNION ALL SELECT lat0 + 0.05e0, lat1 + 0.05e0, lng0 - 0.03e0, lng1 - 0.03e0, CASE province % 4 WHEN 0 THEN 'WATER_OSM' ELSE 'MILITARY' END FROM provinces)"""
 
 
 @query("jn18_exclusion_zones", oracle(f"""
-WITH {POP}, c AS (SELECT cell, {CLAT} AS lat, {CLNG} AS lng FROM cells)
-SELECT cell, string_agg(DISTINCT CASE province % 3 WHEN 0 THEN 'MILITARY' WHEN 1 THEN 'PROTECTED' ELSE 'AIRPORT' END, ';' ORDER BY CASE province % 3 WHEN 0 THEN 'MILITARY' WHEN 1 THEN 'PROTECTED' ELSE 'AIRPORT' END) AS flags
-FROM c JOIN provinces ON {BOX} AND province % 4 = 0 GROUP BY 1"""))
+WITH {POP}, {ZONES}, c AS (SELECT cell, {CLAT} AS lat, {CLNG} AS lng FROM cells)
+SELECT cell, string_agg(DISTINCT flag, ';' ORDER BY flag) AS flags FROM c JOIN z ON {BOX} GROUP BY 1"""))
 def exclusion_zones(spark, sf_dir):
+    """Zones overlap, so most cells have two flags."""
     c = cells(spark, sf_dir).select("cell", grid.centre_lat("cell").alias("lat"), grid.centre_lng("cell").alias("lng"))
-    z = view(spark, sf_dir, "provinces").filter("province % 4 = 0").withColumn("flag", F.element_at(F.array(F.lit("MILITARY"), F.lit("PROTECTED"), F.lit("AIRPORT")), F.col("province") % 3 + 1))
-    hit = X.in_boxes(c, "cell", z.select("lat0", "lat1", "lng0", "lng1", "flag"), "flag").filter("flag IS NOT NULL")
-    return hit.groupBy("cell").agg(F.array_join(F.array_sort(F.collect_set("flag")), ";").alias("flags"))
+    p = view(spark, sf_dir, "provinces")
+    one = p.select("lat0", "lat1", "lng0", "lng1", F.element_at(F.array(F.lit("MILITARY"), F.lit("PROTECTED"), F.lit("AIRPORT")), F.col("province") % 3 + 1).alias("flag"))
+    two = p.select((F.col("lat0") + 0.05).alias("lat0"), (F.col("lat1") + 0.05).alias("lat1"), (F.col("lng0") - 0.03).alias("lng0"), (F.col("lng1") - 0.03).alias("lng1"), F.when(F.col("province") % 4 == 0, "WATER_OSM").otherwise("MILITARY").alias("flag"))
+    return X.zone_flags(c, one.unionByName(two)).select("cell", F.array_join("flags", ";").alias("flags"))
 
 
 STACK = "SELECT site_id, province, floor(lat * 50e0) / 50e0 AS lat, floor(lng * 50e0) / 50e0 AS lng FROM sites"
@@ -87,32 +83,43 @@ def stacks(spark, sf_dir):
 
 
 REPAIR = """
-WITH s AS (SELECT site_id, lat, lng, site_id % 3 = 0 AS far, site_id % 8 AS stack, site_id % 2 = 0 AS suspect, CASE WHEN site_id % 5 = 0 THEN NULL ELSE lat + 0.01e0 END AS off_lat,
-  CASE WHEN site_id % 5 = 0 THEN NULL ELSE lng END AS off_lng, CAST(site_id % 200 AS DOUBLE) AS off_own_km, site_id % 7 AS off_stack FROM sites),
-b AS (SELECT *, (stack >= 5 AND far) OR (suspect AND stack >= 2 AND far) AS bad FROM s),
-f AS (SELECT *, CASE WHEN NOT bad THEN 'TRUSTED' WHEN off_lat IS NOT NULL AND off_own_km <= 100e0 AND off_stack < 5 THEN 'SNAPPED' ELSE 'UNRESOLVED' END AS fix FROM b),
+WITH s AS (SELECT site_id, CASE WHEN site_id % 17 = 0 THEN NULL WHEN site_id % 13 = 0 THEN 95e0 ELSE lat END AS lat, lng, site_id % 3 = 0 AS far, site_id % 8 AS stack, site_id % 2 = 0 AS suspect, CASE WHEN site_id % 5 = 0 THEN NULL ELSE lat + 0.01e0 END AS off_lat,
+  CASE WHEN site_id % 5 = 0 THEN NULL WHEN site_id % 7 = 0 THEN 300e0 ELSE lng END AS off_lng, CAST(site_id % 200 AS DOUBLE) AS off_own_km, site_id % 7 AS off_stack FROM sites),
+v AS (SELECT *, coalesce(lat BETWEEN 8e0 AND 23.6e0 AND lng BETWEEN 102e0 AND 110e0, false) AS ok, coalesce(off_lat BETWEEN 8e0 AND 23.6e0 AND off_lng BETWEEN 102e0 AND 110e0, false) AS off_ok FROM s),
+b AS (SELECT *, (stack >= 5 AND far) OR (suspect AND stack >= 2 AND far) AS bad FROM v),
+f AS (SELECT *, CASE WHEN NOT bad AND ok THEN 'TRUSTED' WHEN NOT bad THEN 'INVALID' WHEN ok AND off_ok AND off_own_km <= 100e0 AND off_stack < 5 THEN 'SNAPPED' ELSE 'UNRESOLVED' END AS fix FROM b),
 n AS (SELECT site_id, fix, CASE fix WHEN 'TRUSTED' THEN lat WHEN 'SNAPPED' THEN off_lat END AS lat, CASE fix WHEN 'TRUSTED' THEN lng WHEN 'SNAPPED' THEN off_lng END AS lng FROM f)
 """
 
 
-@query("ms9_repair", oracle(REPAIR + f"SELECT site_id, fix, fix <> 'UNRESOLVED' AS coord_resolved, {CELL} AS cell FROM n"))
+@query("ms9_repair", oracle(REPAIR + f"SELECT site_id, fix, fix IN ('TRUSTED', 'SNAPPED') AS coord_resolved, {CELL} AS cell FROM n"))
 def repair(spark, sf_dir):
     i = F.col("site_id")
-    s = view(spark, sf_dir, "sites").select(
-        "site_id", "lat", "lng", (i % 3 == 0).alias("far"), (i % 8).alias("stack"), (i % 2 == 0).alias("suspect"), F.when(i % 5 != 0, F.col("lat") + 0.01).alias("off_lat"), F.when(i % 5 != 0, F.col("lng")).alias("off_lng"), (i % 200).cast("double").alias("off_own_km"), (i % 7).alias("off_stack")
+    lat = F.when(i % 17 == 0, None).when(i % 13 == 0, 95.0).otherwise(F.col("lat"))
+    s = view(spark, sf_dir, "sites").withColumn("lat", lat).select(
+        "site_id", "lat", "lng", (i % 3 == 0).alias("far"), (i % 8).alias("stack"), (i % 2 == 0).alias("suspect"), F.when(i % 5 != 0, F.col("lat") + 0.01).alias("off_lat"),
+        F.when(i % 5 != 0, F.when(i % 7 == 0, 300.0).otherwise(F.col("lng"))).alias("off_lng"), (i % 200).cast("double").alias("off_own_km"), (i % 7).alias("off_stack"),
     )
     return Q.repair(s).select("site_id", "fix", "coord_resolved", "cell")
 
 
 @query("ag21_retotal", oracle(f"""
-WITH {POP}, l AS (SELECT cell, pop, CASE WHEN cell % 23 = 0 THEN NULL ELSE cell % 40 END AS commune, CASE WHEN cell % 40 < 35 THEN CAST(cell % 9 AS DOUBLE) ELSE 0e0 END AS built, pop > 2500e0 AS bad, 1e4 + CAST(cell % 40 AS DOUBLE) * 1500e0 AS census FROM cells),
-s AS (SELECT commune, bool_or(bad) AS hit, sum(pop) AS p, sum(built) AS b, max(census) AS c FROM l WHERE commune IS NOT NULL GROUP BY 1)
-SELECT cell, round(CASE WHEN coalesce(hit, false) AND coalesce(b > 0, false) THEN CASE WHEN p > 1.5e0 * c THEN 0.859e0 * c ELSE p END * built / b ELSE pop END, 5) AS pop_new,
-  CASE WHEN coalesce(hit, false) AND coalesce(b > 0, false) THEN 'REDISTRIBUTED' WHEN bad THEN 'UNREPAIRED_NO_BUILTUP' ELSE 'KEPT' END AS pop_src FROM l LEFT JOIN s ON l.commune = s.commune"""))
+WITH {POP}, l AS (SELECT cell, pop, CASE WHEN cell % 23 = 0 THEN NULL ELSE cell % 40 END AS commune, CASE WHEN cell % 40 < 35 THEN CAST(cell % 9 AS DOUBLE) ELSE 0e0 END AS built, pop > 2500e0 AS bad, CASE WHEN cell % 40 % 9 = 0 THEN 0e0 ELSE 1e4 + CAST(cell % 40 AS DOUBLE) * 1500e0 END AS census FROM cells),
+m AS (SELECT DISTINCT -1 - cell AS cell, cell % 40 AS commune, 2e0 AS built FROM cells WHERE cell % 6 = 0),
+a AS (SELECT cell, 0e0 AS pop, commune, built FROM m UNION ALL SELECT cell, pop, commune, built FROM l),
+s AS (SELECT commune, sum(pop) AS p, sum(built) AS b FROM a WHERE commune IS NOT NULL GROUP BY 1),
+h AS (SELECT commune, bool_or(bad) AS hit, max(census) AS c FROM l WHERE commune IS NOT NULL GROUP BY 1),
+k AS (SELECT s.commune, p, b, c, coalesce(hit, false) AND b > 0 AS moves, coalesce(c > 0 AND p > 1.5e0 * c, false) AS far FROM s LEFT JOIN h ON s.commune = h.commune)
+SELECT cell, round(CASE WHEN coalesce(moves, false) THEN CASE WHEN far THEN 0.859e0 * c ELSE p END * built / b ELSE pop END, 5) AS pop_new,
+  CASE WHEN coalesce(moves, false) THEN CASE WHEN far THEN 'RETOTALED_DANSO' ELSE 'REDISTRIBUTED' END WHEN bad THEN 'UNREPAIRED_NO_BUILTUP' ELSE 'WORLDPOP' END AS pop_src FROM l LEFT JOIN k ON l.commune = k.commune
+UNION ALL SELECT cell, round(CASE WHEN far THEN 0.859e0 * c ELSE p END * built / b, 5), CASE WHEN far THEN 'RETOTALED_DANSO' ELSE 'REDISTRIBUTED' END FROM m JOIN k ON m.commune = k.commune WHERE moves"""))
 def retotal(spark, sf_dir):
+    """Some communes have a census of 0, and some built-up cells aren't in the table."""
     c = F.col("cell")
-    base = cells(spark, sf_dir).select("cell", "pop", F.when(c % 23 != 0, c % 40).alias("commune"), F.when(c % 40 < 35, (c % 9).cast("double")).otherwise(0.0).alias("built"), (1e4 + (c % 40).cast("double") * 1500).alias("census"))
-    return D.retotal(base, bad=F.col("pop") > 2500).select("cell", F.round("pop_new", 5).alias("pop_new"), "pop_src")
+    census = F.when(c % 40 % 9 == 0, 0.0).otherwise(1e4 + (c % 40).cast("double") * 1500)
+    base = cells(spark, sf_dir).select("cell", "pop", F.when(c % 23 != 0, c % 40).alias("commune"), F.when(c % 40 < 35, (c % 9).cast("double")).otherwise(0.0).alias("built"), census.alias("census"))
+    empty = base.filter("cell % 6 = 0").select((-1 - c).alias("cell"), (c % 40).alias("commune"), F.lit(2.0).alias("built"))
+    return D.retotal(base, bad=F.col("pop") > 2500, empty=empty).select("cell", F.round("pop_new", 5).alias("pop_new"), "pop_src")
 
 
 @query("wn3_class_priority", oracle("SELECT poi % 500 AS object, arg_min(class, CASE class WHEN 'FUEL' THEN 0 WHEN 'MALL' THEN 1 WHEN 'DEPT_STORE' THEN 2 WHEN 'SUPERMARKET' THEN 3 WHEN 'MARKET' THEN 4 WHEN 'PARKING_OFF' THEN 5 ELSE 6 END) AS class FROM poi GROUP BY 1"))
@@ -133,16 +140,20 @@ def labels(spark, sf_dir):
     return view(spark, sf_dir, "guns").select("current_type", "kw", K.power_label(F.col("current_type"), F.col("kw")).alias("label")).distinct()
 
 
-@query("st10_commune_kind", oracle("SELECT n_nationkey AS k, CASE n_nationkey % 4 WHEN 0 THEN 'PHUONG' WHEN 1 THEN 'XA' WHEN 2 THEN 'DAC_KHU' ELSE 'UNKNOWN' END AS kind FROM nation"))
+@query("st10_commune_kind", oracle("SELECT n_nationkey AS k, CASE n_nationkey % 5 WHEN 0 THEN 'PHUONG' WHEN 1 THEN 'XA' WHEN 2 THEN 'DAC_KHU' ELSE 'UNKNOWN' END AS kind FROM nation"))
 def commune_kind(spark, sf_dir):
     n = tables(spark, sf_dir, "nation")["nation"]
-    name = F.concat(F.element_at(F.array(F.lit("Phường "), F.lit("Xã "), F.lit("Đặc khu "), F.lit("Tỉnh ")), (F.col("n_nationkey") % 4 + 1).cast("int")), "n_name")
+    name = F.concat(F.element_at(F.array(F.lit("Phường "), F.lit("Xã "), F.lit("Đặc khu "), F.lit("Tỉnh "), F.lit("Xãm ")), (F.col("n_nationkey") % 5 + 1).cast("int")), "n_name")
     return n.select(F.col("n_nationkey").alias("k"), K.commune_kind(name).alias("kind"))
 
 
-@query("st11_corroborated", oracle("SELECT c_custkey AS k, instr(lower(c_name), 'customer') > 0 AS ok FROM customer"))
+@query("st11_corroborated", oracle("SELECT s_suppkey AS k, length(n_name) >= 4 AND s_suppkey % 3 <> 0 AS ok FROM supplier JOIN nation ON s_nationkey = n_nationkey"))
 def corroborated(spark, sf_dir):
-    return tables(spark, sf_dir, "customer")["customer"].select(F.col("c_custkey").alias("k"), K.corroborated(F.lit("Xã Customer"), F.lit(""), F.col("c_name")).alias("ok"))
+    """Two thirds of the addresses hold the commune's name, in capitals and with another prefix; every third doesn't."""
+    t = tables(spark, sf_dir, "supplier", "nation")
+    both = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+    address = F.when(F.col("s_suppkey") % 3 == 0, "12 đường số 4").otherwise(F.concat(F.lit("12 đường số 4, phường "), F.upper("n_name")))
+    return both.select(F.col("s_suppkey").alias("k"), K.corroborated(F.concat(F.lit("Xã "), F.initcap("n_name")), address, F.col("s_name")).alias("ok"))
 
 
 A_BOX = resolve_area("haiphong").box()
@@ -187,7 +198,7 @@ def land_support(spark, sf_dir):
     return c.select("cell", flags["POP_ON_WATER"].alias("on_water"), flags["POP_NO_BUILT"].alias("no_built"))
 
 
-@query("ge18_capex", oracle(f"WITH k AS (SELECT {CELL} AS cell, 'T0' AS tier FROM sites WHERE coord_resolved UNION ALL SELECT {CELL}, 'T1' FROM poi WHERE class IN ('FUEL', 'PARKING_OFF') AND access <> 'RESTRICTED' UNION ALL SELECT {CELL}, 'T2' FROM poi WHERE class IN ('MALL', 'SUPERMARKET', 'MARKET', 'DEPT_STORE', 'APARTMENT')) SELECT CASE WHEN tier = 'T0' THEN 'low' WHEN (cell % 100) / 100e0 >= 0.5e0 THEN 'high' ELSE 'mid' END AS capex, count(*) AS n FROM k GROUP BY 1"))
+@query("ge18_capex", oracle(ANCHORS + "SELECT CASE WHEN tier = 'T0' THEN 'low' WHEN (cell % 100) / 100e0 >= 0.5e0 THEN 'high' ELSE 'mid' END AS capex, count(*) AS n FROM k GROUP BY 1"))
 def capex(spark, sf_dir):
     a = _anchors(spark, sf_dir).withColumn("penalty", (F.col("cell") % 100) / 100)
     return a.groupBy(P.capex_class(F.col("tier"), F.col("penalty")).alias("capex")).agg(F.count(F.lit(1)).alias("n"))
@@ -206,11 +217,21 @@ def checkpoint(spark, sf_dir):
 
 
 @query("ms11_admin_verdict", oracle("""
-WITH s AS (SELECT site_id, coord_resolved AS has, dirty AS flagged, CASE WHEN site_id % 6 = 0 THEN NULL ELSE province END AS label, site_id % 2 = 0 AS ok FROM sites)
-SELECT site_id, CASE WHEN NOT has THEN 'NO_COORD' WHEN flagged AND label IS NOT NULL AND NOT ok THEN 'COORD_BAD' WHEN flagged AND ok THEN 'COORD_CONFIRMED' WHEN label IS NULL THEN 'UNRESOLVED' ELSE 'NOT_FLAGGED' END AS verdict FROM s"""))
+WITH s AS (SELECT site_id, coord_resolved AS has, dirty AS flagged, site_id % 6 = 0 AS outside, site_id % 7 = 0 AND site_id % 6 <> 0 AS snapped, site_id % 2 = 0 AS ok, province FROM sites),
+v AS (SELECT *, CASE WHEN NOT has THEN 'NO_COORD' WHEN outside THEN 'COORD_BAD' WHEN flagged AND ok THEN 'COORD_CONFIRMED' WHEN flagged THEN 'UNRESOLVED' ELSE 'NOT_FLAGGED' END AS verdict FROM s)
+SELECT site_id, verdict, has AND NOT outside AS coord_resolved, CASE WHEN has AND outside THEN NULL ELSE site_id END AS cell, CASE WHEN has AND outside THEN 'outside_admin' ELSE 'evcs' END AS coord_src,
+  CASE WHEN has AND NOT outside THEN province END AS commune, CASE WHEN NOT (has AND NOT outside) THEN 'unresolved' WHEN snapped THEN 'nearest' ELSE 'inside' END AS method,
+  concat_ws(';', CASE WHEN flagged THEN 'COORD_ADDR_MISMATCH' END, CASE WHEN has AND outside THEN 'COORD_OUTSIDE_ADMIN' END, CASE WHEN snapped THEN 'ADMIN_COORD_SNAPPED' END) AS flags FROM v"""))
 def admin_verdict(spark, sf_dir):
+    """The verdict with its effects; a station outside every unit is bad whether it was flagged or not."""
     i = F.col("site_id")
-    return view(spark, sf_dir, "sites").select("site_id", A.verdict(F.col("coord_resolved"), F.col("dirty"), F.when(i % 6 != 0, F.col("province")), i % 2 == 0).alias("verdict"))
+    outside = i % 6 == 0
+    s = view(spark, sf_dir, "sites").select(
+        "site_id", "coord_resolved", F.col("dirty").alias("flagged"), i.alias("cell"), F.lit("evcs").alias("coord_src"), F.when(~outside, F.col("province")).alias("commune"),
+        F.when(outside, "none").when(i % 7 == 0, "nearest").otherwise("inside").alias("method"), F.when(F.col("dirty"), F.array(F.lit("COORD_ADDR_MISMATCH"))).alias("flags"),
+    )
+    s = s.withColumn("verdict", A.verdict(F.col("coord_resolved"), F.col("method") == "none", F.col("flagged"), i % 2 == 0))
+    return A.ruled(s, ["commune"]).select("site_id", "verdict", "coord_resolved", "cell", "coord_src", "commune", "method", F.array_join("flags", ";").alias("flags"))
 
 
 @query("ms12_province_conflict", oracle(f"""
@@ -247,30 +268,29 @@ def tag_classes(spark, sf_dir):
     return p.select(F.col("p_partkey").alias("k"), R.exclusion_tag(F.col("tags")).alias("exclusion"), R.poi_access(F.col("tags")).alias("access"), R.poi_class(F.lit("retail"), F.col("tags")).alias("class"))
 
 
-@query("ms21_substations", oracle("SELECT DISTINCT round(lat, 2) AS lat, round(lng, 2) AS lng FROM poi WHERE class = 'FUEL' AND 2e0 * 6371.0088e0 * asin(least(1e0, sqrt(pow(sin(radians(lat - 21.0285e0) / 2e0), 2e0) + cos(radians(21.0285e0)) * cos(radians(lat)) * pow(sin(radians(lng - 105.8542e0) / 2e0), 2e0)))) <= 30e0"))
+@query("ms21_substations", oracle("SELECT DISTINCT round(lat, 2) AS lat, round(lng, 2) AS lng FROM poi WHERE class = 'FUEL' AND 2e0 * 6371.0088e0 * asin(least(1e0, sqrt(pow(sin(radians(lat - 21.0278e0) / 2e0), 2e0) + cos(radians(21.0278e0)) * cos(radians(lat)) * pow(sin(radians(lng - 105.8342e0) / 2e0), 2e0)))) <= 30e0"))
 def substations(spark, sf_dir):
     p = view(spark, sf_dir, "poi").filter(F.col("class") == "FUEL").filter(resolve_area("hanoi").contains("lat", "lng"))
     return p.select(F.round("lat", 2).alias("lat"), F.round("lng", 2).alias("lng")).dropDuplicates()
 
 
-@query("ms1_provenance", oracle("SELECT s.site_id, CASE WHEN r.store IS NOT NULL THEN 'registry+live' ELSE 'live' END AS provenance, coalesce(r.score, s.score) AS score FROM sites s LEFT JOIN registry r ON s.site_id = r.store"))
+@query("ms1_provenance", oracle("""
+WITH s AS (SELECT site_id, registry_status IS NOT NULL AS i1, live_status IS NOT NULL AS i2, coord_resolved AS i3, coalesce(is_primary, false) AS i4 FROM sites),
+c AS (SELECT site_id, (CAST(i1 AS INT) + CAST(i2 AS INT) + CAST(i3 AS INT) + CAST(i4 AS INT)) / 4e0 AS comp FROM s)
+SELECT c.site_id, round_even(CASE WHEN r.store IS NOT NULL THEN abs(r.score) / 10000e0 ELSE comp END, 3) AS confidence, r.store IS NOT NULL AND r.store % 2 = 0 AS verified,
+  CASE WHEN r.store IS NOT NULL THEN 'official' ELSE 'evcs.vn' END AS provenance, CASE WHEN r.store IS NOT NULL THEN 'exact_code' ELSE 'none' END AS match_method FROM c LEFT JOIN registry r ON c.site_id = r.store"""))
 def provenance(spark, sf_dir):
-    r = view(spark, sf_dir, "registry").select("store", F.col("score").alias("r_score"))
-    s = view(spark, sf_dir, "sites").join(r, F.col("site_id") == F.col("store"), "left")
-    return s.select("site_id", F.when(F.col("store").isNotNull(), "registry+live").otherwise("live").alias("provenance"), F.coalesce("r_score", "score").alias("score"))
-
+    r = view(spark, sf_dir, "registry").select("store", (F.abs("score") / 10000).alias("confidence"), (F.col("store") % 2 == 0).alias("verified"), F.lit("official").alias("provenance"), F.lit("exact_code").alias("match_method"), F.lit(True).alias("official_matched"))
+    s = view(spark, sf_dir, "sites")
+    s = s.withColumn("completeness", M.completeness(F.col("registry_status").isNotNull(), F.col("live_status").isNotNull(), F.col("coord_resolved"), F.col("is_primary")))
+    out = M.with_fallback(s.join(r, F.col("site_id") == F.col("store"), "left"))
+    return out.select("site_id", "confidence", "verified", "provenance", "match_method")
 
-@query("so2_reason_order", oracle(RESOLVED + "SELECT site_id, reason FROM x WHERE NOT in_supply ORDER BY reason, site_id LIMIT 50"))
-def reason_order(spark, sf_dir):
-    from hexsite.operators import supply as S
-
-    return S.split_supply(sites(spark, sf_dir))[1].select("site_id", "reason").orderBy("reason", "site_id").limit(50)
 
-
-@query("so2_reason_priority", oracle(RESOLVED + """SELECT site_id, reason FROM x WHERE NOT in_supply ORDER BY CASE reason WHEN 'CROSS_SOURCE_DUP' THEN 1 WHEN 'ACCESS_UNKNOWN' THEN 2 WHEN 'OUT_OF_SERVICE' THEN 3
+@query("so2_reason_order", oracle(RESOLVED + """SELECT site_id, reason FROM x WHERE NOT in_supply ORDER BY CASE reason WHEN 'CROSS_SOURCE_DUP' THEN 1 WHEN 'ACCESS_UNKNOWN' THEN 2 WHEN 'OUT_OF_SERVICE' THEN 3
   WHEN 'COORD_PLACEHOLDER' THEN 4 WHEN 'COORD_OUTSIDE_ADMIN' THEN 5 ELSE 6 END, site_id"""))
-def reason_priority(spark, sf_dir):
-    """All excluded sites; so2_reason_order is the head of another order, as its SQL says."""
+def reason_order(spark, sf_dir):
+    """All excluded sites, by the reason's priority and then by id."""
     from hexsite.operators import supply as S
 
     return S.reported(S.split_supply(sites(spark, sf_dir))[1].select("site_id", "reason"), "site_id")

@@ -99,19 +99,44 @@ def slugs(spark, sf_dir):
     return view(spark, sf_dir, "sites").select("site_id", slug(both).alias("slug"), province_code(F.col("code")).alias("province_code"), valid_code(F.col("code")).alias("ok"))
 
 
-@query("wn2_survivor", oracle(RESOLVED + """
-SELECT site_id, province, row_number() OVER (PARTITION BY province ORDER BY in_supply DESC, score DESC, site_id) = 1 AS is_survivor,
-  first_value(site_id) OVER (PARTITION BY province ORDER BY in_supply DESC, score DESC, site_id) AS survivor FROM x"""))
+@query("flt1_in_scope", oracle("SELECT site_id FROM sites WHERE site_id % 9 <> 0"))
+def in_scope(spark, sf_dir):
+    kind = F.when(F.col("site_id") % 9 == 0, "BATTERY_SWAP").when(F.col("site_id") % 4 != 0, "VINFAST_CS")
+    return S.in_scope(view(spark, sf_dir, "sites").withColumn("station_type", kind)).select("site_id")
+
+
+@query("flt8_national_area", oracle("SELECT site_id, lat + (site_id % 40) / 10e0 BETWEEN 8e0 AND 23.7e0 AND lng + (site_id % 70) / 10e0 BETWEEN 102e0 AND 110e0 AS inside FROM sites"))
+def national(spark, sf_dir):
+    from hexsite.functions.geo import resolve_area
+
+    s = view(spark, sf_dir, "sites").select("site_id", (F.col("lat") + (F.col("site_id") % 40) / F.lit(10.0)).alias("lat"), (F.col("lng") + (F.col("site_id") % 70) / F.lit(10.0)).alias("lng"))
+    return s.select("site_id", resolve_area(None).contains("lat", "lng").alias("inside"))
+
+
+@query("flt11_keywords", oracle("SELECT c_custkey AS k FROM customer WHERE regexp_matches(lower(c_name || ' ' || coalesce(c_mktsegment, '')), 'auto|house|00[13]$')"))
+def keywords(spark, sf_dir):
+    from hexsite.functions.columns import any_keyword
+    from hexsite.plans.projections import tables
+
+    c = tables(spark, sf_dir, "customer")["customer"]
+    return c.filter(any_keyword(["auto", "house", "00[13]$"], F.col("c_name"), F.col("c_mktsegment"))).select(F.col("c_custkey").alias("k"))
+
+
+@query("wn2_survivor", oracle("""
+WITH s AS (SELECT site_id, province, site_id % 5 = 0 AS exact, site_id % 3 = 0 AS matched, round(score / 5000e0) AS confidence, site_id % 2 = 0 AS has_series FROM sites)
+SELECT site_id, province, row_number() OVER w = 1 AS is_survivor, first_value(site_id) OVER w AS survivor FROM s
+WINDOW w AS (PARTITION BY province ORDER BY exact DESC, matched DESC, confidence DESC, has_series DESC, site_id)"""))
 def survivor(spark, sf_dir):
-    df = sites(spark, sf_dir).withColumn("in_supply", S.supply_mask())
-    # the aggregate needs no sort, and a province may be very large
-    best = df.groupBy("province").agg(F.min_by("site_id", F.struct(~F.col("in_supply"), -F.col("score"), "site_id")).alias("survivor"))
-    return df.join(best, "province").select("site_id", "province", (F.col("site_id") == F.col("survivor")).alias("is_survivor"), "survivor")
+    from hexsite.operators.match import with_survivor
+
+    i = F.col("site_id")
+    s = view(spark, sf_dir, "sites").select(i.alias("id"), "site_id", F.col("province").alias("group"), (i % 5 == 0).alias("exact"), (i % 3 == 0).alias("matched"), F.round(F.col("score") / 5000).alias("confidence"), (i % 2 == 0).alias("has_series"))
+    return with_survivor(s).select("site_id", F.col("group").alias("province"), F.col("is_primary").alias("is_survivor"), "survivor")
 
 
 @query("flt5_anchor_filter", oracle(RESOLVED + """
 SELECT site_id FROM x WHERE op_status <> 'OUT_OF_SERVICE' AND access <> 'RESTRICTED' AND coalesce(is_primary, false) AND coord_resolved
-  AND 2e0 * 6371.0088e0 * asin(least(1e0, sqrt(pow(sin(radians(lat - 21.0285e0) / 2e0), 2e0) + cos(radians(21.0285e0)) * cos(radians(lat)) * pow(sin(radians(lng - 105.8542e0) / 2e0), 2e0)))) <= 30e0"""))
+  AND 2e0 * 6371.0088e0 * asin(least(1e0, sqrt(pow(sin(radians(lat - 21.0278e0) / 2e0), 2e0) + cos(radians(21.0278e0)) * cos(radians(lat)) * pow(sin(radians(lng - 105.8342e0) / 2e0), 2e0)))) <= 30e0"""))
 def anchor_filter(spark, sf_dir):
     from hexsite.functions.geo import resolve_area
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hexsite.functions.geo import haversine_sql
 from hexsite.operators import connectors as C
+from hexsite.operators import spatial as X
 from hexsite.operators import stats as T
 from hexsite.operators import telemetry as M
 from hexsite.plans.catalogue import query
@@ -17,20 +19,24 @@ def merge_union(spark, sf_dir):
 
 
 PROFILE = """
-WITH l AS (SELECT *, hour < lag(hour) OVER (PARTITION BY station ORDER BY seq) AS back FROM telemetry),
-p AS (SELECT station, count(*) AS n, min(hour) AS t_min, max(hour) AS t_max, min(cars) AS v_min, max(cars) AS v_max, count_if(cars IS NULL) AS n_null,
-  count_if(cars < 0) AS n_negative, count(hour) - count(DISTINCT hour) AS n_repeated, count_if(back) = 0 AS monotonic FROM l GROUP BY 1)
+WITH v AS (SELECT station, hour, seq, CASE WHEN seq % 89 = 0 THEN NULL WHEN seq % 97 = 0 THEN 'n/a' WHEN seq % 101 = 0 THEN '-2' ELSE CAST(cars AS VARCHAR) END AS cars FROM telemetry),
+l AS (SELECT *, TRY_CAST(cars AS DOUBLE) AS number, hour < lag(hour) OVER (PARTITION BY station ORDER BY seq) AS back FROM v),
+p AS (SELECT station, count(*) AS n, min(hour) AS t_min, max(hour) AS t_max, min(number) AS v_min, max(number) AS v_max, count_if(cars IS NULL) AS n_null,
+  count_if(number < 0) AS n_negative, count_if(cars IS NOT NULL AND number IS NULL) AS n_nonnum, count(hour) - count(DISTINCT hour) AS n_repeated, count_if(back) = 0 AS monotonic FROM l GROUP BY 1)
 """
 
 
 @query("ag1_series_profile", oracle(PROFILE + "SELECT * FROM p"))
 def series_profile(spark, sf_dir):
-    return M.profile(view(spark, sf_dir, "telemetry"))
+    """Readings as text, some of them missing, negative or no numbers."""
+    k = F.col("seq")
+    text = F.when(k % 89 == 0, None).when(k % 97 == 0, "n/a").when(k % 101 == 0, "-2").otherwise(F.col("cars").cast("string"))
+    return M.profile(view(spark, sf_dir, "telemetry").withColumn("cars", text))
 
 
 @query("ms4_quality_flag", oracle(PROFILE + """
 SELECT station, concat_ws(';', CASE WHEN n_repeated > 0 THEN 'DUP_TS' END, CASE WHEN NOT monotonic THEN 'NONMONOTONIC' END, CASE WHEN n_negative > 0 THEN 'NEG_VALUE' END,
-  CASE WHEN n_null > 0 THEN 'NONNUMERIC' END, CASE WHEN v_max = 0 THEN 'ALL_ZERO' END, CASE WHEN n < 24 THEN 'SPARSE' END) AS flag FROM p"""))
+  CASE WHEN n_nonnum > 0 THEN 'NONNUMERIC' END, CASE WHEN v_max = 0 THEN 'ALL_ZERO' END, CASE WHEN n < 24 THEN 'SPARSE' END) AS flag FROM p"""))
 def quality_flag(spark, sf_dir):
     return series_profile(spark, sf_dir).select("station", M.quality_flag().alias("flag"))
 
@@ -84,15 +90,19 @@ WITH r AS (SELECT station, CASE WHEN bool_or(current_type = 'AC') AND bool_or(cu
 """
 
 
-@query("ag2_rollup", oracle(ROLL + "SELECT station, current_type, max_kw, round(total_kw, 4) AS total_kw, n_guns FROM r"))
+LABELS = """, d AS (SELECT DISTINCT station, current_type || '-' || regexp_replace(printf('%.3f', kw), '\\.?0+$', '') || 'kW' AS label FROM guns), b AS (SELECT station, string_agg(label, ';' ORDER BY label) AS labels FROM d GROUP BY 1)
+"""
+
+
+@query("ag2_rollup", oracle(ROLL + LABELS + "SELECT r.station, current_type, max_kw, round(total_kw, 4) AS total_kw, n_guns, labels FROM r JOIN b ON r.station = b.station"))
 def rollup(spark, sf_dir):
-    return C.rollup(view(spark, sf_dir, "guns")).withColumn("total_kw", F.round("total_kw", 4)).drop("labels")
+    return C.rollup(view(spark, sf_dir, "guns")).withColumn("total_kw", F.round("total_kw", 4)).withColumn("labels", F.array_join("labels", ";"))
 
 
-@query("jn2_attach_rollup", oracle(ROLL + "SELECT o_orderkey AS station, coalesce(n_guns, 0) AS n_guns, max_kw FROM orders LEFT JOIN r ON o_orderkey = station AND n_guns > 100"))
+@query("jn2_attach_rollup", oracle(ROLL + "SELECT o_orderkey AS station, coalesce(n_guns, 0) AS n_guns, max_kw FROM orders LEFT JOIN r ON o_orderkey = station * 2"))
 def attach(spark, sf_dir):
     stations = tables(spark, sf_dir, "orders")["orders"].select(F.col("o_orderkey").alias("station"))
-    return C.attach(stations, C.rollup(view(spark, sf_dir, "guns")).filter("n_guns > 100")).select("station", "n_guns", "max_kw")
+    return C.attach(stations, C.rollup(view(spark, sf_dir, "guns").withColumn("station", F.col("station") * 2))).select("station", "n_guns", "max_kw")
 
 
 CAB = """
@@ -106,18 +116,49 @@ def cabinet(spark, sf_dir):
     return C.cabinets(view(spark, sf_dir, "guns")).withColumnRenamed("guns", "n").withColumn("nameplate_kw", F.round("nameplate_kw", 4)).withColumn("site_kw", F.round("site_kw", 4))
 
 
-@query("ag3_all_same_class", oracle("SELECT station, CASE WHEN bool_and(current_type = 'DC') THEN 'CAR' ELSE 'UNVERIFIED' END AS class FROM guns GROUP BY 1"))
-def all_same(spark, sf_dir):
-    return view(spark, sf_dir, "guns").groupBy("station").agg(F.when(F.every(F.col("current_type") == "DC"), "CAR").otherwise("UNVERIFIED").alias("class"))
+STANDARDS = """
+WITH reg AS (SELECT station % 500 AS code, round(kw, 1) AS kw1, station, idx, CASE idx % 3 WHEN 0 THEN 'CCS2' WHEN 1 THEN 'TYPE2' ELSE 'CHADEMO' END AS standard, CASE WHEN idx % 3 = 1 THEN 'AC' ELSE 'DC' END AS current FROM guns WHERE station % 2 = 1),
+f AS (SELECT code, kw1, arg_min(standard, (station, idx)) AS standard, arg_min(current, (station, idx)) AS current FROM reg GROUP BY 1, 2),
+c AS (SELECT g.station, g.idx, g.kw, coalesce(f.standard, 'UNKNOWN') AS connector_standard, coalesce(f.current, g.current_type) AS current_type, CASE WHEN f.standard IN ('CCS2', 'TYPE2') THEN 'CAR' ELSE 'UNVERIFIED' END AS vehicle_class
+  FROM guns g LEFT JOIN f ON g.station % 500 = f.code AND round(g.kw, 1) = f.kw1)
+"""
 
 
-@query("jn4_first_wins_lookup", oracle("""
-WITH f AS (SELECT kw, arg_min(station * 10 + idx, station * 10 + idx) AS first_ref, count(*) AS c FROM guns GROUP BY kw)
-SELECT g.station, g.idx, f.first_ref FROM guns g LEFT JOIN f ON g.kw = f.kw"""))
-def first_wins(spark, sf_dir):
+def _with_standards(spark, sf_dir):
     g = view(spark, sf_dir, "guns")
-    first = g.groupBy("kw").agg(F.min(F.col("station") * 10 + F.col("idx")).alias("first_ref"))
-    return g.join(first, "kw", "left").select("station", "idx", "first_ref")
+    i = F.col("idx") % 3
+    reg = g.filter("station % 2 = 1").select((F.col("station") % 500).alias("code"), "kw", "station", "idx", F.when(i == 0, "CCS2").when(i == 1, "TYPE2").otherwise("CHADEMO").alias("standard"), F.when(i == 1, "AC").otherwise("DC").alias("current"))
+    first = C.first_standard(reg, order=["station", "idx"])
+    return C.with_standard(g.withColumn("code", F.col("station") % 500), first)
+
+
+@query("jn4_first_wins_lookup", oracle(STANDARDS + "SELECT station, idx, connector_standard, current_type, vehicle_class FROM c"))
+def first_wins(spark, sf_dir):
+    """By code and power to one decimal; of the registry's, the first of each wins."""
+    return _with_standards(spark, sf_dir).select("station", "idx", "connector_standard", "current_type", "vehicle_class")
+
+
+@query("ag3_all_same_class", oracle(STANDARDS + "SELECT o_orderkey * 2 AS station, CASE WHEN k.n IS NULL THEN 'UNKNOWN' WHEN k.n = k.cars THEN 'CAR' ELSE 'UNVERIFIED' END AS class FROM orders LEFT JOIN (SELECT station, count(*) AS n, count_if(vehicle_class = 'CAR') AS cars FROM c GROUP BY 1) k ON o_orderkey * 2 = k.station"))
+def all_same(spark, sf_dir):
+    """Stations without connectors are unknown."""
+    stations = tables(spark, sf_dir, "orders")["orders"].select((F.col("o_orderkey") * 2).alias("station"))
+    return C.vehicle_class(stations, _with_standards(spark, sf_dir)).select("station", F.col("vehicle_class").alias("class"))
+
+
+@query("json_ocpi_flatten", oracle("""
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS store, 'e' || e AS evse, CASE WHEN e = 0 THEN 'cab' END AS cabinet, CASE WHEN c = 0 THEN 'CCS2' ELSE 'TYPE2' END AS standard, (event_id % 90 + 10) / 1e0 AS kw, c = 0 AS is_dc
+FROM events, (SELECT unnest(range(0, 2)) AS e), (SELECT unnest(range(0, 2)) AS c) WHERE e = 0 OR c = 0"""))
+def ocpi(spark, sf_dir):
+    """Two charge points a location, of two connectors and one; every location has a third without any."""
+    e = tables(spark, sf_dir, "events")["events"].select("event_id").distinct()
+    k = F.col("event_id").cast("string")
+    w = ((F.col("event_id") % 90 + 10) * 1000).cast("string")
+    plug = lambda n, s, t: F.concat(F.lit(f'{{"id":"{n}","standard":"{s}","power_type":"{t}","max_electric_power":'), w, F.lit("}"))
+    payload = F.concat(
+        F.lit('{"id":"'), k, F.lit('","evses":[{"uid":"e0","physical_reference":"cab","status":"AVAILABLE","connectors":['), plug(1, "CCS2", "DC"), F.lit(","), plug(2, "TYPE2", "AC_3_PHASE"),
+        F.lit(']},{"uid":"e1","status":"X","connectors":['), plug(1, "CCS2", "DC"), F.lit(']},{"uid":"e2","connectors":[]}]}'),
+    )
+    return C.flattened(e.select(payload.alias("p")), "p").select("store", "evse", "cabinet", "standard", "kw", "is_dc")
 
 
 ASSETS = CAB.replace("AS guns,", "AS reg_guns,") + """,
@@ -180,23 +221,39 @@ def spearman(spark, sf_dir):
     return T.spearman(tables(spark, sf_dir, "orders")["orders"], "o_totalprice", "o_custkey").withColumn("rho", F.round("rho", 9))
 
 
-@query("wn12_terciles", oracle("""
-WITH r AS (SELECT site_id, province, row_number() OVER (PARTITION BY province ORDER BY score, site_id) AS k, count(*) OVER (PARTITION BY province) AS n FROM sites)
-SELECT site_id, CASE WHEN 3 * (k - 1) < n - 1 THEN 'low' WHEN 3 * (k - 1) < 2 * (n - 1) THEN 'mid' ELSE 'high' END AS tercile FROM r"""))
+THIRDS = """
+WITH r AS (SELECT site_id, score, row_number() OVER (ORDER BY coalesce(score, 0), site_id) AS k, count(*) OVER () AS n FROM sites),
+t AS (SELECT site_id, CASE WHEN 3 * (k - 1) < n - 1 THEN 'low' WHEN 3 * (k - 1) < 2 * (n - 1) THEN 'mid' ELSE 'high' END AS stratum FROM r)
+"""
+
+
+@query("wn12_terciles", oracle(THIRDS + "SELECT site_id, stratum FROM t"))
 def terciles(spark, sf_dir):
-    from pyspark.sql import Window
+    """Thirds of the rank over all sites."""
+    return T.strata(view(spark, sf_dir, "sites").select("site_id", "score"), "site_id", "score")
+
 
-    w = Window.partitionBy("province")
-    r = view(spark, sf_dir, "sites").select("site_id", F.row_number().over(w.orderBy("score", "site_id")).alias("k"), F.count(F.lit(1)).over(w).alias("n"))
-    return r.select("site_id", T.tercile(F.col("k"), F.col("n")).alias("tercile"))
+HITS = THIRDS + f""", h AS (SELECT a.site_id, coalesce(min({haversine_sql("a.lat", "a.lng", "b.lat", "b.lng")}) <= 300e0, false) AS h300, coalesce(min({haversine_sql("a.lat", "a.lng", "b.lat", "b.lng")}) <= 900e0, false) AS h900 FROM sites a, poi b GROUP BY 1),
+j AS (SELECT t.site_id, stratum, CAST(coalesce(h300, false) AS INT) AS h300, CAST(coalesce(h900, false) AS INT) AS h900 FROM t LEFT JOIN h ON t.site_id = h.site_id),
+q AS (SELECT stratum, count(*) AS n, avg(h300) AS r300, avg(h900) AS r900 FROM j GROUP BY 1 UNION ALL SELECT 'ALL', count(*), avg(h300), avg(h900) FROM j)
+"""
+
+
+def _recall(spark, sf_dir):
+    s = view(spark, sf_dir, "sites").select("site_id", "score", "lat", "lng")
+    hit = X.exists_within(s.select("site_id", "lat", "lng"), "site_id", view(spark, sf_dir, "poi").select("poi", "lat", "lng"), [300.0, 900.0])
+    return T.recall(hit.join(T.strata(s, "site_id", "score"), "site_id"), "site_id", {300: "within_300", 900: "within_900"})
 
 
-@query("ag28_recall_bias", oracle("""
-WITH r AS (SELECT site_id, province, row_number() OVER (PARTITION BY province ORDER BY score, site_id) AS k, count(*) OVER (PARTITION BY province) AS n, registry_access = 'Public' AS hit FROM sites)
-SELECT CASE WHEN 3 * (k - 1) < n - 1 THEN 'low' WHEN 3 * (k - 1) < 2 * (n - 1) THEN 'mid' ELSE 'high' END AS tercile, round(avg(CASE WHEN hit THEN 1e0 ELSE 0e0 END), 6) AS recall, count(*) AS n FROM r GROUP BY 1"""))
+@query("ag28_recall_bias", oracle(HITS + "SELECT stratum, n, round(r300, 6) AS recall_300, round(r900, 6) AS recall_900 FROM q"))
 def recall(spark, sf_dir):
-    s = view(spark, sf_dir, "sites").select("site_id", F.coalesce(F.col("registry_access") == "Public", F.lit(False)).alias("hit"))
-    return terciles(spark, sf_dir).join(s, "site_id").groupBy("tercile").agg(F.round(F.avg(F.col("hit").cast("double")), 6).alias("recall"), F.count(F.lit(1)).alias("n"))
+    """Share of sites with a point of interest within each radius, by thirds of score."""
+    return _recall(spark, sf_dir).select("stratum", "n", F.round("recall_300", 6).alias("recall_300"), F.round("recall_900", 6).alias("recall_900"))
+
+
+@query("ag28_bias_ratio", oracle(HITS + "SELECT round((SELECT r900 FROM q WHERE stratum = 'high') / nullif((SELECT r900 FROM q WHERE stratum = 'low'), 0), 6) AS ratio"))
+def bias(spark, sf_dir):
+    return T.bias(_recall(spark, sf_dir), 900).select(F.round("ratio", 6).alias("ratio"))
 
 
 @query("wn14_quantile_filter", oracle("SELECT o_orderkey AS k FROM orders WHERE o_totalprice >= (SELECT quantile_cont(o_totalprice, 0.9) FROM orders)"))

@@ -94,6 +94,94 @@ def first_readable(spark: SparkSession, candidates: list[tuple[str, list[str]]])
     raise FileNotFoundError(", ".join(p for p, _ in candidates))
 
 
+def well_formed(items: DataFrame, announced: int, key: str, kind: str, wanted: str) -> tuple[DataFrame, int]:
+    """(the first row of each key, of the wanted kind; how many items had no key), if there are as many as announced."""
+    whole = complete(items, announced)
+    bad = whole.filter(F.col(key).isNull()).count()
+    fit = whole.filter(F.col(key).isNotNull() & (F.col(kind) == wanted))
+    return first_wins(fit, key, [c for c in fit.columns if c != key]), bad
+
+
+def boundary_lines(relations: DataFrame, ways: DataFrame) -> DataFrame:
+    """(relation, ways, missing): outer ways of each relation, as a list of WKT-free point lists, and how many the table of ways
+    lacks. ``relations``: relation, members array of (way, role); ``ways``: way, points. Two passes become one join."""
+    outer = relations.select("relation", F.explode("members").alias("m")).filter("m.role = 'outer'").select("relation", F.col("m.way").alias("way")).distinct()
+    met = outer.join(ways.select("way", "points"), "way", "left")
+    return met.groupBy("relation").agg(F.collect_list("points").alias("ways"), F.count_if(F.col("points").isNull()).alias("missing"))  # a relation's own ways
+
+
+def quadtree(box: tuple[float, float, float, float], ask, *, cap: int, smallest: float) -> list:
+    """Items of a box (lat0, lng0, lat1, lng1) from a service that answers at most ``cap`` of them: ``ask`` gives a list, or
+    None for an error; a box that fails or is full is asked for in four parts, down to tiles of ``smallest`` degrees, whose
+    answer is taken as it is. Items of several tiles, known by (type, id), stand once."""
+    found, todo = {}, [box]
+    while todo:
+        a, b, c, d = todo.pop()
+        got = ask((a, b, c, d))
+        if (got is None or len(got) >= cap) and max(c - a, d - b) > smallest:
+            y, x = (a + c) / 2, (b + d) / 2
+            todo += [(a, b, y, x), (a, x, y, d), (y, b, c, x), (y, x, c, d)]
+        else:
+            for item in got or []:
+                found.setdefault((item["type"], item["id"]), item)
+    return list(found.values())
+
+
+def seed_grid(box: tuple[float, float, float, float], step_km: float) -> list[tuple[float, float]]:
+    """Points over a box, rows staggered by half a step."""
+    import math
+
+    lat0, lng0, lat1, lng1 = box
+    down = step_km * math.sqrt(3) / 2 / 111.32
+    out, row, lat = [], 0, lat0
+    while lat <= lat1 + 1e-12:
+        across = step_km / (111.32 * math.cos(math.radians(lat)))
+        lng = lng0 + (across / 2 if row % 2 else 0.0)
+        while lng <= lng1 + 1e-12:
+            out.append((lat, lng))
+            lng += across
+        row += 1
+        lat = lat0 + row * down
+    return out
+
+
+def proven_radius(distances: list[float], cap: int) -> float:
+    """What a reply of the nearest stations proves to be covered: a full one the disk of its farthest, a shorter one nothing."""
+    return max(distances) if len(distances) >= cap else 0.0
+
+
+#: declared sources: what they are, under which licence, and of which vintage
+class Source:
+    def __init__(self, name: str, members: list[str], licence: str, vintage: str):
+        self.name, self.members, self.licence, self.vintage = name, members, licence, vintage
+
+
+def missing_members(source: Source, present: set[str]) -> list[str]:
+    """Declared members that aren't there, in order."""
+    return [m for m in source.members if m not in present]
+
+
+def telemetry_tier(path: str, tiers: dict[str, str], default: str, run: str | None = None) -> str:
+    """The sampling tier a folder's name says; any other than the default one must be asked for by run, as tiers are never mixed."""
+    tier = next((t for part, t in tiers.items() if part in path.split("/")), default)
+    if tier != default and run is None:
+        raise ValueError(f"{path} is of tier {tier}: name the run")
+    return tier
+
+
+def frozen(spark: SparkSession, path: str, fetch, *, refetch: bool = False) -> DataFrame:
+    """The stored raw table if there is one; else, or if asked to, fetched and stored."""
+    from pyspark.errors import AnalysisException
+
+    if not refetch:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass
+    fetch().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def complete(df: DataFrame, announced: int) -> DataFrame:
     """The rows, if they are as many as the source announced."""
     n = df.count()

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexsite.operators.gates import GateFailed, enforce
+from hexsite.operators.gates import GateFailed, passed
 
 
 def _fs(spark: SparkSession, path: str):
@@ -24,9 +24,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(own, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
-    if not fs.rename(own, p):
-        raise OSError(f"{path} can't be put in place")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    # one step, so readers find the old file or the new one
+    hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(own, p, how)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -54,7 +57,7 @@ def write_if(df: DataFrame, path: str, report: DataFrame, report_path: str | Non
     if report_path:
         failed = [r["gate"] for r in rows if r["status"] == "FAIL"]
         write_text(spark, report_path, json.dumps({"gates": [r.asDict() for r in rows], "overall": "FAIL" if failed else "PASS"}, ensure_ascii=False))
-    enforce(report)
+    passed(rows)
     df.write.mode("overwrite").parquet(path)
 
 
@@ -84,6 +87,27 @@ def feature_lines(df: DataFrame, lat: str, lng: str) -> DataFrame:
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*clean).alias("properties")), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def feature_collection(df: DataFrame, path: str, lat: str = "lat", lng: str = "lng", *, most: int = 100_000) -> None:
+    """One FeatureCollection in one file, for viewers; for tables of up to ``most`` rows, which are counted first."""
+    n = df.count()
+    if n > most:
+        raise ValueError(f"{n} rows of {most}: use geojson()")
+    lines = [r["value"] for r in feature_lines(df, lat, lng).collect()]
+    write_text(df.sparkSession, path, '{"type": "FeatureCollection", "features": [' + ",\n".join(lines) + "]}")
+
+
+def dump_flagged(df: DataFrame, flags: str, wanted: list[str], path: str, columns: list[str]) -> None:
+    """Rows with one of the flags, for eyes: CSV with a header."""
+    from hexsite.functions.columns import has_any
+
+    csv_with_bom(df.filter(has_any(F.col(flags), wanted)).select(*columns, flags), path)
+
+
+def series_files(df: DataFrame, path: str, key: str, at: str) -> None:
+    """Series partitioned by key, each sorted by time."""
+    df.repartition(key).sortWithinPartitions(key, at).write.mode("overwrite").partitionBy(key).parquet(path)
+
+
 def geojson(df: DataFrame, path: str, lat: str = "lat", lng: str = "lng") -> None:
     """Line-delimited features, in as many files as there are partitions."""
     feature_lines(df, lat, lng).write.mode("overwrite").text(path)
@@ -102,6 +126,47 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
+def bundle(spark: SparkSession, target: str, tables: dict[str, DataFrame], *, required: dict[str, list[str]], keys: dict[str, list[str]], forbidden: list[str] = ()) -> DataFrame:
+    """A hand-off: tables are checked (columns, unique keys), written beside the target, listed with their digests and put in
+    place in one step. A target that exists is never overwritten. Gives the manifest."""
+    from hexsite.sources.readers import assert_schema
+
+    fs, place = _fs(spark, target)
+    if fs.exists(place):
+        raise FileExistsError(target)
+    own = f"{target}.{uuid.uuid4().hex}.tmp"
+    for name, df in tables.items():
+        assert_schema(df, required.get(name, []), forbidden)
+        if name in keys and df.groupBy(*keys[name]).count().filter("count > 1").limit(1).count():
+            raise ValueError(f"{name}: {keys[name]} repeat")
+        df.write.parquet(f"{own}/{name}")
+    rows = [(r["path"].rpartition(".tmp/")[2], r["size"], r["sha256"]) for r in manifest(spark, own).collect()]  # a row a file
+    write_text(spark, f"{own}/MANIFEST.json", json.dumps({"files": [{"path": p, "size": n, "sha256": h} for p, n, h in sorted(rows)], "tree": tree_of(rows)}))
+    if not fs.rename(_fs(spark, own)[1], place):
+        raise OSError(f"{target} can't be put in place")
+    return spark.createDataFrame(rows, "path string, size long, sha256 string")
+
+
+def tree_of(rows: list[tuple[str, int, str]]) -> str:
+    """SHA-256 over ``path, size, sha256`` of files in the order of their paths."""
+    import hashlib
+
+    return hashlib.sha256("\n".join(f"{p}\t{n}\t{h}" for p, n, h in sorted(rows)).encode()).hexdigest()
+
+
+def freeze(spark: SparkSession, root: str, text: str, version: str) -> None:
+    """A new MANIFEST.json; the one before is kept under its version, and a version is never written twice."""
+    fs, now = _fs(spark, f"{root}/MANIFEST.json")
+    if fs.exists(now):
+        old = json.loads(read_text(spark, f"{root}/MANIFEST.json")).get("version", "unknown")
+        kept = _fs(spark, f"{root}/MANIFEST-{old}.json")[1]
+        if old == version or fs.exists(kept):
+            raise FileExistsError(f"{root}: version {old}")
+        if not fs.rename(now, kept):
+            raise OSError(f"{root}: the manifest can't be kept")
+    write_text(spark, f"{root}/MANIFEST.json", json.dumps({"version": version, **json.loads(text)}))
+
+
 def verify_manifest(have: DataFrame, want: DataFrame) -> DataFrame:
     """One row a file that is missing, unexpected or different."""
     a, b = have.select("path", F.struct("size", "sha256").alias("h")), want.select("path", F.struct("size", "sha256").alias("w"))
@@ -110,4 +175,4 @@ def verify_manifest(have: DataFrame, want: DataFrame) -> DataFrame:
     return both.select("path", state.alias("state")).filter("state IS NOT NULL")
 
 
-__all__ = ["GateFailed", "csv_with_bom", "feature_lines", "geojson", "list_text", "manifest", "quarantine", "read_generation", "read_text", "tree_digest", "verify_manifest", "write_generation", "write_if", "write_text"]
+__all__ = ["GateFailed", "bundle", "csv_with_bom", "dump_flagged", "feature_collection", "feature_lines", "freeze", "geojson", "list_text", "manifest", "quarantine", "read_generation", "read_text", "series_files", "tree_digest", "tree_of", "verify_manifest", "write_generation", "write_if", "write_text"]

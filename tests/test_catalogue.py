@@ -14,8 +14,6 @@ from hexsite.plans.projections import TABLES
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data here")
 ORACLES = catalogue.oracle_sql()
-#: their oracles walk all paths of a graph, which takes long; the graph's own tests cover them
-SLOW = {"gr5_clusters", "gr6_degurba"}
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +35,7 @@ def plain(v):
     return repr(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, duck, name):
     df = catalogue.queries()[name](spark, DATA)
     columns = sorted(df.columns)

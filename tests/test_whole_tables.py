@@ -32,7 +32,7 @@ def near(spark):
 
 def test_coverage_is_of_all_sites(spark, near):
     sets, pop = near
-    rows = {r["site_id"]: r["n"] for r in catalogue.queries()["jn29_coverage_all_sites"](spark, DATA).collect()}
+    rows = {r["site_id"]: r["n"] for r in catalogue.queries()["jn29_coverage"](spark, DATA).collect()}
     assert rows == {s: len(c) for s, c in sets.items() if c}
     assert any(s % 10 for s in rows)
     one = catalogue.entry(spark, DATA).first()
@@ -53,14 +53,14 @@ def test_greedy_chooses_from_all_sites(spark, near):
 
 def test_all_excluded_sites_by_priority(spark):
     rank = ["CROSS_SOURCE_DUP", "ACCESS_UNKNOWN", "OUT_OF_SERVICE", "COORD_PLACEHOLDER", "COORD_OUTSIDE_ADMIN", "RESTRICTED"]
-    got = [tuple(r) for r in catalogue.queries()["so2_reason_priority"](spark, DATA).collect()]
+    got = [tuple(r) for r in catalogue.queries()["so2_reason_order"](spark, DATA).collect()]
     every = [tuple(r) for r in catalogue.queries()["flt6_exclusion_reason"](spark, DATA).collect()]
     assert len(got) > 50
     assert got == sorted(every, key=lambda r: (rank.index(r[1]), r[0]))
 
 
 def test_every_site_is_matched_once(spark):
-    codes = [r["code"] for r in catalogue.queries()["c4_match_confidence_all_sites"](spark, DATA).collect()]
+    codes = [r["code"] for r in catalogue.queries()["c4_match_confidence"](spark, DATA).collect()]
     assert sorted(int(c.lstrip("x")) for c in codes) == sorted(r["site_id"] for r in view(spark, DATA, "sites").select("site_id").collect())
 
 
