@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from hexsite.config import DEFAULT
 from hexsite.functions.columns import power_label, truth, with_flag
 
-POWERS = "array<struct<type:string,totalEvse:string>>"
-
-
 def groups_of(payload: str) -> Column:
-    """(watts, guns) groups of a JSON list; what doesn't parse, and groups with neither, are skipped."""
-    raw = F.transform(F.from_json(payload, POWERS), lambda g: F.struct(F.coalesce(g["type"].try_cast("bigint"), F.when(g["type"].isNull(), F.lit(0))).alias("w"), F.coalesce(g["totalEvse"].try_cast("bigint"), F.when(g["totalEvse"].isNull(), F.lit(0))).alias("n")))
+    """(watts, guns) groups of a JSON list; elements that are no objects, fields that are no whole numbers, and groups with
+    neither watts nor guns, are skipped; so is all of a text that is no list."""
+    field = lambda g, name: F.get_json_object(g, f"$.{name}")
+    number = lambda g, name: F.coalesce(field(g, name).try_cast("bigint"), F.when(field(g, name).isNull(), F.lit(0)))
+    raw = F.transform(F.from_json(payload, "array<string>"), lambda g: F.struct(number(g, "type").alias("w"), number(g, "totalEvse").alias("n")))
     return F.coalesce(F.filter(raw, lambda g: g["w"].isNotNull() & g["n"].isNotNull() & ((g["w"] > 0) | (g["n"] > 0))), F.array().cast("array<struct<w:bigint,n:bigint>>"))
 
 

@@ -134,7 +134,7 @@ def retotal(cells: DataFrame, *, commune="commune", pop="pop", built="built", ba
     far = truth((F.col("_census") > 0) & (F.col("_pop") > t.retotal_ratio * F.col("_census")))
     target = F.when(far, t.census_ratio * F.col("_census")).otherwise(F.col("_pop"))
     new = F.when(hit & can, target * F.coalesce(F.col(built), F.lit(0.0)) / F.col("_built")).otherwise(F.col(pop))
-    why = F.when(hit & can, F.when(far, "RETOTALED_DANSO").otherwise("REDISTRIBUTED")).when(F.col("_bad"), "UNREPAIRED_NO_BUILTUP").otherwise("WORLDPOP")
+    why = F.when(hit & can, F.when(far, "RETOTALED_DANSO").otherwise("REDISTRIBUTED")).when(F.col("_bad") & F.col(commune).isNotNull(), "UNREPAIRED_NO_BUILTUP").otherwise("WORLDPOP")
     out = out.withColumn("pop_new", new).withColumn("pop_src", why)
     old = out.filter("NOT _new").drop("_bad", "_any", "_pop", "_built", "_census", "_new")
     if empty is None:

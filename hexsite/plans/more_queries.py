@@ -111,7 +111,7 @@ s AS (SELECT commune, sum(pop) AS p, sum(built) AS b FROM a WHERE commune IS NOT
 h AS (SELECT commune, bool_or(bad) AS hit, max(census) AS c FROM l WHERE commune IS NOT NULL GROUP BY 1),
 k AS (SELECT s.commune, p, b, c, coalesce(hit, false) AND b > 0 AS moves, coalesce(c > 0 AND p > 1.5e0 * c, false) AS far FROM s LEFT JOIN h ON s.commune = h.commune)
 SELECT cell, round(CASE WHEN coalesce(moves, false) THEN CASE WHEN far THEN 0.859e0 * c ELSE p END * built / b ELSE pop END, 5) AS pop_new,
-  CASE WHEN coalesce(moves, false) THEN CASE WHEN far THEN 'RETOTALED_DANSO' ELSE 'REDISTRIBUTED' END WHEN bad THEN 'UNREPAIRED_NO_BUILTUP' ELSE 'WORLDPOP' END AS pop_src FROM l LEFT JOIN k ON l.commune = k.commune
+  CASE WHEN coalesce(moves, false) THEN CASE WHEN far THEN 'RETOTALED_DANSO' ELSE 'REDISTRIBUTED' END WHEN bad AND l.commune IS NOT NULL THEN 'UNREPAIRED_NO_BUILTUP' ELSE 'WORLDPOP' END AS pop_src FROM l LEFT JOIN k ON l.commune = k.commune
 UNION ALL SELECT cell, round(CASE WHEN far THEN 0.859e0 * c ELSE p END * built / b, 5), CASE WHEN far THEN 'RETOTALED_DANSO' ELSE 'REDISTRIBUTED' END FROM m JOIN k ON m.commune = k.commune WHERE moves"""))
 def retotal(spark, sf_dir):
     """Some communes have a census of 0, and some built-up cells aren't in the table."""
