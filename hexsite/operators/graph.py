@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hexsite.sources.shared import stored
 
-AT_ONCE, HUBS = 1 << 20, 500
+AT_ONCE, HUBS = 1 << 18, 500
 
 
 def labels_of(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
