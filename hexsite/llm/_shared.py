@@ -149,7 +149,7 @@ def annotate(df: DataFrame, text: str, keep: list[str], fields: dict[str, pa.Dat
         for batch in gathered(batches, gather) if gather else batches:
             rows = batch.column(0)
             texts = utf8(rows.field(at) if inside else batch.column(1))
-            for a, b in slices(texts, max(gather, 4 << 20)):
+            for a, b in slices(texts, max(gather, 2 << 20)):
                 out = f(texts[a:b])
                 arrays = [rows.slice(a, b - a), *[x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, fields.values(), strict=True)]]
                 yield pa.RecordBatch.from_arrays(arrays, names=["keep", *fields])

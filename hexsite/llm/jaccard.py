@@ -265,7 +265,8 @@ def candidate_ties(nodes: DataFrame, threshold: float, recall: float, estimate:
     blocks = late.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP // 2)).cast("int").alias("blocks"))
     own = late.join(blocks.hint("merge"), "key").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "digest", "brief")
-    second = pairs.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "digest").mapInArrow(released(meet), schema)
+    # stored, so that no task runs two Python workers at once: this one and that of the components
+    second = stored(pairs.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "digest").mapInArrow(released(meet), schema), "forest-meetings")
     return first.filter("b IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
 
