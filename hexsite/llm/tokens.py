@@ -211,7 +211,7 @@ class Pieces:
     the library, many as one line, cut again by the tokens' byte lengths. A table of ``most`` pieces is begun anew.
     """
 
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 1_600_000):
         import os
 
         from tokenizers import Tokenizer, pre_tokenizers
@@ -372,7 +372,7 @@ def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str
             a = held = 0
             for b, n in enumerate(pc.binary_length(batch.column(1)).to_pylist(), 1):
                 held += n
-                if held < 2 << 20 and b < batch.num_rows:
+                if held < 4 << 20 and b < batch.num_rows:
                     continue
                 ids = pieces.encode(utf8(batch.column(1).slice(a, b - a)))
                 got = np.bincount(np.frombuffer(b"".join(ids), pieces.kind))

@@ -55,6 +55,17 @@ def test_stages(spark, docs, texts, folder):
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, folder).collect()) == sorted(tuple(r) for r in last)
 
 
+def test_an_empty_table(spark, docs, folder, tmp_path):
+    empty = tmp_path / "none"
+    docs.limit(0).write.parquet(str(empty / "documents.parquet"))
+    spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(str(empty / "benchmark.parquet"))
+    out = spark.read.parquet(str(empty / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, out, str(empty))
+        assert out.columns == docs.columns and out.count() == 0, name
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
 def test_the_rest_stands_alone(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py"))
