@@ -26,7 +26,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
-MODULES = ("supply_queries", "telemetry_queries", "spatial_queries", "misc_queries", "more_queries", "gate_queries")
+MODULES = ("supply_queries", "telemetry_queries", "spatial_queries", "misc_queries", "more_queries", "gate_queries", "entity_queries")
 
 
 def _load() -> None:
