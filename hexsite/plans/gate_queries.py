@@ -44,7 +44,7 @@ def _sql(table: str, *rows: tuple) -> str:
 def _gates(name: str, table: str, gates, *rows: tuple) -> None:
     @query(name, oracle(_sql(table, *rows)))
     def run(spark, sf_dir):
-        return _report(_table(spark, sf_dir, table), gates)
+        return _report(_table(spark, sf_dir, table), gates())
 
 
 _FLAG = "coalesce(list_contains(string_split(flags, ';'), '{0}'), false)"
@@ -54,7 +54,7 @@ _gates(
     """SELECT site_id AS id, CASE WHEN site_id % 50 = 3 THEN site_id - 1 WHEN site_id % 10 = 1 THEN site_id - 1 ELSE site_id END AS physical, site_id % 10 <> 1 AS is_primary,
        CASE WHEN site_id % 10 < 2 AND site_id % 70 <> 1 THEN site_id - site_id % 10 END AS grp0, 'coord_name' AS method,
        site_id % 6 AS n_members, CASE WHEN site_id % 10 = 1 THEN 'X;CROSS_SOURCE_DUP' ELSE 'X' END AS flags FROM sites""",
-    S.dedup(group="grp0"),
+    lambda: S.dedup(group="grp0"),
     ("reconcile", "count_if(is_primary IS NULL)", "<=", 0),
     ("physical_id_unique", "count_if(is_primary) - count(DISTINCT CASE WHEN is_primary THEN physical END)", "<=", 0),
     ("no_over_merge", "max(CASE WHEN method = 'coord_name' THEN n_members END)", "<=", 4),
@@ -66,7 +66,7 @@ _gates(
     "gates_coords",
     f"""SELECT CASE WHEN site_id % 97 = 5 THEN NULL WHEN site_id % 23 = 0 THEN 'placeholder' ELSE 'evcs' END AS coord_src, lat AS lat_raw, lng AS lng_raw, lat, lng, site_id % 23 <> 0 AS coord_resolved,
        CASE WHEN site_id % 23 = 0 THEN NULL WHEN site_id % 211 = 7 THEN 5 ELSE {CELL} END AS cell, CASE WHEN site_id % 23 = 0 OR site_id % 300 = 8 THEN 'COORD_PLACEHOLDER' ELSE '' END AS flags FROM sites""",
-    S.coords(),
+    lambda: S.coords(),
     ("provenance_complete", "count_if(coord_src IS NULL)", "<=", 0),
     ("unresolved_no_cell", "count_if(NOT coord_resolved AND cell IS NOT NULL)", "<=", 0),
     ("no_unfixed_placeholder_in_supply", "count_if(coord_resolved AND flags = 'COORD_PLACEHOLDER' AND coalesce(coord_src <> 'official', true))", "<=", 0),
@@ -79,7 +79,7 @@ _gates(
     """SELECT site_id AS id, CASE site_id % 5 WHEN 0 THEN 'OFFICIAL' WHEN 1 THEN 'EVCS_LIVE' WHEN 2 THEN 'TELEMETRY_BOUND' WHEN 3 THEN 'UNKNOWN' ELSE 'OFFICIAL' END AS config_src, site_id % 5 IN (0, 1, 4) AS config_resolved,
        CASE WHEN site_id % 5 = 3 THEN NULL ELSE site_id % 7 END AS n_guns_installed, site_id % 7 AS live_guns, CASE WHEN site_id % 5 = 3 THEN 0 ELSE site_id % 8 - 1 END AS witness, 60e0 AS nameplate_kw, CASE WHEN site_id % 5 = 3 THEN NULL WHEN site_id % 90 = 0 THEN 61e0 ELSE 60e0 END AS site_kw,
        CASE WHEN site_id % 5 = 3 OR site_id % 33 = 0 THEN NULL ELSE 'DC' END AS current_type, CASE WHEN site_id % 5 = 3 THEN 'UNKNOWN' ELSE '' END AS flags, site_id % 2 = 0 AS is_operational, site_id % 3 = 0 AS in_supply FROM sites""",
-    S.config(),
+    lambda: S.config(),
     ("guns_ge_observed_max", "count_if(n_guns_installed < witness)", "<=", 0),
     ("no_silent_zero", "count_if(is_operational AND config_resolved AND n_guns_installed = 0)", "<=", 0),
     ("reporting_le_installed", "count_if(config_resolved AND live_guns > n_guns_installed)", "<=", 0),
@@ -94,7 +94,7 @@ _gates(
     "gates_admin_stations",
     """SELECT site_id % 23 <> 0 AND site_id % 50 <> 9 AS coord_resolved, CASE WHEN site_id % 23 <> 0 AND site_id % 400 <> 77 THEN province END AS commune, province < 24 AS known,
        CASE WHEN site_id % 50 = 9 THEN 'COORD_BAD' ELSE 'NOT_FLAGGED' END AS verdict, CASE WHEN site_id % 100 <> 9 THEN site_id END AS cell, site_id % 3 = 0 AS in_supply FROM sites""",
-    S.admin_stations(),
+    lambda: S.admin_stations(),
     ("admin_join_rate", "avg(CASE WHEN coord_resolved THEN CAST(commune IS NOT NULL AS INT) END)", ">=", "0.995e0"),
     ("admin_iff_coord_resolved", "count_if((commune IS NOT NULL) <> coord_resolved)", "<=", 0),
     ("admin_vintage_single", "count_if(commune IS NOT NULL AND NOT known)", "<=", 0),
@@ -105,7 +105,7 @@ _gates(
 _gates(
     "gates_crosswalk",
     """SELECT concat('P', CAST(province AS VARCHAR(9))) AS province, province % 20 AS label, 0.85e0 + CAST(province % 10 AS DOUBLE) / 60e0 AS purity, CASE WHEN province % 10 >= 3 THEN 'OK' ELSE 'AMBIGUOUS' END AS status FROM provinces""",
-    S.crosswalk(["P0", "P1", "P2", "P10"], 15),
+    lambda: S.crosswalk(["P0", "P1", "P2", "P10"], 15),
     ("crosswalk_total", "count(DISTINCT CASE WHEN status = 'OK' THEN label END) + CASE WHEN min(CASE WHEN status = 'OK' THEN purity END) < 0.9e0 THEN 16 ELSE 0 END", "<=", 15),
     ("ambiguous_codes_are_nonprovince", "count_if(status <> 'OK' AND province NOT IN ('P0', 'P1', 'P2', 'P10'))", "<=", 0),
 )
@@ -116,7 +116,7 @@ _gates(
     "gates_admin_grid",
     f"""SELECT cell, pop, CASE WHEN cell % 50 = 0 THEN 0e0 WHEN cell % 77 = 0 THEN pop * 0.9e0 ELSE pop END AS given, cell % 50 <> 0 AS joined, cell % 3 = 0 AND cell % 50 <> 0 AS centred,
        CASE WHEN cell % 77 = 0 THEN 0.9e0 ELSE 1e0 END AS w, CAST(cell % 10 AS DOUBLE) / 10e0 AS label_share, CASE WHEN cell % 60 = 1 THEN 0.95e0 ELSE CAST(cell % 10 AS DOUBLE) / 10e0 END AS max_share FROM ({_CELLS}) c""",
-    S.admin_grid(),
+    lambda: S.admin_grid(),
     ("conservation", "abs(sum(given) - sum(CASE WHEN joined THEN pop END)) / greatest(1e0, abs(sum(CASE WHEN joined THEN pop END)))", "<=", "1e-9"),
     ("join_rate", "sum(CASE WHEN NOT joined THEN pop ELSE 0 END) / greatest(sum(pop), 1e0)", "<=", "5e-3"),
     ("hex_beats_centroid", "count_if(joined) - count_if(centred)", ">=", 1),
@@ -127,7 +127,7 @@ _gates(
 _gates(
     "gates_commune_rollup",
     "SELECT province AS commune, province % 5 AS province, CASE WHEN province % 6 = 0 THEN NULL ELSE province END AS n_cells, province % 12 = 0 AS landless FROM provinces",
-    S.commune_rollup(5),
+    lambda: S.commune_rollup(5),
     ("communes_covered", "count_if(coalesce(n_cells, 0) = 0 AND NOT landless)", "<=", 0),
     ("vintage_single", "abs(count(DISTINCT province) - 5)", "<=", 0),
 )
@@ -136,7 +136,7 @@ _gates(
     "gates_live_rollup",
     """SELECT station, sum(n) AS n_guns, CASE WHEN station % 100 = 0 THEN sum(n) + 1 ELSE sum(n) END AS n_guns_now, max(kw) AS max_kw, CASE WHEN station % 300 = 0 THEN NULL ELSE max(kw) END AS max_kw_now,
        sum(kw * n) AS total_kw, sum(kw * n) * (1e0 + 1e-12) AS total_kw_now FROM guns GROUP BY station""",
-    S.rollup_equality({"n_guns": "n_guns_now", "max_kw": "max_kw_now", "total_kw": "total_kw_now"}),
+    lambda: S.rollup_equality({"n_guns": "n_guns_now", "max_kw": "max_kw_now", "total_kw": "total_kw_now"}),
     ("n_guns_reproduces", "count_if(n_guns <> n_guns_now)", "<=", 0),
     ("max_kw_reproduces", "count_if((max_kw IS NULL) <> (max_kw_now IS NULL))", "<=", 0),
     ("total_kw_reproduces", "count_if(abs(total_kw - total_kw_now) > 1e-9 * greatest(1e0, abs(total_kw_now)))", "<=", 0),
@@ -146,7 +146,7 @@ _gates(
     "gates_supply_export",
     f"""SELECT CASE WHEN site_id % 500 = 499 THEN site_id - 1 ELSE site_id END AS id, site_id % 3 <> 0 AS in_supply, CASE WHEN site_id % 3 = 0 THEN CASE WHEN site_id % 90 = 0 THEN '' WHEN site_id % 60 = 3 THEN 'NEW_REASON' ELSE 'RESTRICTED' END END AS reason,
        CASE WHEN site_id % 200 = 1 THEN NULL ELSE lat END AS lat, lng, {CELL} AS cell FROM sites""",
-    S.supply_export(),
+    lambda: S.supply_export(),
     ("reconciles_input", "count_if(in_supply IS NULL)", "<=", 0),
     ("every_excluded_has_reason", "count_if(NOT in_supply AND coalesce(reason, '') = '')", "<=", 0),
     ("reasons_are_known", "count_if(reason NOT IN ('CROSS_SOURCE_DUP', 'ACCESS_UNKNOWN', 'OUT_OF_SERVICE', 'COORD_OUTSIDE_ADMIN', 'COORD_PLACEHOLDER', 'RESTRICTED'))", "<=", 0),
@@ -158,7 +158,7 @@ _gates(
 _gates(
     "gates_covered",
     f"""SELECT site_id AS id, CASE WHEN site_id % 40 = 2 THEN NULL ELSE {CELL} END AS cell, site_id % 4 <> 0 AS baseline, site_id % 5 = 0 AS operational, site_id % 23 <> 0 AS coord_resolved FROM sites""",
-    S.covered(10_000_000),
+    lambda: S.covered(10_000_000),
     ("subset_of_supply", "count_if(baseline AND NOT coord_resolved)", "<=", 0),
     ("cell_not_null", "count_if(baseline AND cell IS NULL)", "<=", 0),
     ("pk_unique", "count_if(baseline) - count(DISTINCT CASE WHEN baseline THEN id END)", "<=", 0),
@@ -169,7 +169,7 @@ _gates(
 _gates(
     "gates_candidates",
     "SELECT count(*) AS n, sum(CASE WHEN site_id % 20 <> 0 THEN 1e0 ELSE 0e0 END) / count(*) AS share, CAST(count(DISTINCT province) AS DOUBLE) / count(*) AS ratio FROM sites",
-    S.candidates(20, 3000, 3.0),
+    lambda: S.candidates(20, 3000, 3.0),
     ("upper_bound_coverage", "max(share)", ">=", "0.9e0"),
     ("freedom_ratio", "max(n)", ">=", 100),
     ("size_ceiling", "max(n)", "<=", 3000),
@@ -182,7 +182,7 @@ _gates(
     f"""SELECT cell, cell % 40 <> 0 AS kept, CASE WHEN cell % 80 = 0 OR cell % 333 = 5 THEN 'OUTSIDE' ELSE 'INSIDE' END AS cell_state, pop, CASE WHEN cell % 97 = 1 THEN -1e0 ELSE pop END AS pop_adj, CAST(cell % 5 AS DOUBLE) * 10e0 AS road_len,
        CAST(cell % 7 AS DOUBLE) * 10e0 AS road_access, CAST(cell % 3 AS DOUBLE) AS road_bridge, CAST(cell % 2 AS DOUBLE) AS near, 0e0 AS far,
        CASE WHEN cell % 7 > 0 AND cell % 200 <> 9 THEN 'DIRECT' WHEN cell % 2 = 1 THEN 'ADJACENT' ELSE 'ISOLATED' END AS access_tier FROM ({_CELLS}) c""",
-    S.demand(["pop", "pop_adj", "road_len", "road_access"]),
+    lambda: S.demand(["pop", "pop_adj", "road_len", "road_access"]),
     ("reconcile", "greatest(abs(sum(pop) - sum(CASE WHEN kept THEN pop ELSE 0 END) - sum(CASE WHEN NOT kept THEN pop ELSE 0 END)) / greatest(1e0, abs(sum(pop))), 0e0)", "<=", "1e-9"),
     ("unique_cell", "count_if(kept) - count(DISTINCT CASE WHEN kept THEN cell END)", "<=", 0),
     ("non_negative", "count_if(kept AND (pop < 0 OR pop_adj < 0 OR road_len < 0 OR road_access < 0))", "<=", 0),
@@ -205,7 +205,7 @@ _gates(
     "gates_dasymetric",
     f"""SELECT pop, CASE WHEN cell % 701 = 3 THEN pop + 1e0 ELSE pop END AS pop_before, largest * 4e0 AS largest, largest * 4e0 > 1100e0 AS bad, CASE WHEN cell % 30 = 0 THEN NULL ELSE cell % 9 END AS commune,
        CASE WHEN cell % 9 = 1 THEN pop * 0.9e0 WHEN cell % 500 = 2 THEN pop + 3e0 ELSE pop END AS pop_new, CASE WHEN cell % 9 = 1 THEN 'RETOTALED_DANSO' ELSE 'WORLDPOP' END AS pop_src FROM ({_CELLS}) c""",
-    S.dasymetric(),
+    lambda: S.dasymetric(),
     ("pop_invariant", "max(abs(pop - pop_before))", "<=", "1e-6"),
     ("no_unflagged_implausible_pixel", "count_if(largest > 1000e0 AND NOT bad)", "<=", 0),
     ("flagged_mass_share", "coalesce(sum(CASE WHEN bad THEN pop END), 0) / greatest(sum(pop), 1e0)", "<=", "0.00999999999e0"),
@@ -217,7 +217,7 @@ _gates(
     "gates_roadless",
     f"""SELECT pop, pop AS pop_before, pop AS before, CASE WHEN cell % 4 = 0 AND cell % 40 <> 0 THEN 0e0 WHEN cell % 300 = 4 THEN pop + 2e0 ELSE pop END AS pop_new, CASE WHEN cell % 4 = 0 AND cell % 40 <> 0 THEN pop ELSE 0e0 END AS cut,
        CASE WHEN cell % 4 = 0 OR cell % 300 = 5 THEN 'NEAR' ELSE 'DIRECT' END AS access_tier, CASE WHEN cell % 40 = 0 THEN 'UNREPAIRED_NO_COMMUNE' WHEN cell % 4 = 0 THEN 'MOVED_TO_ACCESSIBLE' ELSE 'WORLDPOP' END AS pop_src FROM ({_CELLS}) c""",
-    S.roadless(),
+    lambda: S.roadless(),
     ("pop_invariant", "max(abs(pop - pop_before))", "<=", "1e-9"),
     ("no_unlabelled_roadless_pop", "count_if(access_tier <> 'DIRECT' AND pop_new > 0 AND NOT starts_with(pop_src, 'UNREPAIRED'))", "<=", 0),
     *_ACCOUNTS("sum(before)", "sum(pop_new)", "sum(cut)"),
@@ -229,7 +229,7 @@ _gates(
 _gates(
     "gates_raster",
     "SELECT CAST(count(*) AS DOUBLE) * 1.0002e0 AS total, 1e0 - 1e-13 AS rho, count(DISTINCT pixel) = count(*) AS same_cells, 0.5e0 AS ratio_std FROM pixels",
-    S.raster(1000.0, 1e6, 1.0),
+    lambda: S.raster(1000.0, 1e6, 1.0),
     ("total_matches", "abs(max(total) - 1000e0) / 1000e0", "<=", 1000000),
     ("rank_invariant", "max(CASE WHEN same_cells THEN rho ELSE -1e0 END)", ">=", "(1e0 - 1e-12)"),
     ("ratio_is_constant", "max(ratio_std)", "<=", 1),
@@ -239,7 +239,7 @@ _gates(
     "gates_osm_points",
     f"""SELECT poi, class, poi % 31 <> 0 AS in_country, CASE WHEN poi % 600 = 7 THEN NULL ELSE poi % 7 <> 0 END AS is_primary, poi % 90 <> 0 AS physical_known, CASE WHEN poi % 9 < 7 THEN NULL ELSE levels END AS levels,
        lat + CASE WHEN poi % 99 = 1 THEN 9e0 ELSE 0e0 END AS lat, lng, CASE WHEN poi % 80 = 5 THEN NULL ELSE {CELL} END AS cell FROM poi""",
-    S.osm_points((8.0, 102.0, 23.7, 110.0), 7),
+    lambda: S.osm_points((8.0, 102.0, 23.7, 110.0), 7),
     ("classes_present", "count(DISTINCT CASE WHEN in_country AND is_primary THEN class END)", ">=", 7),
     ("flagged", "count_if(in_country IS NULL)", "<=", 0),
     ("within_box", "count_if(NOT (lat BETWEEN 7.95e0 AND 23.75e0 AND lng BETWEEN 101.95e0 AND 110.05e0))", "<=", 0, "WARN"),
@@ -253,7 +253,7 @@ _gates(
     "gates_osm_layers",
     f"""SELECT c.cell, c.n_fuel, c.n_mall, (SELECT count(*) FROM poi WHERE class = 'FUEL') AS all_fuel, (SELECT count(*) FROM poi WHERE class = 'MALL' AND poi % 50 <> 0) + 1 AS all_mall
         FROM (SELECT {CELL} AS cell, count_if(class = 'FUEL') AS n_fuel, count_if(class = 'MALL') AS n_mall FROM poi GROUP BY 1) c""",
-    S.osm_layers({"n_fuel": "all_fuel", "n_mall": "all_mall"}),
+    lambda: S.osm_layers({"n_fuel": "all_fuel", "n_mall": "all_mall"}),
     ("n_fuel_sum", "abs(sum(n_fuel) - max(all_fuel))", "<=", 0),
     ("n_mall_sum", "abs(sum(n_mall) - max(all_mall))", "<=", 0),
 )
@@ -262,7 +262,7 @@ _gates(
     "gates_osm_roads",
     f"""SELECT cell, CAST(cell % 9 AS DOUBLE) AS m_MOTORWAY, CAST(cell % 9 AS DOUBLE) * 2e0 AS lane_MOTORWAY, CAST(cell % 3 AS DOUBLE) AS seen_MOTORWAY, CAST(cell % 4 AS DOUBLE) AS m_LOCAL, CASE WHEN cell % 90 = 3 THEN 0e0 ELSE CAST(cell % 4 AS DOUBLE) END AS lane_LOCAL, 0e0 AS seen_LOCAL,
        CAST(cell % 9 + cell % 4 AS DOUBLE) + CASE WHEN cell % 70 = 0 THEN 1e-3 ELSE 0e0 END AS road_access, CAST(cell % 9 AS DOUBLE) AS road_len, CASE WHEN cell % 100 = 0 THEN 50e0 ELSE 0e0 END AS road_bridge FROM ({_CELLS}) c""",
-    S.osm_roads(["MOTORWAY", "LOCAL"]),
+    lambda: S.osm_roads(["MOTORWAY", "LOCAL"]),
     ("non_negative", "count_if(m_MOTORWAY < 0 OR lane_MOTORWAY < 0 OR seen_MOTORWAY < 0 OR m_LOCAL < 0 OR lane_LOCAL < 0 OR seen_LOCAL < 0)", "<=", 0),
     ("tiers_sum_to_access", "max(abs(road_access - m_MOTORWAY - m_LOCAL))", "<=", "1e-6"),
     ("len_le_access", "count_if(road_len > road_access + 1e-6)", "<=", 0),
@@ -274,7 +274,7 @@ _gates(
 _gates(
     "gates_osm_supply",
     "SELECT count(*) AS n, count_if(site_id % 70 = 0) AS n_without FROM sites",
-    S.supply_access(),
+    lambda: S.supply_access(),
     ("supply_has_access", "max(n_without) * 1e0 / max(n)", "<=", "0.02e0"),
     ("supply_access_is_whole", "max(n_without) * 1e0 / max(n)", "<=", "0.01e0", "WARN"),
 )
@@ -282,7 +282,7 @@ _gates(
 _gates(
     "gates_osm_recall",
     "SELECT avg(CASE WHEN site_id % 4 = 0 THEN 1e0 ELSE 0e0 END) AS recall, 2.5e0 AS bias FROM sites",
-    S.recall(),
+    lambda: S.recall(),
     ("recall", "max(recall)", ">=", "0.3e0", "WARN"),
     ("bias", "max(bias)", "<=", 2, "WARN"),
 )
@@ -290,7 +290,7 @@ _gates(
 _gates(
     "gates_land_use",
     f"SELECT cell, CASE WHEN cell % 500 = 1 THEN NULL ELSE cell % 5 = 0 END AS buildable, CAST(cell % 11 AS DOUBLE) / 10e0 AS built, CASE WHEN cell % 200 = 3 THEN 1.2e0 ELSE 0.1e0 END AS frac_water, pop FROM ({_CELLS}) c",
-    S.land_use(),
+    lambda: S.land_use(),
     ("buildable_not_null", "count_if(buildable IS NULL)", "<=", 0),
     ("cell_unique", "count(*) - count(DISTINCT cell)", "<=", 0),
     ("fractions_in_range", "count_if(NOT (built BETWEEN 0 AND 1) OR NOT (frac_water BETWEEN 0 AND 1))", "<=", 0),
@@ -301,7 +301,7 @@ _gates(
 _gates(
     "gates_road_coverage",
     f"SELECT pop, CASE WHEN cell % 4 = 0 THEN NULL ELSE 5e0 END AS road_access FROM ({_CELLS}) c",
-    S.road_coverage(),
+    lambda: S.road_coverage(),
     ("pop_without_road", "avg(CASE WHEN pop > 0 THEN CAST(coalesce(road_access, 0) <= 0 AS INT) END)", "<=", "0.2e0"),
 )
 
@@ -333,7 +333,7 @@ _gates(
     "gates_communes",
     """SELECT CASE WHEN province = 9 THEN 8 ELSE province END AS code, province % 5 AS province, province <> 3 AS valid, CASE WHEN province % 8 = 0 THEN 0e0 ELSE 4e6 END AS people, 13000e0 + CAST(province AS DOUBLE) AS area_km2,
        CASE WHEN province = 4 THEN 40e0 ELSE lat0 END AS lat, lng0 AS lng, province = 16 AS offshore FROM provinces""",
-    S.communes(25, 5, (95e6, 120e6), (320e3, 360e3), (8.0, 102.0, 23.7, 110.0)),
+    lambda: S.communes(25, 5, (95e6, 120e6), (320e3, 360e3), (8.0, 102.0, 23.7, 110.0)),
     ("count", "abs(count(*) - 25)", "<=", 0),
     ("code_unique", "count(*) - count(DISTINCT code)", "<=", 0),
     ("geometry_valid", "count_if(NOT valid)", "<=", 0),
