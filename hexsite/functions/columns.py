@@ -73,9 +73,20 @@ def power_label(current: Column, kw: Column) -> Column:
 
 
 def local_time(ms: Column, offset_hours: int = 7) -> Column:
-    """Milliseconds as ``yyyy-MM-dd HH:mm:ss`` at a fixed offset, whatever the session's zone; null is empty."""
-    at = F.timestamp_millis(ms + F.lit(offset_hours * 3_600_000))
-    return F.coalesce(F.date_format(F.to_utc_timestamp(F.from_utc_timestamp(at, F.current_timezone()), F.current_timezone()), "yyyy-MM-dd HH:mm:ss"), F.lit(""))
+    """Milliseconds as ``yyyy-MM-dd HH:mm:ss`` at a fixed offset, whatever the session's zone; null is empty.
+
+    Days and seconds are counted, no zone has a part in it; a year of over four digits has all of them and no sign.
+    """
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    at = ms.cast("long") + F.lit(offset_hours * 3_600_000)
+    of_day = F.pmod(at, F.lit(86_400_000))
+    day = F.date_from_unix_date(F.round((at - of_day) / 86_400_000).cast("int"))
+    second = F.floor(of_day / 1000)
+    year = F.year(day)
+    years = F.when(year.between(0, 9999), F.lpad(year.cast("string"), 4, "0")).otherwise(year.cast("string"))
+    date = F.concat_ws("-", years, two(F.month(day)), two(F.dayofmonth(day)))
+    time = F.concat_ws(":", two(F.floor(second / 3600)), two(F.floor(second / 60) % 60), two(second % 60))
+    return F.when(ms.isNotNull(), F.concat_ws(" ", date, time)).otherwise(F.lit(""))
 
 
 @lru_cache(1)
