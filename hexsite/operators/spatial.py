@@ -2,7 +2,8 @@
 
 A join within a radius is an equality join: the right side is put in every cell of a lattice around its own, the left
 side in its own, and the distance is tested where cells meet. In each band of latitude the columns are wider than the radius
-there, so no pair is missed and none is found twice. Nothing is broadcast and no row meets all others.
+there, so no pair is missed and none is found twice. Nothing is broadcast, whatever the sizes are taken for (joins with rows
+of the tables say so by a hint), and no row meets all others.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def within(left: DataFrame, right: DataFrame, radius_m: float, *, lat: str = "la
     turned = F.when(there < 2 * F.col("_w") - 180, there + 360).when(there > 180 - 2 * F.col("_w"), there - 360)
     b = b.withColumn("_c", F.explode(F.array_compact(F.array(at(there), at(turned)))))
     b = b.withColumn("_y", F.explode(F.array(F.col("_c") - 1, F.col("_c"), F.col("_c") + 1))).drop("_b", "_w", "_c")
-    met = a.join(b, ["_x", "_y"]).drop("_x", "_y").withColumn("dist_m", haversine_m(lat, lng, f"r_{lat}", f"r_{lng}"))
+    # the estimate of an exploded side leaves out that it is exploded: without the hint a small file is broadcast, nine times over
+    met = a.join(b.hint("merge"), ["_x", "_y"]).drop("_x", "_y").withColumn("dist_m", haversine_m(lat, lng, f"r_{lat}", f"r_{lng}"))
     return met.filter(F.col("dist_m") <= radius_m)
 
 
@@ -53,7 +55,7 @@ def self_pairs(df: DataFrame, key: str, radius_m: float, **how) -> DataFrame:
 def exists_within(points: DataFrame, key: str, other: DataFrame, radii_m: list[float], **how) -> DataFrame:
     """For each point and radius, whether another point is that near: one join at the largest radius."""
     near = within(points, other, max(radii_m), **how).groupBy(key).agg(F.min("dist_m").alias("nearest_m"))
-    out = points.join(near, key, "left")
+    out = points.join(near.hint("merge"), key, "left")
     return out.select(key, *[F.coalesce(F.col("nearest_m") <= r, F.lit(False)).alias(f"within_{int(r)}") for r in radii_m])
 
 
@@ -68,10 +70,10 @@ def nearest(left: DataFrame, key: str, right: DataFrame, right_key: str, radii_m
         best = within(rest, right, r, **how).groupBy(key).agg(F.min(F.struct("dist_m", F.col(f"r_{right_key}").alias("to"))).alias("b")).select(key, F.col("b.to").alias("nearest"), F.col("b.dist_m").alias("dist_m"))
         best = stored(best, "nearest")
         found = best if found is None else found.unionByName(best)
-        rest = stored(rest.join(best.select(key), key, "left_anti"), "nearest-rest")
+        rest = stored(rest.join(best.select(key).hint("merge"), key, "left_anti"), "nearest-rest")
         if not rest.count():  # of a stored table: its footers are read
             break
-    return left.select(key).join(found, key, "left")
+    return left.select(key).join(found.hint("merge"), key, "left")
 
 
 def nearest_of_few(df: DataFrame, key: str, few: DataFrame, few_key: str, *, most: int = 5000) -> DataFrame:
