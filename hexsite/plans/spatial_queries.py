@@ -253,9 +253,9 @@ SELECT g.poi, g.grp, g.poi = arg_min(p.poi, (NOT p.is_area, p.poi)) OVER (PARTIT
 def physical_merge(spark, sf_dir):
     p = view(spark, sf_dir, "poi").select("poi", "class", "is_area", "lat", "lng")
     e = X.self_pairs(p, "poi", 900.0).filter((F.col("class") == F.col("r_class")) & (F.col("is_area") != F.col("r_is_area"))).select(F.col("poi").alias("a"), F.col("r_poi").alias("b"))
-    g = p.join(components(e), F.col("poi") == F.col("node"), "left").select("poi", "is_area", F.coalesce("component", "poi").alias("grp"))
+    g = p.join(components(e).hint("merge"), F.col("poi") == F.col("node"), "left").select("poi", "is_area", F.coalesce("component", "poi").alias("grp"))
     first = g.groupBy("grp").agg(F.min_by("poi", F.struct(~F.col("is_area"), "poi")).alias("first"))
-    return g.join(first, "grp").select("poi", "grp", (F.col("poi") == F.col("first")).alias("is_primary"))
+    return g.join(first.hint("merge"), "grp").select("poi", "grp", (F.col("poi") == F.col("first")).alias("is_primary"))
 
 
 # --- coverage and candidates
