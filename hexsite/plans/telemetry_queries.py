@@ -242,7 +242,7 @@ q AS (SELECT stratum, count(*) AS n, avg(h300) AS r300, avg(h900) AS r900 FROM j
 def _recall(spark, sf_dir):
     s = view(spark, sf_dir, "sites").select("site_id", "score", "lat", "lng")
     hit = X.exists_within(s.select("site_id", "lat", "lng"), "site_id", view(spark, sf_dir, "poi").select("poi", "lat", "lng"), [300.0, 900.0])
-    return T.recall(hit.join(T.strata(s, "site_id", "score"), "site_id"), "site_id", {300: "within_300", 900: "within_900"})
+    return T.recall(hit.join(T.strata(s, "site_id", "score").hint("merge"), "site_id"), "site_id", {300: "within_300", 900: "within_900"})
 
 
 @query("ag28_recall_bias", oracle(HITS + "SELECT stratum, n, round(r300, 6) AS recall_300, round(r900, 6) AS recall_900 FROM q"))
