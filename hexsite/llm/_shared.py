@@ -35,21 +35,26 @@ def write_atomically(uri: str, content: bytes) -> None:
     fs.move(own, path)
 
 
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it has
+        pass
+
+
 def released(run):
     """A task's function that gives its memory back to the system when it ends: Python workers live on between tasks."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ctypes
-        import gc
-
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library: it keeps what it has
-                pass
+            give_back()
 
     return wrapped
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexsite.llm._shared import FOLD, annotate, released, slices, utf8, words
+from hexsite.llm._shared import FOLD, annotate, give_back, released, slices, utf8, words
 
 LONGEST, FLOOR, KEPT = 24, 1e-7, 64
 STEPS = 64  #: slots of the drawing hash for each doubling of it: the last slot taken has about a hundredth of the sample
@@ -291,7 +291,10 @@ def trained(docs: DataFrame, vocabulary: str, *, doc: str = "doc_id", text: str
     counts: dict[str, Counter] = {k: Counter() for k in langs}
     for r in table.toLocalIterator():  # bounded by fit_bytes_all
         counts[r["lang"]][r["string"]] = r["n"]
-    return fit(Vocabulary(vocabulary), counts)
+    model = fit(Vocabulary(vocabulary), counts)
+    del counts
+    give_back()  # the driver lives on, too
+    return model
 
 
 def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
