@@ -35,7 +35,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, written and read back: a row for each document of the mix."""
-    return tokens.op6(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.op6(docs, public_tokenizers.path("byte_bpe_50k.json"), slab=2 << 20)  # executors hold what the other stages took, too
 
 
 STAGES = [

@@ -36,11 +36,12 @@ def write_atomically(uri: str, content: bytes) -> None:
 
 
 def give_back() -> None:
-    """Memory that this process has freed goes back to the system."""
+    """Memory that this process has freed goes back to the system; Arrow has a pool of its own."""
     import ctypes
     import gc
 
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library: it keeps what it has

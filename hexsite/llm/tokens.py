@@ -360,8 +360,11 @@ def pieces_of(path: str) -> Pieces:
     return _KNOWN[path]
 
 
-def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ids (packed bytes) of each document, and a row with ids null and the histogram for each task."""
+def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str = "text", slab: int = 4 << 20) -> DataFrame:
+    """doc_id and ids (packed bytes) of each document, and a row with ids null and the histogram for each task.
+
+    ``slab``: about so many bytes of texts are encoded at once; smaller ones take less memory and more time.
+    """
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,7 +375,7 @@ def tokenized(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str
             a = held = 0
             for b, n in enumerate(pc.binary_length(batch.column(1)).to_pylist(), 1):
                 held += n
-                if held < 4 << 20 and b < batch.num_rows:
+                if held < slab and b < batch.num_rows:
                     continue
                 ids = pieces.encode(utf8(batch.column(1).slice(a, b - a)))
                 got = np.bincount(np.frombuffer(b"".join(ids), pieces.kind))
@@ -406,12 +409,12 @@ def frequency_table(stored: DataFrame) -> Table:
     return Table.of_counts(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "doc_id", text: str = "text", shard_bytes: int = 12 << 20) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc: str = "doc_id", text: str = "text", shard_bytes: int = 12 << 20, slab: int = 4 << 20) -> DataFrame:
     """Tokenize, write ``folder``, and give the manifest: part, seq, file, n_ids, start (ids in all shards before)."""
     from hexsite.llm._shared import stored
 
     spark = docs.sparkSession
-    kept = stored(tokenized(docs, tokenizer, doc=doc, text=text), "token-ids")
+    kept = stored(tokenized(docs, tokenizer, doc=doc, text=text, slab=slab), "token-ids")
     table = frequency_table(kept)
     write_atomically(f"{folder}/table.rans", packed := table.to_bytes())
     kind = kept.filter("ids IS NOT NULL").agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)).alias("b")).first()
@@ -491,6 +494,6 @@ def _read(manifest: DataFrame, folder: str, schema: str, give) -> DataFrame:
     return manifest.select("file", "start").repartition(partitions(manifest.count())).mapInArrow(released(read), schema)
 
 
-def op6(docs: DataFrame, tokenizer: str) -> DataFrame:
+def op6(docs: DataFrame, tokenizer: str, *, slab: int = 4 << 20) -> DataFrame:
     folder = shared_dir(docs.sparkSession, "tokens")
-    return read_digests(write_shards(docs, folder, tokenizer), folder)
+    return read_digests(write_shards(docs, folder, tokenizer, slab=slab), folder)
