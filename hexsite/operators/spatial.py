@@ -8,6 +8,8 @@ of the tables say so by a hint), and no row meets all others.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,14 +61,27 @@ def exists_within(points: DataFrame, key: str, other: DataFrame, radii_m: list[f
     return out.select(key, *[F.coalesce(F.col("nearest_m") <= r, F.lit(False)).alias(f"within_{int(r)}") for r in radii_m])
 
 
+def crowded_radius(right: DataFrame, radius_m: float, *, enough: float = 8.0, lat: str = "lat", lng: str = "lng") -> float:
+    """A radius, at most the given one, in which a row of right has about ``enough`` others, as a mean over the rows."""
+    step = radius_m / DEGREE_M
+    x = F.floor(F.col(lat) / step)
+    cells = right.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).groupBy(x.alias("x"), F.floor(F.col(lng) * F.cos(F.radians(x * step)) / step).alias("y")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    others = (cells.agg(F.sum(F.col("n") * (F.col("n") - 1)) / F.sum("n")).first()[0] or 0.0) * math.pi  # in a circle, from those in a square
+    return radius_m * min(1.0, math.sqrt(enough / others)) if others else radius_m
+
+
 def nearest(left: DataFrame, key: str, right: DataFrame, right_key: str, radii_m: list[float], **how) -> DataFrame:
     """Nearest right row of each left row, by growing radii: only what found nothing goes on to the next. Null beyond.
 
+    Where right is crowded, rounds at smaller radii come before the first, so that no row meets hundreds of others.
     Each round is stored, so no radius computes the smaller ones again, and the rounds end when nothing is left.
     """
     rest, right = left.select(key, "lat", "lng"), right.select(right_key, "lat", "lng")
-    found = None
-    for r in radii_m:
+    found, before, r = None, [], crowded_radius(right, radii_m[0])
+    while r < radii_m[0]:
+        before.append(r)
+        r *= 4
+    for r in [*before, *radii_m]:
         best = within(rest, right, r, **how).groupBy(key).agg(F.min(F.struct("dist_m", F.col(f"r_{right_key}").alias("to"))).alias("b")).select(key, F.col("b.to").alias("nearest"), F.col("b.dist_m").alias("dist_m"))
         best = stored(best, "nearest")
         found = best if found is None else found.unionByName(best)
