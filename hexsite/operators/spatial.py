@@ -26,9 +26,10 @@ def _columns(band: Column, step: float) -> Column:
     return F.least(F.lit(step * 1.02) / F.cos(F.radians(top)), F.lit(120.0))
 
 
-def within(left: DataFrame, right: DataFrame, radius_m: float, *, lat: str = "lat", lng: str = "lng") -> DataFrame:
+def within(left: DataFrame, right: DataFrame, radius_m: float, *, lat: str = "lat", lng: str = "lng", alike: tuple[str, ...] = ()) -> DataFrame:
     """Pairs no farther apart than the radius, with ``dist_m``. Columns of left keep their names, right's get ``r_``.
 
+    ``alike``: columns of both sides that must be equal, and not null; they are keys of the join, so other rows never meet.
     At any latitude up to 85 degrees, and across the meridian of 180 degrees; for radii up to some 500 km. Rows without
     coordinates meet nobody.
     """
@@ -45,7 +46,9 @@ def within(left: DataFrame, right: DataFrame, radius_m: float, *, lat: str = "la
     b = b.withColumn("_c", F.explode(F.array_compact(F.array(at(there), at(turned)))))
     b = b.withColumn("_y", F.explode(F.array(F.col("_c") - 1, F.col("_c"), F.col("_c") + 1))).drop("_b", "_w", "_c")
     # the estimate of an exploded side leaves out that it is exploded: without the hint a small file is broadcast, nine times over
-    met = a.join(b.hint("merge"), ["_x", "_y"]).drop("_x", "_y").withColumn("dist_m", haversine_m(lat, lng, f"r_{lat}", f"r_{lng}"))
+    same = [f"_a{i}" for i in range(len(alike))]
+    a, b = a.withColumns(dict(zip(same, map(F.col, alike), strict=True))), b.withColumns({k: F.col(f"r_{c}") for k, c in zip(same, alike, strict=True)})
+    met = a.join(b.hint("merge"), ["_x", "_y", *same]).drop("_x", "_y", *same).withColumn("dist_m", haversine_m(lat, lng, f"r_{lat}", f"r_{lng}"))
     return met.filter(F.col("dist_m") <= radius_m)
 
 

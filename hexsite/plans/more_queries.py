@@ -54,7 +54,7 @@ def map_lookup(spark, sf_dir):
 @query("jn9_range_same_class", oracle(f"SELECT a.poi AS a, b.poi AS b FROM poi a JOIN poi b ON a.poi < b.poi AND a.class = b.class WHERE {DIST} <= 700e0"))
 def range_same_class(spark, sf_dir):
     p = view(spark, sf_dir, "poi").select("poi", "class", "lat", "lng")
-    return X.self_pairs(p, "poi", 700.0).filter(F.col("class") == F.col("r_class")).select(F.col("poi").alias("a"), F.col("r_poi").alias("b"))
+    return X.self_pairs(p, "poi", 700.0, alike=("class",)).select(F.col("poi").alias("a"), F.col("r_poi").alias("b"))
 
 
 ZONES = """z AS (SELECT lat0, lat1, lng0, lng1, CASE province % 3 WHEN 0 THEN 'MILITARY' WHEN 1 THEN 'PROTECTED' ELSE 'AIRPORT' END AS flag FROM provinces
